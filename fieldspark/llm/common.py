@@ -157,3 +157,28 @@ def binary(parts: list[bytes]) -> pa.Array:
 def shards_for(spark: SparkSession) -> int:
     """How many parts keyed blocks are dealt to: the session's shuffle partitions, which follow the input on a cluster that is set up for it."""
     return max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def map_rows(docs: DataFrame, make, own: str, keep: list[str] | None = None, read: list[str] | None = None) -> DataFrame:
+    """Add columns computed from each row in Python, batch by batch.
+
+    make() is called once in each task and gives a function from an Arrow slice to a list of arrays, one for each column of
+    `own` (a DDL string).  `keep` lists the input columns that pass through, in order; `read` further ones that make's function needs.
+    """
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import StructType
+
+    own_type = StructType.fromDDL(own)
+    keep = carried(docs, own_type.names) if keep is None else keep
+    source = docs.select(*keep, *[c for c in (read or ["doc_id", "text"]) if c not in keep])
+    out = StructType([source.schema[c] for c in keep] + own_type.fields)
+    arrow = to_arrow_schema(out, prefers_large_types=False)
+
+    def run(batches):
+        f = make()
+        for b in slices(batches):
+            made = f(b)
+            cols = [b.column(b.schema.get_field_index(c)) for c in keep] + list(made)
+            yield pa.RecordBatch.from_arrays([a.cast(t.type) if a.type != t.type else a for a, t in zip(cols, arrow)], schema=arrow)
+
+    return source.mapInArrow(run, out)

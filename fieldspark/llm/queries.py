@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fieldspark.llm import sharding
+from fieldspark.llm import quality_rules, sharding
 from fieldspark.llm.common import ready
 
 
@@ -12,12 +12,19 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return ready(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_ngram_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    out = quality_rules.quality_rules(docs, quality_rules.trusted_ids(_table(spark, sf_dir, "labels")))
+    return out.select("doc_id", *quality_rules.OWN)
+
+
 def op5_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = sharding.histogram_shards(_table(spark, sf_dir, "documents"), n_shards=40)
     return out.select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
 
 
 QUERIES = {
+    "op3_ngram_ratio": op3_ngram_ratio,
     "op5_histogram_sort": op5_histogram_sort,
 }
 ORACLES: dict[str, str] = {}
