@@ -10,6 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -96,7 +97,7 @@ def id_crc(values: list) -> list[int]:
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that each has about `limit` bytes of text, or one row."""
     for b in batches:
-        sizes = np.cumsum(np.asarray(pa.compute.fill_null(pa.compute.binary_length(b.column(b.schema.get_field_index(column))), 0), dtype=np.int64) + 16)
+        sizes = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(b.column(b.schema.get_field_index(column))), 0), dtype=np.int64) + 16)
         at = 0
         while at < b.num_rows:
             end = max(at + 1, int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + limit, side="right")))

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from fieldspark.llm import quality_rules, sharding
+from fieldspark.llm import decontaminate, packing, quality_rules, sharding, token_store
 from fieldspark.llm.common import ready
 
 
@@ -18,13 +19,40 @@ def op3_ngram_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", *quality_rules.OWN)
 
 
+def op4_suffix_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = decontaminate.decontaminate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), window=10)
+    digest = F.sha2(F.concat_ws(",", "item_ids"), 256)
+    return out.select("doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"), digest.alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
 def op5_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = sharding.histogram_shards(_table(spark, sf_dir, "documents"), n_shards=40)
     return out.select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
 
 
+def _tokenizer() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op6_perfect_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    store = token_store.write_tokens(docs, _tokenizer(), end_id=1)
+    found = store.lookup(docs.select("doc_id"))
+    return found.select("doc_id", "start", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
+
+
+def op10_retrieval_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = packing.pack(_table(spark, sf_dir, "documents"), _tokenizer(), end_id=2, window=4096)
+    return out.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 QUERIES = {
     "op3_ngram_ratio": op3_ngram_ratio,
+    "op4_suffix_automaton": op4_suffix_automaton,
     "op5_histogram_sort": op5_histogram_sort,
+    "op6_perfect_hash": op6_perfect_hash,
+    "op10_retrieval_packing": op10_retrieval_packing,
 }
 ORACLES: dict[str, str] = {}
