@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldspark.llm import decontaminate, packing, quality_rules, sharding, token_store
-from fieldspark.llm.common import ready
+from fieldspark.llm import decontaminate, language_id, packing, quality_model, quality_rules, sharding, token_store
+from fieldspark.llm.common import crc_of_id, ready
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,6 +43,20 @@ def op6_perfect_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "start", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
 
 
+def op7_nearest_centroid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    held = crc_of_id() % 3 == 1
+    model = language_id.fit(docs.where(~held).select("doc_id", "text", "lang"))
+    return language_id.identify(docs.select("doc_id", "text"), model).select("doc_id", held.alias("held_out"), "lang_pred", "score", "rejected")
+
+
+def op8_co_training(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    held = quality_model.held_out()
+    model = quality_model.fit(docs, _table(spark, sf_dir, "labels").where(~held))
+    return quality_model.classify(docs, model).select("doc_id", held.alias("held_out"), "p_text", "p_meta", "score", "kept")
+
+
 def op10_retrieval_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = packing.pack(_table(spark, sf_dir, "documents"), _tokenizer(), end_id=2, window=4096)
     return out.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
@@ -53,6 +67,8 @@ QUERIES = {
     "op4_suffix_automaton": op4_suffix_automaton,
     "op5_histogram_sort": op5_histogram_sort,
     "op6_perfect_hash": op6_perfect_hash,
+    "op7_nearest_centroid": op7_nearest_centroid,
+    "op8_co_training": op8_co_training,
     "op10_retrieval_packing": op10_retrieval_packing,
 }
 ORACLES: dict[str, str] = {}
