@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldspark.llm import decontaminate, language_id, packing, quality_model, quality_rules, sharding, token_store
+from fieldspark.llm import decontaminate, language_id, near_dedup, packing, quality_model, quality_rules, sharding, token_store
 from fieldspark.llm.common import crc_of_id, ready
 
 
@@ -13,6 +13,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return ready(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_signature_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # the sets of this query have four-word shingles
+    return near_dedup.near_duplicates(_table(spark, sf_dir, "documents"), size=4, keep=["doc_id"]).select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op3_ngram_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     out = quality_rules.quality_rules(docs, quality_rules.trusted_ids(_table(spark, sf_dir, "labels")))
@@ -63,6 +68,7 @@ def op10_retrieval_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_signature_join": op2_signature_join,
     "op3_ngram_ratio": op3_ngram_ratio,
     "op4_suffix_automaton": op4_suffix_automaton,
     "op5_histogram_sort": op5_histogram_sort,
