@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldspark.llm import decontaminate, language_id, near_dedup, packing, quality_model, quality_rules, sharding, token_store
+from fieldspark.llm import decontaminate, language_id, near_dedup, packing, passages, quality_model, quality_rules, sharding, token_store
 from fieldspark.llm.common import crc_of_id, ready
 
 
@@ -62,6 +62,11 @@ def op8_co_training(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_model.classify(docs, model).select("doc_id", held.alias("held_out"), "p_text", "p_meta", "score", "kept")
 
 
+def op9_run_length_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = passages.remove_repeats(_table(spark, sf_dir, "documents"), least=400, keep=["doc_id"])
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op10_retrieval_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = packing.pack(_table(spark, sf_dir, "documents"), _tokenizer(), end_id=2, window=4096)
     return out.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
@@ -75,6 +80,7 @@ QUERIES = {
     "op6_perfect_hash": op6_perfect_hash,
     "op7_nearest_centroid": op7_nearest_centroid,
     "op8_co_training": op8_co_training,
+    "op9_run_length_index": op9_run_length_index,
     "op10_retrieval_packing": op10_retrieval_packing,
 }
 ORACLES: dict[str, str] = {}
