@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldspark.llm import decontaminate, language_id, near_dedup, packing, passages, quality_model, quality_rules, sharding, token_store
+from fieldspark.llm import decontaminate, language_id, lm_score, near_dedup, packing, passages, quality_model, quality_rules, sharding, token_store
 from fieldspark.llm.common import crc_of_id, ready
 
 
@@ -13,6 +13,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return ready(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.score(_table(spark, sf_dir, "documents"))
+
+
 def op2_signature_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     # the sets of this query have four-word shingles
     return near_dedup.near_duplicates(_table(spark, sf_dir, "documents"), size=4, keep=["doc_id"]).select("doc_id", "n_shingles", "component_id", "kept")
@@ -73,6 +77,7 @@ def op10_retrieval_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_deleted_interpolation": op1_deleted_interpolation,
     "op2_signature_join": op2_signature_join,
     "op3_ngram_ratio": op3_ngram_ratio,
     "op4_suffix_automaton": op4_suffix_automaton,
