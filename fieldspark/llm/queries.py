@@ -39,7 +39,7 @@ def op5_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
 
 
-def _tokenizer() -> str:
+def tokenizer_path() -> str:
     import public_tokenizers
 
     return public_tokenizers.path("word_bpe_49k.json")
@@ -47,7 +47,7 @@ def _tokenizer() -> str:
 
 def op6_perfect_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
-    store = token_store.write_tokens(docs, _tokenizer(), end_id=1)
+    store = token_store.write_tokens(docs, tokenizer_path(), end_id=1)
     found = store.lookup(docs.select("doc_id"))
     return found.select("doc_id", "start", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
 
@@ -72,7 +72,7 @@ def op9_run_length_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_retrieval_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = packing.pack(_table(spark, sf_dir, "documents"), _tokenizer(), end_id=2, window=4096)
+    out = packing.pack(_table(spark, sf_dir, "documents"), tokenizer_path(), end_id=2, window=4096)
     return out.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
