@@ -1,21 +1,22 @@
 """Encoding of many texts with one of the public tokenizers, remembering the ids of words.
 
-White space always separates tokens in the word-end vocabulary, so a text's ids are its words' ids in a row.  A word that is
-Latin letters and then plain punctuation is two pre-tokens, whose pieces the library's BPE model gives directly; every other
-word goes through the library's whole pipeline.
+White space always separates tokens in the word-end vocabulary, so a text's ids are its words' ids in a row, and each batch
+encodes its distinct words only.  A word that is Latin letters and then plain punctuation is two pre-tokens, whose pieces the
+library's BPE model gives directly; every other word goes through the library's whole pipeline.
 """
 
 from __future__ import annotations
 
 import os
-import re
 from itertools import chain
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from fieldspark.llm.common import ranges
 
-LETTERS_THEN_MARKS = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]*)([!\"#$%&()*+,\-./:;=?@\[\]^_`{|}~]*)")
+MARKS = "!\"#$%&()*+,-./:;=?@[\\]^_`{|}~"  # ASCII punctuation but for ' and <, which begin contractions and special tokens
 
 
 def _byte_names() -> dict[int, str]:
@@ -28,81 +29,109 @@ def _byte_names() -> dict[int, str]:
     return names
 
 
-class Encoder:
-    """Ids of texts; remembers up to `limit` words, then starts anew."""
+class Pool:
+    """Ids of strings, one after the other; a string is known by its number."""
 
-    def __init__(self, path: str, limit: int = 400_000):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.limit, self.names = limit, _byte_names()
-        self._clear()
-
-    def _clear(self) -> None:
-        self.index: dict[bytes, int] = {}
-        self.parts: dict[str, list[int]] = {}
-        self.pool = np.empty(1 << 16, np.uint32)
-        self.starts, self.lengths = np.empty(1 << 16, np.int64), np.empty(1 << 16, np.int64)
+    def __init__(self):
+        self.index: dict[str, int] = {}
+        self.ids = np.empty(1 << 16, np.uint32)
+        self.starts, self.lengths = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
         self.used = 0
 
-    def _part(self, s: str) -> list[int]:
-        """The ids of one pre-token of Latin letters or marks."""
-        got = self.parts.get(s)
-        if got is None:
-            if len(self.parts) > self.limit:
-                self.parts.clear()
-            got = self.parts[s] = [t.id for t in self.tokenizer.model.tokenize(s if s.isascii() else s.encode().decode("latin-1").translate(self.names))]
-        return got
-
-    def _learn(self, words: list[bytes]) -> None:
-        ids, whole = {}, []
-        for w in words:
-            text = w.decode("utf-8", "replace")
-            m = LETTERS_THEN_MARKS.fullmatch(text)
-            if m:
-                ids[w] = [x for s in m.groups() if s for x in self._part(s.lower())]
-            else:
-                whole.append((w, text))
-        for (w, _), e in zip(whole, self.tokenizer.encode_batch([t for _, t in whole], add_special_tokens=False)):
-            ids[w] = e.ids
-        flat = np.fromiter(chain.from_iterable(ids.values()), np.uint32)
-        lengths = np.fromiter(map(len, ids.values()), np.int64, len(ids))
-        base, n = len(self.index), len(ids)
-        self.pool = self._room(self.pool, self.used + len(flat))
-        self.starts, self.lengths = self._room(self.starts, base + n), self._room(self.lengths, base + n)
-        self.pool[self.used : self.used + len(flat)] = flat
-        self.starts[base : base + n] = self.used + np.cumsum(lengths) - lengths
-        self.lengths[base : base + n] = lengths
-        self.used += len(flat)
-        self.index.update(zip(ids, range(base, base + n)))
+    def numbers(self, strings: list[str], encode) -> np.ndarray:
+        """The strings' numbers; encode gives the ids of those that are new."""
+        new = [s for s in strings if s not in self.index]
+        if new:
+            got = encode(new)
+            flat = np.fromiter(chain.from_iterable(got), np.uint32)
+            lengths = np.fromiter(map(len, got), np.int64, len(got))
+            base, n = len(self.index), len(new)
+            self.ids = self._room(self.ids, self.used + len(flat))
+            self.starts, self.lengths = self._room(self.starts, base + n), self._room(self.lengths, base + n)
+            self.ids[self.used : self.used + len(flat)] = flat
+            self.starts[base : base + n] = self.used + np.cumsum(lengths) - lengths
+            self.lengths[base : base + n] = lengths
+            self.used += len(flat)
+            self.index.update(zip(new, range(base, base + n)))
+        return np.fromiter(map(self.index.__getitem__, strings), np.int64, len(strings))
 
     @staticmethod
     def _room(a: np.ndarray, n: int) -> np.ndarray:
         return a if n <= len(a) else np.concatenate([a, np.empty(max(n, 2 * len(a)) - len(a), a.dtype)])
 
+
+class Encoder:
+    """Ids of texts; remembers up to about `limit` words, then starts anew."""
+
+    def __init__(self, path: str, limit: int = 500_000):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.limit, self.names = limit, _byte_names()
+        self.pool = Pool()
+
+    def _parts(self, strings: list[str]) -> list[list[int]]:
+        """Ids of single pre-tokens: lower-case Latin letters, or marks."""
+        tokenize = self.tokenizer.model.tokenize
+        return [[t.id for t in tokenize(s if s.isascii() else s.encode().decode("latin-1").translate(self.names))] if s else [] for s in strings]
+
+    def _whole(self, strings: list[str]) -> list[list[int]]:
+        """Ids of any words; a space before them keeps their numbers apart from those of parts."""
+        return [e.ids for e in self.tokenizer.encode_batch([s[1:] for s in strings], add_special_tokens=False)]
+
+    def _words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of each distinct word's two parts (of the whole word and of nothing, if it isn't plain)."""
+        lower = pc.utf8_lower(words)
+        stem = pc.utf8_rtrim(lower, characters=MARKS)
+        # letters whose lower case has another length (such as a dotted capital I) aren't plain
+        same = pc.equal(pc.binary_length(lower), pc.binary_length(words))
+        plain = np.asarray(pc.and_(pc.match_substring_regex(stem, "^[a-zß-öø-ÿ]*$"), same))
+        stems = stem.dictionary_encode()
+        names = stems.dictionary.to_pylist()
+        at = np.asarray(stems.indices)
+        used = np.zeros(len(names), bool)
+        used[at[plain]] = True
+        number = np.zeros(len(names), np.int64)
+        number[used] = self.pool.numbers([names[k] for k in np.flatnonzero(used).tolist()], self._parts)
+        first = number[at]
+        ended = np.flatnonzero(plain & np.asarray(pc.less(pc.binary_length(stem), pc.binary_length(lower))))
+        keep = pa.array(ended)
+        tails = [w[k:] for w, k in zip(lower.take(keep).to_pylist(), pc.utf8_length(stem.take(keep)).to_pylist())]
+        nothing = self.pool.numbers([""], self._parts)[0]
+        self.pool.numbers(list(set(tails)), self._parts)  # few
+        second = np.full(len(words), nothing, np.int64)
+        second[ended] = self.pool.numbers(tails, self._parts)
+        rest = np.flatnonzero(~plain)
+        if len(rest):
+            first[rest] = self.pool.numbers([" " + w for w in words.take(pa.array(rest)).to_pylist()], self._whole)
+        return first, second
+
     def encode(self, texts: list[bytes], end: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row, each text's followed by `end`, and the number of ids of each text."""
-        words = [t.split() for t in texts]
-        counts = np.fromiter(map(len, words), np.int64, len(words))
-        flat_words = list(chain.from_iterable(words))
-        new = set(flat_words).difference(self.index)
-        if len(self.index) + len(new) > self.limit and self.index:
-            self._clear()
-            new = set(flat_words)
-        if new:
-            self._learn(sorted(new))
-        at = np.fromiter(map(self.index.__getitem__, flat_words), np.int64, len(flat_words))
-        lengths = self.lengths[at]
+        if len(self.pool.index) > self.limit:
+            self.pool = Pool()
+        try:
+            column = pa.array(texts, pa.binary()).cast(pa.string())
+        except pa.ArrowInvalid:  # bytes that aren't UTF-8
+            column = pa.array([t.decode("utf-8", "replace") for t in texts], pa.string())
+        words = pc.ascii_split_whitespace(column)
+        counts = np.asarray(pc.list_value_length(words), dtype=np.int64)
+        flat = words.flatten().dictionary_encode()
+        first, second = self._words(flat.dictionary) if len(flat) else (np.zeros(0, np.int64),) * 2
+        at = np.asarray(flat.indices, dtype=np.int64)
+        # two parts of each word in turn
+        number = np.stack([first[at], second[at]], 1).ravel() if len(at) else np.zeros(0, np.int64)
+        lengths = self.pool.lengths[number]
         total = np.concatenate([[0], np.cumsum(lengths)])
-        edges = np.concatenate([[0], np.cumsum(counts)])
+        edges = 2 * np.concatenate([[0], np.cumsum(counts)])
         sizes = total[edges[1:]] - total[edges[:-1]] + 1
         out = np.empty(int(sizes.sum()), np.uint32)
         ends = np.cumsum(sizes) - 1
         inside = np.ones(len(out), bool)
         inside[ends] = False
         out[ends] = end
-        out[inside] = self.pool[ranges(self.starts[at], lengths)]
+        out[inside] = self.pool.ids[ranges(self.pool.starts[number], lengths)]
         return out, sizes
 
 
