@@ -64,15 +64,16 @@ def knn(queries: DataFrame, points: DataFrame, k: int, edge: float, rounds: int
     if box is None or box[0] is None:
         return _near(queries, points, edge).withColumn("rank", F.lit(0))
     extent, parts, left = max(box), [], queries
+    nearest, of_query = Window.partitionBy("q").orderBy("d2", "n"), Window.partitionBy("q")
     for _ in range(rounds):
-        last = edge > extent
-        pairs = _near(left, points, edge).withColumn("rank", F.row_number().over(Window.partitionBy("q").orderBy("d2", "n"))).where(F.col("rank") <= k)
-        if last:
+        pairs = _near(left, points, edge).withColumn("rank", F.row_number().over(nearest)).where(F.col("rank") <= k)
+        if edge > extent:
             parts.append(pairs)
             break
-        done = pairs.groupBy("q").agg(F.count("*").alias("m"), F.max("d2").alias("far")).where((F.col("m") == k) & (F.col("far") <= edge * edge)).select("q")
-        parts.append(pairs.join(done, "q", "left_semi"))
-        left = left.join(done, left["pid"] == done["q"], "left_anti")
+        sure = pairs.withColumns({"__m": F.count("*").over(of_query), "__far": F.max("d2").over(of_query)}).where((F.col("__m") == k) & (F.col("__far") <= edge * edge)).drop("__m", "__far")
+        parts.append(sure)
+        # the few that are left are kept, so that later rounds don't repeat the earlier ones
+        left = left.join(sure.where(F.col("rank") == 1).select(F.col("q").alias("pid")), "pid", "left_anti").persist()
         if left.isEmpty():
             break
         edge *= 2
