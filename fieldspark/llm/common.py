@@ -183,3 +183,31 @@ def map_rows(docs: DataFrame, make, own: str, keep: list[str] | None = None, rea
             yield pa.RecordBatch.from_arrays([a.cast(t.type) if a.type != t.type else a for a, t in zip(cols, arrow)], schema=arrow)
 
     return source.mapInArrow(run, out)
+
+
+def likely(docs: DataFrame, key: str, wanted: DataFrame, most_bits: int = 1 << 27) -> DataFrame:
+    """The rows of docs whose key may be among `wanted` (one column), so that a join on it moves few others.
+
+    A bitmap of hashed keys is built by built-in aggregation and broadcast: 16 bits for each wanted key, but at most `most_bits` (16 MB) in all,
+    whatever the input.  It never loses a wanted row; with more keys than bits it only lets more of the others through.
+    """
+    spark = docs.sparkSession
+    page = 32768  # bits of one bitmap value
+    n = wanted.count()
+    bits = min(most_bits, max(page, 1 << (16 * max(1, n) - 1).bit_length()))
+    place = lambda c: F.pmod(F.xxhash64(c.cast("bigint")), F.lit(bits))
+    at = place(F.col(wanted.columns[0]))
+    pages = wanted.select(at.alias("p")).groupBy(F.expr(f"p div {page}").alias("page")).agg(F.bitmap_construct_agg(F.expr(f"p % {page}")).alias("b"))
+    bitmap = np.zeros(bits // 8, np.uint8)
+    for r in pages.collect():  # at most bits / page rows
+        own = np.frombuffer(r["b"], np.uint8)
+        bitmap[r["page"] * page // 8 :][: len(own)] = own
+    sent = spark.sparkContext.broadcast(bitmap)
+
+    def run(batches):
+        for b in batches:
+            p = np.asarray(b.column(0), dtype=np.int64)
+            on = (sent.value[p >> 3] >> (p & 7)) & 1 == 1
+            yield pa.RecordBatch.from_arrays(b.columns[1:], schema=pa.schema(list(b.schema)[1:])).filter(pa.array(on))
+
+    return docs.select(place(F.col(key)).alias("__place"), *docs.columns).mapInArrow(run, docs.schema)

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldspark.llm.common import WordHash, carried, discard, ids_of, map_rows, mix, odd_numbers, ranges, shards_for, stage, texts_of
+from fieldspark.llm.common import WordHash, carried, ids_of, likely, map_rows, mix, odd_numbers, ranges, shards_for, stage, texts_of
 from fieldspark.llm.components import components
 
 OWN = ["n_shingles", "component_id", "kept"]
@@ -280,7 +280,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, numerator: int = 80, denomin
 
         return f
 
-    texts = source.join(placed, source["doc_id"] == placed["id"]).select(F.col("id").alias("rep"), "component", "i", "j", "text")
+    few = likely(source.where(F.col("doc_id").isNotNull()), "doc_id", members.select("id"))
+    texts = few.join(placed, few["doc_id"] == placed["id"]).select(F.col("id").alias("rep"), "component", "i", "j", "text")
     full = map_rows(texts, whole, "set binary", keep=["rep", "component", "i", "j"], read=["text"]).where(F.octet_length("set") > 0)
     links = full.groupBy("component", "i", "j").applyInArrow(_confirm(numerator, denominator), "a bigint, b bigint")
     final = components(links, "confirmed")
