@@ -28,10 +28,17 @@ def windowed_rate(stream: DataFrame, length: str, lateness: str, topic: str = "t
     return grouped.agg(F.count("*").alias("n"), *more).select(F.col("w.start").alias("start"), topic, "n", *(["last.*"] if last else []))
 
 
-def interval_join(left: DataFrame, right: DataFrame, tolerance: str, lateness: str, on: Column | None = None) -> DataFrame:
-    """Pairs of two streams (columns l_stamp and r_stamp) that are at most `tolerance` apart; state is bounded by the watermarks."""
-    near = F.expr(f"r_stamp BETWEEN l_stamp - INTERVAL {tolerance} AND l_stamp + INTERVAL {tolerance}")
-    return left.withWatermark("l_stamp", lateness).join(right.withWatermark("r_stamp", lateness), near if on is None else near & on)
+def interval_join(left: DataFrame, right: DataFrame, tolerance_us: int, lateness: str, on: Column | None = None) -> DataFrame:
+    """Pairs of two streams (columns l_stamp and r_stamp) that are at most the tolerance apart; state is bounded by the watermarks.
+
+    Stream joins need an equality: messages are dealt to buckets as wide as the tolerance, right ones to their own bucket and both neighbours.
+    """
+    bucket = lambda c: F.floor(F.unix_micros(c) / F.lit(tolerance_us))
+    a = left.withWatermark("l_stamp", lateness).withColumn("__l", bucket(F.col("l_stamp")))
+    b = right.withWatermark("r_stamp", lateness).withColumn("__r", F.explode(F.array(*[bucket(F.col("r_stamp")) + k for k in (-1, 0, 1)])))
+    width = f"INTERVAL {tolerance_us / 1e6:.6f} SECONDS"
+    near = (F.col("__l") == F.col("__r")) & F.expr(f"r_stamp BETWEEN l_stamp - {width} AND l_stamp + {width}")
+    return a.join(b, near if on is None else near & on).drop("__l", "__r")
 
 
 def throttle(stream: DataFrame, interval: str, lateness: str, topic: str = "topic", stamp: str = "stamp") -> DataFrame:
