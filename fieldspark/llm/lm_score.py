@@ -227,7 +227,7 @@ def learn_weights(cells: np.ndarray, n: np.ndarray, rounds: int = 60) -> np.ndar
     return out
 
 
-def score(docs: DataFrame, trains=lambda crc: crc % 7 != 2, tunes=lambda crc: crc // 7 % 10 == 0, batch_bytes: int = 12 << 20) -> DataFrame:
+def score(docs: DataFrame, trains=lambda crc: crc % 7 != 2, tunes=lambda crc: crc // 7 % 10 == 0, batch_bytes: int = 6 << 20) -> DataFrame:
     """One row for each document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     Tokens are the words between white space, A-Z in lower case, and an end for each text.  `trains` and `tunes` decide by
