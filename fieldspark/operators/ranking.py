@@ -8,12 +8,12 @@ from pyspark.sql import functions as F
 from fieldspark.functions import params, scores
 
 
-def stage1_score(runs: DataFrame) -> DataFrame:
-    """Adds drop_pct, its parts and score to runs with resolution, target_fps, qos, color_hz."""
+def stage1_score(runs: DataFrame, hz: str = "color_hz") -> DataFrame:
+    """Adds drop_pct, its parts and score to runs with resolution, target_fps, qos and a measured rate (`measured_fps` in sensor runs)."""
     c = F.col
     parts = {
-        "drop_pct": scores.drop_pct(c("color_hz"), c("target_fps")),
-        "fps_score": scores.fps_score(c("color_hz"), c("target_fps")),
+        "drop_pct": scores.drop_pct(c(hz), c("target_fps")),
+        "fps_score": scores.fps_score(c(hz), c("target_fps")),
         "quality_score": scores.quality_score(scores.width_of(c("resolution")), scores.height_of(c("resolution")), c("target_fps")),
         "qos_score": scores.qos_score(c("qos")),
     }

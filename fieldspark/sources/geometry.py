@@ -50,23 +50,60 @@ def parse_ply(data: bytes) -> dict[str, list[dict]]:
     return out
 
 
+POINTS = "file string, pid bigint, x double, y double, z double, r double, g double, b double, nx double, ny double, nz double"
+FACES = "file string, tid bigint, v0 bigint, v1 bigint, v2 bigint"
+
+
+def parse_pcd(data: bytes) -> list[dict]:
+    """Points of a PCD file, ASCII or uncompressed binary; a packed `rgb` field becomes three colours."""
+    head, at = {}, 0
+    while "DATA" not in head:
+        end = data.index(b"\n", at)
+        word = data[at:end].decode("ascii").split()
+        if word and word[0] != "#":
+            head[word[0]] = word[1:]
+        at = end + 1
+    names, n = head["FIELDS"], int(head["POINTS"][0])
+    kinds = [{"F4": "f", "F8": "d", "U1": "B", "U2": "H", "U4": "I", "I1": "b", "I2": "h", "I4": "i"}[t + s] for t, s in zip(head["TYPE"], head["SIZE"])]
+    if any(c != "1" for c in head.get("COUNT", [])):
+        raise ValueError("fields of several numbers aren't read")
+    if head["DATA"] == ["ascii"]:
+        rows = [[float(v) if k in "fd" else int(v) for v, k in zip(line.split(), kinds)] for line in data[at:].splitlines()[:n]]
+    elif head["DATA"] == ["binary"]:
+        rows = [list(r) for r in struct.iter_unpack("<" + "".join(kinds), data[at : at + n * struct.calcsize("<" + "".join(kinds))])]
+    else:
+        raise ValueError(f"unsupported data {head['DATA']}")
+    out = []
+    for row in rows:
+        point = dict(zip(names, row))
+        if "rgb" in point:
+            packed = point.pop("rgb")
+            packed = struct.unpack("<I", struct.pack("<f", packed))[0] if isinstance(packed, float) else packed
+            point |= {"red": packed >> 16 & 255, "green": packed >> 8 & 255, "blue": packed & 255}
+        out.append(point | {n: point[f"normal_{n[1]}"] for n in ("nx", "ny", "nz") if f"normal_{n[1]}" in point})
+    return out
+
+
 class PlySource(DataSource):
-    """`spark.read.format("ply").load(path)`: points of one or more comma-separated files; colours are scaled to 0..1."""
+    """`spark.read.format("ply").load(path)`: points of one or more comma-separated PLY or PCD files, colours scaled to 0..1.
+
+    With the option element=face, the triangles of PLY meshes; faces of more corners are fanned.
+    """
 
     @classmethod
     def name(cls) -> str:
         return "ply"
 
     def schema(self) -> str:
-        return "file string, pid bigint, x double, y double, z double, r double, g double, b double, nx double, ny double, nz double"
+        return FACES if self.options.get("element") == "face" else POINTS
 
     def reader(self, schema) -> DataSourceReader:
-        return PlyReader(self.options["path"].split(","))
+        return PlyReader(self.options["path"].split(","), self.options.get("element") == "face")
 
 
 class PlyReader(DataSourceReader):
-    def __init__(self, paths: list[str]):
-        self.paths = paths
+    def __init__(self, paths: list[str], faces: bool):
+        self.paths, self.faces = paths, faces
 
     def partitions(self) -> list[InputPartition]:
         return [InputPartition(p) for p in self.paths]
@@ -76,7 +113,13 @@ class PlyReader(DataSourceReader):
 
         files, at = fs.FileSystem.from_uri(partition.value if "://" in partition.value else f"file://{partition.value}")
         with files.open_input_stream(at) as f:
-            rows = parse_ply(f.read()).get("vertex", [])
+            data = f.read()
+        if self.faces:
+            faces = [next(v for v in row.values() if isinstance(v, list)) for row in parse_ply(data).get("face", [])]
+            fans = [(c[0], c[k], c[k + 1]) for c in faces for k in range(1, len(c) - 1)]
+            yield from ((partition.value, i, *map(int, t)) for i, t in enumerate(fans))
+            return
+        rows = parse_ply(data).get("vertex", []) if data.startswith(b"ply") else parse_pcd(data)
         for i, row in enumerate(rows):
             color = [None if c not in row else row[c] / 255.0 if isinstance(row[c], int) else float(row[c]) for c in COLORS]
             yield (partition.value, i, float(row["x"]), float(row["y"]), float(row["z"]), *color, *[None if n not in row else float(row[n]) for n in ("nx", "ny", "nz")])

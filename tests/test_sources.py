@@ -2,6 +2,7 @@
 
 import json
 import sqlite3
+import struct
 
 import numpy as np
 import pytest
@@ -29,6 +30,19 @@ def test_ply(spark, tmp_path, ascii_):
     assert [(r["x"], r["y"], r["z"]) for r in rows] == points and rows[0]["g"] == pytest.approx(0.2) and rows[0]["nx"] is None
 
 
+def test_ply_faces_and_pcd(spark, tmp_path):
+    spark.dataSource.register(geometry.PlySource)
+    (tmp_path / "m.ply").write_text("ply\nformat ascii 1.0\nelement vertex 4\nproperty float x\nproperty float y\nproperty float z\nelement face 2\nproperty list uchar int vertex_indices\nend_header\n0 0 0\n1 0 0\n1 1 0\n0 1 0\n4 0 1 2 3\n3 0 1 3\n")
+    rows = spark.read.format("ply").option("element", "face").load(str(tmp_path / "m.ply")).orderBy("tid").collect()
+    assert [tuple(r)[2:] for r in rows] == [(0, 1, 2), (0, 2, 3), (0, 1, 3)]
+    head = "# .PCD v0.7\nVERSION 0.7\nFIELDS x y z rgb\nSIZE 4 4 4 4\nTYPE F F F U\nCOUNT 1 1 1 1\nWIDTH 2\nHEIGHT 1\nPOINTS 2\n"
+    (tmp_path / "a.pcd").write_text(head + "DATA ascii\n1 2 3 16711680\n4 5 6 255\n")
+    (tmp_path / "b.pcd").write_bytes((head + "DATA binary\n").encode() + struct.pack("<fffI", 1, 2, 3, 0xFF0000) + struct.pack("<fffI", 4, 5, 6, 0xFF))
+    for name in ("a", "b"):
+        got = spark.read.format("ply").load(str(tmp_path / f"{name}.pcd")).orderBy("pid").collect()
+        assert [(r["x"], r["z"], r["r"], r["b"]) for r in got] == [(1.0, 3.0, 1.0, 0.0), (4.0, 6.0, 0.0, 1.0)]
+
+
 def test_obj_round_trip(spark, tmp_path):
     v = spark.createDataFrame([(0, 0.0, 0.0, 0.0), (1, 1.0, 0.0, 0.0), (2, 1.0, 1.0, 0.0), (3, 0.0, 1.0, 0.0)], "vid bigint, x double, y double, z double")
     t = spark.createDataFrame([(0, 0, 1, 2), (1, 0, 2, 3)], schemas.TRIANGLE)
