@@ -42,7 +42,7 @@ def ranked(runs: DataFrame) -> DataFrame:
 
     The whole order is one window: meant for tables of runs, of which an experiment has few.
     """
-    rank = F.row_number().over(Window.orderBy(F.desc("score"), F.asc("seq")))
+    rank = F.row_number().over(Window.orderBy(F.desc("score"), F.asc("seq"))).cast("bigint")
     return runs.withColumn("rank", rank).withColumn("medal", scores.medal(F.col("rank")))
 
 

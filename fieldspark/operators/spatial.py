@@ -51,7 +51,7 @@ def _near(queries: DataFrame, points: DataFrame, edge: float) -> DataFrame:
 def radius_neighbours(queries: DataFrame, points: DataFrame, radius: float, most: int | None = None) -> DataFrame:
     """q, n, d2, rank of points within the radius (a point is its own neighbour), the `most` nearest."""
     pairs = _near(queries, points, radius).where(F.col("d2") <= radius * radius)
-    ranked = pairs.withColumn("rank", F.row_number().over(Window.partitionBy("q").orderBy("d2", "n")))
+    ranked = pairs.withColumn("rank", F.row_number().over(Window.partitionBy("q").orderBy("d2", "n")).cast("bigint"))
     return ranked if most is None else ranked.where(F.col("rank") <= most)
 
 
@@ -62,11 +62,11 @@ def knn(queries: DataFrame, points: DataFrame, k: int, edge: float, rounds: int
     """
     box = queries.select(*AXES).unionByName(points.select(*AXES)).agg(*[(F.max(a) - F.min(a)).alias(a) for a in AXES]).first()
     if box is None or box[0] is None:
-        return _near(queries, points, edge).withColumn("rank", F.lit(0))
+        return _near(queries, points, edge).withColumn("rank", F.lit(0).cast("bigint"))
     extent, parts, left = max(box), [], queries
     nearest, of_query = Window.partitionBy("q").orderBy("d2", "n"), Window.partitionBy("q")
     for _ in range(rounds):
-        pairs = _near(left, points, edge).withColumn("rank", F.row_number().over(nearest)).where(F.col("rank") <= k)
+        pairs = _near(left, points, edge).withColumn("rank", F.row_number().over(nearest).cast("bigint")).where(F.col("rank") <= k)
         if edge > extent:
             parts.append(pairs)
             break

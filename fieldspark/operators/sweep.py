@@ -45,7 +45,7 @@ def one_at_a_time(axes: DataFrame) -> DataFrame:
     chosen = F.transform("base", lambda b: F.when(b["axis_ord"] == F.col("v_axis"), F.struct(F.col("v_label").alias("label"), F.map_entries("v_params").alias("params"))).otherwise(F.struct(b["label"].alias("label"), b["params"].alias("params"))))
     rows = made.withColumn("chosen", chosen).select("v_axis", "v_opt", F.array_join(F.transform("chosen", lambda x: x["label"]), " | ").alias("label"), F.map_from_entries(F.flatten(F.transform("chosen", lambda x: x["params"]))).alias("params"))
     unique = rows.withColumn("__n", F.row_number().over(Window.partitionBy(params.canonical(F.col("params"))).orderBy("v_axis", "v_opt"))).where(F.col("__n") == 1)
-    return unique.select((F.row_number().over(Window.orderBy("v_axis", "v_opt")) - 1).alias("seq"), "label", "params")  # a sweep is small
+    return unique.select((F.row_number().over(Window.orderBy("v_axis", "v_opt")) - 1).cast("bigint").alias("seq"), "label", "params")  # a sweep is small
 
 
 def valid(configs: DataFrame, nproc: int, key: str = "Vis/CornerNbThreads", default: str = "4") -> DataFrame:
@@ -75,4 +75,4 @@ def sensor_configs(spark: SparkSession, rmws: list[str], quick: bool = False) ->
     d = table([(p,) for p in packed], "o4 int, compressed boolean")
     rows = a.crossJoin(b).crossJoin(c).crossJoin(d)  # a sweep's axes: tens of rows
     order = Window.orderBy("o1", F.desc("shm"), "o2", "o3", "o4")
-    return rows.select((F.row_number().over(order) - 1).alias("seq"), "rmw", "shm", "width", "height", "fps", "qos", "compressed")
+    return rows.select((F.row_number().over(order) - 1).cast("bigint").alias("seq"), "rmw", "shm", "width", "height", "fps", "qos", "compressed")

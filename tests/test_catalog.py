@@ -8,6 +8,7 @@ import pytest
 
 from fieldspark.plans import catalog
 
+TYPES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "boolean": "BOOLEAN"}
 DATA = "/root/testdata/sf0.01"
 
 
@@ -40,9 +41,11 @@ def test_query(spark, db, name):
     if name not in catalog.ORACLES:
         return
     want = db.execute(catalog.ORACLES[name])
-    names = [d[0] for d in want.description]
+    names, rows = [d[0] for d in want.description], want.fetchall()
     assert sorted(df.columns) == sorted(names)
-    assert _rows(df.columns, got) == _rows(names, want.fetchall())
+    types = {r[0]: r[1] for r in db.execute(f"DESCRIBE {catalog.ORACLES[name]}").fetchall()}
+    assert {c: TYPES[t] for c, t in df.dtypes} == types
+    assert _rows(df.columns, got) == _rows(names, rows)
 
 
 def test_every_oracle_has_a_query():
