@@ -26,17 +26,20 @@ def _with_text(docs: DataFrame, out: DataFrame, text: str) -> DataFrame:
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are near a language's centroids stay; the others, and those without a letter, go."""
+    ready(spark)
     model = language_id.fit(docs)
     return language_id.identify(docs, model).where(~F.col("rejected")).select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group stays: the one with the least doc_id."""
+    ready(spark)
     return near_dedup.near_duplicates(docs).where("kept").select(*docs.columns)
 
 
 def remove_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Bytes of repeated passages go; documents of which nothing but white space is left go with them."""
+    ready(spark)
     out = passages.remove_repeats(docs, least=PASSAGE_BYTES)
     left = (F.col("n_removed") == 0) | F.col("clean_text").rlike(r"[^\x20\x09-\x0D]")
     return _with_text(docs, out.where(left), "clean_text")
@@ -44,12 +47,13 @@ def remove_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def remove_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Spans of benchmark items go; documents that are mostly benchmark go as a whole."""
-    out = decontaminate.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    out = decontaminate.decontaminate(docs, ready(spark).read.parquet(f"{sf_dir}/benchmark.parquet"))
     return _with_text(docs, out.where(~F.col("dropped")), "clean_text")
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents in sequences, with their ids."""
+    ready(spark)
     return packing.pack(docs, tokenizer_path(), end_id=END_ID, window=WINDOW)
 
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
+import ctypes
 import os
 import pathlib
 import uuid
@@ -16,15 +18,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 ROOT = str(pathlib.Path(__file__).resolve().parents[2])
-SLICE_BYTES = 4 << 20  # text handled at once by a Python worker, unless one text is longer
+SLICE_BYTES = 2 << 20  # text handled at once by a Python worker, unless one text is longer
+ARROW_BYTES = 4 << 20  # of an Arrow batch between Spark and a worker, unless one row is longer
 _staged: dict[str, SparkSession] = {}
 
 
 def ready(spark: SparkSession) -> SparkSession:
-    """Let Python workers import this package also when it isn't installed there."""
+    """Let Python workers import this package also when it isn't installed there, and bound what goes to them at once."""
     env = spark.sparkContext.environment
     if ROOT not in env.get("PYTHONPATH", "").split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join(filter(None, [env.get("PYTHONPATH", ""), ROOT]))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)
     return spark
 
 
@@ -94,9 +98,24 @@ def id_crc(values: list) -> list[int]:
     return [zlib.crc32(b"" if v is None else str(v).encode()) for v in values]
 
 
+def relax() -> None:
+    """Give freed memory back to the system: workers live on after a task, and allocators keep what they once had."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
+def eased(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches of a task, and at its end relax()."""
+    try:
+        yield from batches
+    finally:
+        relax()
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Cut Arrow batches so that each has about `limit` bytes of text, or one row."""
-    for b in batches:
+    """Put Arrow batches together or cut them so that each has about `limit` bytes of text, or one row."""
+    for b in _together(eased(batches), limit) if limit > ARROW_BYTES else eased(batches):
         sizes = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(b.column(b.schema.get_field_index(column))), 0), dtype=np.int64) + 16)
         at = 0
         while at < b.num_rows:
@@ -105,6 +124,18 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int =
             at = end
 
 
+def _together(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.RecordBatch]:
+    held, size = [], 0
+    for b in batches:
+        held.append(b)
+        size += b.nbytes
+        if size >= limit:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held, size = [], 0
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
 def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[bytes]:
     """The texts as UTF-8; null is empty."""
     arr = batch.column(batch.schema.get_field_index(column))
@@ -118,7 +149,7 @@ def ids_of(batch: pa.RecordBatch, column: str = "doc_id") -> pa.Array:
 class WordHash(dict):
     """64-bit hashes of words, remembered for as many words as `limit`."""
 
-    def __init__(self, limit: int = 300_000):
+    def __init__(self, limit: int = 200_000):
         super().__init__()
         self.limit = limit
 
@@ -160,11 +191,11 @@ def shards_for(spark: SparkSession) -> int:
     return max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
-def map_rows(docs: DataFrame, make, own: str, keep: list[str] | None = None, read: list[str] | None = None) -> DataFrame:
+def map_rows(docs: DataFrame, make, own: str, keep: list[str] | None = None, read: list[str] | None = None, limit: int = SLICE_BYTES) -> DataFrame:
     """Add columns computed from each row in Python, batch by batch.
 
     make() is called once in each task and gives a function from an Arrow slice to a list of arrays, one for each column of
-    `own` (a DDL string).  `keep` lists the input columns that pass through, in order; `read` further ones that make's function needs.
+    `own` (a DDL string).  `keep` lists the input columns that pass through, in order; `read` further ones that make's function needs; `limit` is the bytes of text in a slice.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
@@ -177,10 +208,11 @@ def map_rows(docs: DataFrame, make, own: str, keep: list[str] | None = None, rea
 
     def run(batches):
         f = make()
-        for b in slices(batches):
-            made = f(b)
-            cols = [b.column(b.schema.get_field_index(c)) for c in keep] + list(made)
+        for b in slices(batches, limit=limit):
+            cols = [b.column(b.schema.get_field_index(c)) for c in keep] + list(f(b))
             yield pa.RecordBatch.from_arrays([a.cast(t.type) if a.type != t.type else a for a, t in zip(cols, arrow)], schema=arrow)
+        del f
+        relax()
 
     return source.mapInArrow(run, out)
 

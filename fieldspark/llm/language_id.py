@@ -41,7 +41,7 @@ class Profile:
         two = a[:-1] * np.uint32(0x9E3779B1) + a[1:] * np.uint32(0x85EBCA77)
         three = two[:-1] + a[2:] * np.uint32(0xC2B2AE3D)
         mixed = np.concatenate([two ^ (two >> np.uint32(15)), (three ^ (three >> np.uint32(15))) + np.uint32(1)]) * np.uint32(0x27D4EB2F)
-        return np.bincount(mixed >> np.uint32(20), minlength=DIM)
+        return np.bincount(mixed >> np.uint32(20), minlength=DIM).astype(np.uint32)
 
 
 def unit(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:

@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldspark.llm.common import id_crc, ids_of, mix, odd_numbers, shards_for, slices, stage, texts_of
+from fieldspark.llm.common import eased, id_crc, ids_of, mix, odd_numbers, relax, shards_for, slices, stage, texts_of
 
 END = np.uint64(0x454E44)
 FACTORS = odd_numbers(2, 77)
@@ -129,7 +129,7 @@ class Grams:
 
 def _send(shards: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in eased(batches):
             for batch, role, _, lengths, words, tokens in zip(*[b.column(k).to_pylist() if k != 2 else [None] * b.num_rows for k in range(6)]):
                 g = Grams(words, tokens, lengths, shards)
                 cols = [[] for _ in range(4)]
@@ -166,6 +166,7 @@ def _count(table: pa.Table) -> pa.Table:
             reply[f"a{keys}"] = total[0][mine].astype("<u4").tobytes() if r == TUNED else None
     shard = table.column("shard")[0].as_py()
     replies.append({"batch": -1, "w": np.array(known, "<u8").tobytes(), "p": b"", "aw": None, "ap": None})
+    relax()
     schema = pa.schema([("batch", pa.int64()), ("shard", pa.int32()), ("w", pa.binary()), ("p", pa.binary()), ("aw", pa.binary()), ("ap", pa.binary())])
     return pa.Table.from_pylist([{**r, "shard": shard} for r in replies], schema=schema)
 
@@ -193,7 +194,7 @@ def _histogram(shards: int, total: int, distinct: int):
         return np.where(p > 0, np.clip(np.rint(STEP * np.log2(np.maximum(p, 1e-300) / uniform)), -200, 300).astype(np.int64) + 201, 0)
 
     def run(batches):
-        for b in batches:
+        for b in eased(batches):
             for lengths, words, tokens, parts in zip(*[ids_of(b, k).to_pylist() for k in ("lengths", "words", "tokens", "parts")]):
                 g = Grams(words, tokens, lengths, shards)
                 context, two, one, uniform = _estimates(g, _gathered(parts, "aw"), _gathered(parts, "ap"), total, distinct)
@@ -260,7 +261,7 @@ def score(docs: DataFrame, trains=lambda crc: crc % 7 != 2, tunes=lambda crc: cr
     weights = learn_weights(np.asarray(table.column("cell"), dtype=np.int64), np.asarray(table.column("n"), dtype=np.float64))
 
     def run(batches):
-        for b in batches:
+        for b in eased(batches):
             for role, ids, lengths, words, toks, parts in zip(*[ids_of(b, k).to_pylist() for k in ("role", "ids", "lengths", "words", "tokens", "parts")]):
                 g = Grams(words, toks, lengths, shards)
                 seen = _gathered(parts, "w")

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldspark.llm.common import WordHash, carried, ids_of, likely, map_rows, mix, odd_numbers, ranges, shards_for, stage, texts_of
+from fieldspark.llm.common import WordHash, carried, eased, ids_of, likely, map_rows, mix, odd_numbers, ranges, shards_for, stage, texts_of
 from fieldspark.llm.components import components
 
 OWN = ["n_shingles", "component_id", "kept"]
@@ -97,7 +97,7 @@ def _post(classes: DataFrame, coords: int, shards: int) -> DataFrame:
     """Blocks of (coordinate-value key, class), dealt by key."""
 
     def run(batches):
-        for b in batches:
+        for b in eased(batches):
             if not b.num_rows:
                 continue
             sig = np.frombuffer(b"".join(ids_of(b, "sig").to_pylist()), "<u4").reshape(-1, coords)
@@ -240,7 +240,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, numerator: int = 80, denomin
     lists = lists.select("rep", F.slice("p", F.lit(1), F.size("p") - F.lit(coords - prefix)).alias("p"))
 
     def deal(batches):
-        for b in batches:
+        for b in eased(batches):
             if not b.num_rows:
                 continue
             p = ids_of(b, "p")

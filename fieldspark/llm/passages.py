@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fieldspark.llm.common import carried, ids_of, map_rows, mix, odd_numbers, shards_for, slices, stage, texts_of
+from fieldspark.llm.common import carried, eased, ids_of, map_rows, mix, odd_numbers, relax, shards_for, slices, stage, texts_of
 from fieldspark.llm.near_dedup import _blocks
 
 GRAM = 32
@@ -141,6 +141,7 @@ def _match_runs(hot: int):
     comes once, 2 if it is marked already; 3 and 4 are the same for groups of more than `hot` contents."""
 
     def run(table: pa.Table) -> pa.Table:
+        relax()
         rows = np.frombuffer(b"".join(table.column("runs").to_pylist()), RUN)
         marks = np.frombuffer(b"".join(table.column("marks").to_pylist()), MARK)
         rows = rows[np.lexsort((rows["lo"], rows["rid"], rows["c"], rows["g"]))]
@@ -272,7 +273,7 @@ def _mark_contexts(least: int, batch_bytes: int = 2 << 20):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, group, size = [], [], 0
         last = None
-        for b in batches:
+        for b in eased(batches):
             for row in zip(*[c.to_pylist() for c in b.columns]):  # g, kind, rid, lo, context
                 if row[0] != last:
                     held += group

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldspark.llm.common import mix, shards_for, slices, stage, staged_path, texts_of
-from fieldspark.llm.tokens import encoder
+from fieldspark.llm.tokens import ENCODE_BYTES, Encoder
 
 MAGIC = b"FSIDX01\n"
 NULL_KEY = np.uint64(0x6E756C6C)
@@ -212,9 +212,9 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, end_id: int, root: str |
         shard, attempt = context.partitionId(), context.taskAttemptId()
         files, base = _open(root)
         stem = f"{base}/shard-{shard:06d}"
-        enc, keys, ends, total, first, last, null = encoder(tokenizer_path), [], [], 0, None, None, False
+        enc, keys, ends, total, first, last, null = Encoder(tokenizer_path), [], [], 0, None, None, False
         sink = None
-        for b in slices(batches):
+        for b in slices(batches, limit=ENCODE_BYTES):
             if not b.num_rows:
                 continue
             if sink is None:

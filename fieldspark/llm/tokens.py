@@ -7,8 +7,8 @@ library's BPE model gives directly; every other word goes through the library's
 
 from __future__ import annotations
 
+import functools
 import os
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -16,6 +16,7 @@ import pyarrow.compute as pc
 
 from fieldspark.llm.common import ranges
 
+ENCODE_BYTES = 12 << 20  # of text whose distinct words are encoded together
 MARKS = "!\"#$%&()*+,-./:;=?@[\\]^_`{|}~"  # ASCII punctuation but for ' and <, which begin contractions and special tokens
 
 
@@ -29,6 +30,15 @@ def _byte_names() -> dict[int, str]:
     return names
 
 
+@functools.cache
+def _tokenizer(path: str):
+    """This worker's tokenizer of a vocabulary file; what it has remembered of words goes with each task's Encoder."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(path)
+
+
 class Pool:
     """Ids of strings, one after the other; a string is known by its number."""
 
@@ -42,9 +52,7 @@ class Pool:
         """The strings' numbers; encode gives the ids of those that are new."""
         new = [s for s in strings if s not in self.index]
         if new:
-            got = encode(new)
-            flat = np.fromiter(chain.from_iterable(got), np.uint32)
-            lengths = np.fromiter(map(len, got), np.int64, len(got))
+            flat, lengths = (np.array(x, t) for x, t in zip(encode(new), (np.uint32, np.int64)))
             base, n = len(self.index), len(new)
             self.ids = self._room(self.ids, self.used + len(flat))
             self.starts, self.lengths = self._room(self.starts, base + n), self._room(self.lengths, base + n)
@@ -63,22 +71,24 @@ class Pool:
 class Encoder:
     """Ids of texts; remembers up to about `limit` words, then starts anew."""
 
-    def __init__(self, path: str, limit: int = 500_000):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
+    def __init__(self, path: str, limit: int = 300_000):
+        self.tokenizer = _tokenizer(path)
         self.limit, self.names = limit, _byte_names()
         self.pool = Pool()
 
-    def _parts(self, strings: list[str]) -> list[list[int]]:
-        """Ids of single pre-tokens: lower-case Latin letters, or marks."""
-        tokenize = self.tokenizer.model.tokenize
-        return [[t.id for t in tokenize(s if s.isascii() else s.encode().decode("latin-1").translate(self.names))] if s else [] for s in strings]
+    def _parts(self, strings: list[str]) -> tuple[list[int], list[int]]:
+        """Ids, all in a row, and their numbers, of single pre-tokens: lower-case Latin letters, or marks."""
+        tokenize, flat, lengths = self.tokenizer.model.tokenize, [], []
+        for s in strings:
+            got = tokenize(s if s.isascii() else s.encode().decode("latin-1").translate(self.names)) if s else ()
+            flat += [t.id for t in got]
+            lengths.append(len(got))
+        return flat, lengths
 
-    def _whole(self, strings: list[str]) -> list[list[int]]:
-        """Ids of any words; a space before them keeps their numbers apart from those of parts."""
-        return [e.ids for e in self.tokenizer.encode_batch([s[1:] for s in strings], add_special_tokens=False)]
+    def _whole(self, strings: list[str]) -> tuple[list[int], list[int]]:
+        """The same of any words; a space before them keeps their numbers apart from those of parts."""
+        got = [e.ids for e in self.tokenizer.encode_batch([s[1:] for s in strings], add_special_tokens=False)]
+        return [x for ids in got for x in ids], [len(ids) for ids in got]
 
     def _words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Numbers of each distinct word's two parts (of the whole word and of nothing, if it isn't plain)."""
@@ -119,9 +129,21 @@ class Encoder:
         counts = np.asarray(pc.list_value_length(words), dtype=np.int64)
         flat = words.flatten().dictionary_encode()
         first, second = self._words(flat.dictionary) if len(flat) else (np.zeros(0, np.int64),) * 2
-        at = np.asarray(flat.indices, dtype=np.int64)
-        # two parts of each word in turn
-        number = np.stack([first[at], second[at]], 1).ravel() if len(at) else np.zeros(0, np.int64)
+        edges = np.concatenate([[0], np.cumsum(counts)])
+        at, parts, sizes = np.asarray(flat.indices), [], []
+        step = 1 << 18  # words turned into ids at once, unless one text has more
+        lo = 0
+        while lo < len(texts):
+            hi = max(lo + 1, int(np.searchsorted(edges, edges[lo] + step, side="right")) - 1)
+            ids, n = self._ids(first, second, at[edges[lo] : edges[hi]], counts[lo:hi], end)
+            parts.append(ids)
+            sizes.append(n)
+            lo = hi
+        return (np.concatenate(parts), np.concatenate(sizes)) if parts else (np.empty(0, np.uint32), np.empty(0, np.int64))
+
+    def _ids(self, first: np.ndarray, second: np.ndarray, at: np.ndarray, counts: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of texts given as distinct words' places, and the number of ids of each text."""
+        number = np.stack([first[at], second[at]], 1).ravel()  # two parts of each word in turn
         lengths = self.pool.lengths[number]
         total = np.concatenate([[0], np.cumsum(lengths)])
         edges = 2 * np.concatenate([[0], np.cumsum(counts)])
@@ -133,13 +155,3 @@ class Encoder:
         out[ends] = end
         out[inside] = self.pool.ids[ranges(self.pool.starts[number], lengths)]
         return out, sizes
-
-
-_encoders: dict[str, Encoder] = {}
-
-
-def encoder(path: str) -> Encoder:
-    """This worker's encoder for a vocabulary file."""
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
