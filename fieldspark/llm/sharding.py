@@ -98,12 +98,12 @@ def splitters(keyed: DataFrame, n_shards: int, tolerance: float = 0.005, bits: i
     return sorted(c if c is not None else (TOP, TOP) for c in cuts)
 
 
-def histogram_shards(docs: DataFrame, n_shards: int = 40, tolerance: float = 0.005, overhead: int = 16, fine_bits: int = 14) -> DataFrame:
+def histogram_shards(docs: DataFrame, n_shards: int = 40, tolerance: float = 0.005, overhead: int = 16, fine_bits: int = 14, piece_rows: int = 512) -> DataFrame:
     """All rows with size, text_crc32, law ('bytes'), shard, slot and grown_shard (null) added.
 
     size is the text's UTF-8 bytes plus `overhead`; sizes of shards differ from their mean by at most the tolerance (a part of
     a shard's mean) and one document on each side.  Equal texts stay in one shard unless a splitter has to fall inside a group.
-    slot counts from 0 without gaps within a shard, in key order.  Null text: no bytes, crc32 of the empty text.  Null doc_id
+    slot counts from 0 without gaps within a shard, in order of the key's leading bits.  Null text: no bytes, crc32 of the empty text.  Null doc_id
     sorts as the least id.  Repeated rows each get a slot.  An empty table gives an empty table.  Other columns pass through;
     input columns with a result's name are replaced.
     """
@@ -112,12 +112,20 @@ def histogram_shards(docs: DataFrame, n_shards: int = 40, tolerance: float = 0.0
     narrow = stage(keyed.select("__key", "__doc", "size"), "keys")
     cuts = splitters(narrow, n_shards, tolerance)
     place = _shard_of(cuts, F.col("__key"), F.col("__doc"))
-    # A fine part of a shard: a bounded number of parts, each counted beforehand, so that no task ranks a whole shard.
+    # Fine parts of a shard, and pieces of large ones (equal texts have one key): a bounded number of both, each counted
+    # beforehand, so that no task ranks a whole shard or a whole group.
     fine = F.shiftrightunsigned(_unsigned(F.col("__key")), 64 - fine_bits)
-    counts = narrow.groupBy(place.alias("shard"), fine.alias("__fine")).agg(F.count("*").alias("__n"))
-    before = Window.partitionBy("shard").orderBy("__fine").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("shard", "__fine", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))  # at most 2**fine_bits + n_shards rows
-    rank = F.row_number().over(Window.partitionBy("shard", "__fine").orderBy("__key", "__doc"))
-    placed = keyed.withColumns({"shard": place, "__fine": fine}).join(F.broadcast(offsets), ["shard", "__fine"])
+    cells = narrow.withColumns({"shard": place, "__fine": fine})
+    least = max(piece_rows, narrow.count() >> fine_bits)
+    sizes = cells.groupBy("shard", "__fine").agg(F.count("*").alias("__m"))  # at most 2**fine_bits + n_shards rows
+    pieces = sizes.select("shard", "__fine", F.ceil(F.col("__m") / F.lit(least)).cast("int").alias("__pieces"))
+    piece = F.pmod(F.xxhash64("__doc"), F.col("__pieces")).cast("int")
+    cells = cells.join(F.broadcast(pieces), ["shard", "__fine"]).withColumn("__piece", piece)
+    counts = cells.groupBy("shard", "__fine", "__piece").agg(F.count("*").alias("__n"))  # at most 2**fine_bits more
+    before = Window.partitionBy("shard").orderBy("__fine", "__piece").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("shard", "__fine", "__piece", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
+    rank = F.row_number().over(Window.partitionBy("shard", "__fine", "__piece").orderBy("__key", "__doc"))
+    placed = keyed.withColumns({"shard": place, "__fine": fine}).join(F.broadcast(pieces), ["shard", "__fine"]).withColumn("__piece", piece)
+    placed = placed.join(F.broadcast(offsets), ["shard", "__fine", "__piece"])
     out = placed.withColumns({"slot": F.col("__before") + rank - 1, "law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")})
     return out.select(*carried(docs, OWN), *OWN)
