@@ -53,9 +53,23 @@ def _window_min(x: np.ndarray, w: int) -> np.ndarray:
     return np.minimum(backward[: n - w + 1], forward[w - 1 : n])
 
 
+def _lots(pieces: list[bytes]) -> Iterator[slice]:
+    """Neighbouring pieces of so many bytes together that PLACE can hold each byte's place."""
+    lo = held = 0
+    for k, p in enumerate(pieces):
+        if k > lo and held + len(p) > int(PLACE) + 1:
+            yield slice(lo, k)
+            lo, held = k, 0
+        held += len(p)
+    if pieces:
+        yield slice(lo, len(pieces))
+
+
 def runs_of(pieces: list[bytes], least: int) -> tuple[np.ndarray, ...] | None:
     """Runs of windows in texts put in a row: (piece, core hash, content hash, first window, last window), windows counted within the piece."""
     buf = np.frombuffer(b"".join(pieces), np.uint8)
+    if len(buf) > int(PLACE) + 1:
+        raise ValueError(f"{len(buf)} bytes at once are more than anchors have places for")
     sizes = np.array([len(p) for p in pieces], np.int64)
     if len(buf) < least:
         return None
@@ -117,19 +131,20 @@ def _find_runs(least: int, shards: int, flush: int = 400_000):
                     pieces.append(t[s : s + SEGMENT + least - 1])
                     rid.append(r)
                     base.append(s)
-            found = runs_of(pieces, least)
-            if found is None:
-                continue
-            piece, core, content, lo, hi = found
-            rows = np.zeros(len(lo), RUN)
-            base = np.array(base, np.int64)[piece]
-            rows["g"], rows["c"], rows["rid"] = core, content, np.array(rid, np.int64)[piece]
-            rows["lo"], rows["hi"], rows["n"] = lo + base, hi + base, 1
-            parts.append(rows)
-            held += len(rows)
-            if held >= flush:
-                yield emit(parts)
-                parts, held = [], 0
+            for lot in _lots(pieces):
+                found = runs_of(pieces[lot], least)
+                if found is None:
+                    continue
+                piece, core, content, lo, hi = found
+                rows = np.zeros(len(lo), RUN)
+                at = np.array(base[lot], np.int64)[piece]
+                rows["g"], rows["c"], rows["rid"] = core, content, np.array(rid[lot], np.int64)[piece]
+                rows["lo"], rows["hi"], rows["n"] = lo + at, hi + at, 1
+                parts.append(rows)
+                held += len(rows)
+                if held >= flush:
+                    yield emit(parts)
+                    parts, held = [], 0
         if parts:
             yield emit(parts)
 

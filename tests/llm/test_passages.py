@@ -1,6 +1,7 @@
 import brute
 import cases
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -20,6 +21,22 @@ def test_removed_bytes_against_brute_force(spark, monkeypatch, least, segment, h
     assert any(w[2] for w in want)
 
 
+def test_runs_of_a_text_longer_than_an_anchors_place(monkeypatch):
+    r = np.random.default_rng(5)
+    part = lambda n: r.integers(97, 123, n).astype(np.uint8).tobytes().decode()
+    passage = part(700)
+    batch = pa.RecordBatch.from_pydict({"rid": pa.array([1, 2], pa.int64()), "text": [part(500) + passage + part(9000) + passage + part(3000), passage]})
+    monkeypatch.setattr(passages, "SEGMENT", 1500)
+
+    def found():
+        blocks = [b for out in passages._find_runs(100, 1)(iter([batch])) for b in out.column("runs").to_pylist()]
+        return np.frombuffer(b"".join(blocks), passages.RUN)
+
+    want = found()
+    monkeypatch.setattr(passages, "PLACE", np.uint64((1 << 12) - 1))
+    assert (want["n"] == 3).any() and found().tolist() == want.tolist()
+
+
 def test_matching_statistics_against_brute_force():
     r = np.random.default_rng(3)
     texts = [bytes(r.integers(97, 99, n).astype(np.uint8)) for n in (1, 30, 45, 45, 7)]
