@@ -1,9 +1,11 @@
 import zlib
 from collections import defaultdict
+from types import SimpleNamespace
 
 import cases
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 
 from fieldspark.llm import packing, token_store
@@ -89,5 +91,35 @@ def test_neighbours_share_words():
     assert all(len(set(w)) == 1 for w in windows)
 
 
+def test_a_query_reaches_every_shard(tmp_path):
+    r = np.random.default_rng(1)
+    docs = [np.append(r.zipf(1.3, r.integers(1, 90)) % 500, 2).astype(np.uint32) for _ in range(200)]
+    corpus = packing.Corpus.of(docs)
+    coded = pa.RecordBatch.from_pydict({"k": pa.array(range(200), pa.int64()), "coded": [d.astype("<u2").tobytes() for d in docs], "n": pa.array([len(d) for d in docs], pa.int64())})
+    shards = list(packing._index(SimpleNamespace(value=corpus), 700, 8)(iter([coded])))
+    assert len(shards) > 5
+    pq.write_table(pa.Table.from_batches(shards), tmp_path / "part.parquet", row_group_size=2)
+    queries = list(packing._queries(iter(pa.table(b.columns[:1] + b.columns[2:4], ["k", "n_query", "query"]).to_batches()[0] for b in shards)))
+    unused = r.random(200) < 0.7
+    found = next(packing._search(f"file://{tmp_path}", SimpleNamespace(value=(np.packbits(unused, bitorder="little"), 500)), 10, cells=1)(iter(queries)))
+    index = packing.Index(docs)
+    for k, ranking in zip(found.column(0).to_pylist(), found.column(1).to_pylist()):
+        got, score = np.frombuffer(ranking, "<i8"), np.where(unused, index.scores(k, 8), 0)
+        want = np.sort(score)[::-1][:10]
+        assert unused[got].all() and len(set(got.tolist())) == len(got) == (want > 0).sum()
+        assert np.allclose(score[got], want[: len(got)], rtol=1e-5)
+
+
+def test_windows_hold_one_topic_however_the_index_is_cut(spark):
+    r = np.random.default_rng(2)
+    words = ["".join(r.choice(list("abdegiklmnoprstu"), 6)) for _ in range(960)]
+    rows = [(i, " ".join(r.choice(words[60 * (i % 16) : 60 * (i % 16) + 60], 60))) for i in range(320)]
+    got = packing.pack(spark.createDataFrame(rows, "doc_id bigint, text string"), tokenizer_path(), end_id=2, window=512, index_tokens=3000).collect()
+    topics = defaultdict(set)
+    for g in got:
+        topics[g["sequence_id"]].add(g["doc_id"] % 16)
+    assert sum(len(t) == 1 for t in topics.values()) > 0.6 * len(topics), sum(len(t) == 1 for t in topics.values()) / len(topics)
+
+
 def test_pack_of_nothing(spark):
     assert packing.pack(cases.frame(spark, []), tokenizer_path(), end_id=2).collect() == []
