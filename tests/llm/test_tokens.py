@@ -1,3 +1,4 @@
+import math
 import zlib
 from collections import defaultdict
 from types import SimpleNamespace
@@ -5,6 +6,7 @@ from types import SimpleNamespace
 import cases
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 import pyarrow.parquet as pq
 import pytest
 
@@ -87,29 +89,73 @@ def test_neighbours_share_words():
     r = np.random.default_rng(0)
     topics = [r.integers(k * 1000, k * 1000 + 60, (8, 100)) for k in range(4)]
     docs = [{"id": 10 * k + j, "ids": row.astype(np.uint32), "at": 0} for j in range(8) for k, row in enumerate(t[j] for t in topics)]
-    windows = [[d["id"] // 10 for d, _, _ in parts] for parts, _ in packing._fill(docs, 400, 32, True)]
+    windows = [[d["id"] // 10 for d, _, _ in parts] for parts, _ in packing._fill(docs, 400, 32, True, packing.Words())]
     assert all(len(set(w)) == 1 for w in windows)
 
 
-def test_a_query_reaches_every_shard(tmp_path):
+@pytest.mark.parametrize(("most", "cells"), [(10, 1 << 18), (3, 1)])
+def test_a_query_reaches_every_shard(tmp_path, most, cells):
     r = np.random.default_rng(1)
     docs = [np.append(r.zipf(1.3, r.integers(1, 90)) % 500, 2).astype(np.uint32) for _ in range(200)]
-    corpus = packing.Corpus.of(docs)
+    words = packing.Words()
+    corpus = packing.Corpus.of(docs, words, common=1.0)
     coded = pa.RecordBatch.from_pydict({"k": pa.array(range(200), pa.int64()), "coded": [d.astype("<u2").tobytes() for d in docs], "n": pa.array([len(d) for d in docs], pa.int64())})
-    shards = list(packing._index(SimpleNamespace(value=corpus), 700, 8)(iter([coded])))
+    shards = list(packing._index(SimpleNamespace(value=corpus), words, 700, 8)(iter([coded])))
     assert len(shards) > 5
-    pq.write_table(pa.Table.from_batches(shards), tmp_path / "part.parquet", row_group_size=2)
-    queries = list(packing._queries(iter(pa.table(b.columns[:1] + b.columns[2:4], ["k", "n_query", "query"]).to_batches()[0] for b in shards)))
+    half = len(shards) // 2
+    paths = [str(tmp_path / f"part-{k}.parquet") for k in range(2)]
+    for path, own in zip(paths, (shards[:half], shards[half:])):
+        pq.write_table(pa.Table.from_batches(own), path, row_group_size=2)
+    queries = pa.Table.from_batches([q for b in shards for q in packing._queries(iter([pa.RecordBatch.from_arrays(b.columns[:1] + b.columns[2:4], ["k", "n_query", "query"])]))]).to_pylist()
     unused = r.random(200) < 0.7
-    found = next(packing._search(f"file://{tmp_path}", SimpleNamespace(value=(np.packbits(unused, bitorder="little"), 500)), 10, cells=1)(iter(queries)))
-    index = packing.Index(docs)
-    for k, ranking in zip(found.column(0).to_pylist(), found.column(1).to_pylist()):
-        got, score = np.frombuffer(ranking, "<i8"), np.where(unused, index.scores(k, 8), 0)
-        want = np.sort(score)[::-1][:10]
-        assert unused[got].all() and len(set(got.tolist())) == len(got) == (want > 0).sum()
+    sent = SimpleNamespace(value=(np.packbits(unused, bitorder="little"), np.array([len(q["query"]) // 4 for q in queries]), np.frombuffer(b"".join(q["query"] for q in queries), "<u4")))
+    found = pa.Table.from_batches([b for path in paths for b in packing._search("file:///", SimpleNamespace(value=corpus), sent, most, 3, cells)(iter([pa.record_batch({"path": [path]})]))])
+    rankings = {}
+    for part in range(3):
+        got = packing._merge(most)(found.filter(pa.compute.equal(found.column("part"), part))).to_pylist()[0]
+        for s, d in zip(np.frombuffer(got["seeds"], "<i8").tolist(), np.frombuffer(got["docs"], "<i8").tolist()):
+            rankings.setdefault(queries[s]["k"], []).append(d)
+    index = packing.Index(docs, 8, words, corpus)
+    assert set(rankings) == set(range(200))
+    for k, got in rankings.items():
+        score = np.where(unused, index.scores(k), 0)
+        want = np.sort(score)[::-1][:most]
+        assert unused[got].all() and len(set(got)) == len(got) == (want > 0).sum()
         assert np.allclose(score[got], want[: len(got)], rtol=1e-5)
 
 
+def test_scores_are_bm25():
+    r = np.random.default_rng(4)
+    docs = [r.integers(0, 40, r.integers(1, 30)).astype(np.uint32) for _ in range(50)]
+    index = packing.Index(docs, 5, packing.Words())
+    n, mean = len(docs), sum(map(len, docs)) / len(docs)
+    df = {t: sum(t in d for d in docs) for t in range(40)}
+    idf = {t: math.log(1 + (n - f + 0.5) / (f + 0.5)) for t, f in df.items() if 1 < f <= 0.25 * n}
+
+    def weight(t, d):
+        tf = int((d == t).sum())
+        return idf.get(t, 0) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len(d) / mean))
+
+    for k, seed in enumerate(docs):
+        weights = sorted((weight(t, seed) for t in set(seed.tolist())), reverse=True)
+        got = index.scores(k)
+        query = [t for t in set(seed.tolist()) if weight(t, seed) > 0 and weight(t, seed) > (weights[5] if len(weights) > 5 else 0)]
+        if len(query) == min(5, sum(w > 0 for w in weights)):  # no tie at the query's end
+            assert np.allclose(got, [sum(weight(t, d) for t in query) for d in docs], rtol=1e-5)
+
+
+def test_terms_are_words():
+    e = Encoder(tokenizer_path())
+    words = packing.Words.of(e.tokenizer.get_vocab())
+    texts = ["abrelontis mikundar, abrelontis!", "mikundar kopal", "", "xx abrelontis"]
+    flat, n = e.encode([t.encode() for t in texts], 2)
+    term, doc, tf = words.pairs(np.split(flat, np.cumsum(n)[:-1]))
+    count = {(d, t): c for t, d, c in zip(term.tolist(), doc.tolist(), tf.tolist())}
+    (twice,) = [t for (d, t), c in count.items() if c == 2]
+    assert (3, twice) in count and (1, twice) not in count
+    assert [sum(c for (d, _), c in count.items() if d == k) for k in range(4)] == [6, 3, 1, 3]
+
+
 def test_windows_hold_one_topic_however_the_index_is_cut(spark):
     r = np.random.default_rng(2)
     words = ["".join(r.choice(list("abdegiklmnoprstu"), 6)) for _ in range(960)]
