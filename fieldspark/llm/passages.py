@@ -20,6 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,7 +29,7 @@ from fieldspark.llm.common import carried, eased, ids_of, map_rows, mix, odd_num
 from fieldspark.llm.near_dedup import _blocks
 
 GRAM = 32
-SEGMENT = 4 << 20  # longer texts are read in overlapping parts
+SEGMENT = LOT = 1 << 20  # longer texts are read in overlapping parts; so much is looked at once
 BYTE = np.random.default_rng(41).integers(0, 1 << 63, 256, dtype=np.uint64)
 FACTORS = odd_numbers(5, 42)
 PLACE = np.uint64((1 << 24) - 1)
@@ -54,10 +55,10 @@ def _window_min(x: np.ndarray, w: int) -> np.ndarray:
 
 
 def _lots(pieces: list[bytes]) -> Iterator[slice]:
-    """Neighbouring pieces of so many bytes together that PLACE can hold each byte's place."""
+    """Neighbouring pieces of at most LOT bytes together, or one piece."""
     lo = held = 0
     for k, p in enumerate(pieces):
-        if k > lo and held + len(p) > int(PLACE) + 1:
+        if k > lo and held + len(p) > min(LOT, int(PLACE) + 1):
             yield slice(lo, k)
             lo, held = k, 0
         held += len(p)
@@ -102,8 +103,8 @@ def runs_of(pieces: list[bytes], least: int) -> tuple[np.ndarray, ...] | None:
     return owner[lo], core, content, lo - start, hi - start
 
 
-def _find_runs(least: int, shards: int, flush: int = 400_000):
-    """Runs dealt by core as blocks.  Runs that repeat within the task are marked here, and one of them goes on for all."""
+def _find_runs(least: int, shards: int, flush: int = 300_000):
+    """Runs dealt by core as blocks, from rows (rid, start, text).  Runs that repeat within the task are marked here, and one of them goes on for all."""
 
     def emit(parts: list[np.ndarray]) -> pa.RecordBatch:
         rows = np.concatenate(parts)
@@ -124,13 +125,13 @@ def _find_runs(least: int, shards: int, flush: int = 400_000):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, held = [], 0
-        for b in slices(batches, limit=1 << 20):
+        for b in slices(batches, limit=1 << 19):
             pieces, rid, base = [], [], []
-            for r, t in zip(np.asarray(ids_of(b, "rid")).tolist(), texts_of(b)):
+            for r, at, t in zip(np.asarray(ids_of(b, "rid")).tolist(), ids_of(b, "start").to_pylist(), texts_of(b)):
                 for s in range(0, max(1, len(t) - least + 1), SEGMENT):
                     pieces.append(t[s : s + SEGMENT + least - 1])
                     rid.append(r)
-                    base.append(s)
+                    base.append(at + s)
             for lot in _lots(pieces):
                 found = runs_of(pieces[lot], least)
                 if found is None:
@@ -271,8 +272,9 @@ def _stretches(on: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(np.flatnonzero(edge == 1).tolist(), (np.flatnonzero(edge == -1) - 1).tolist()))
 
 
-def _mark_contexts(least: int, batch_bytes: int = 2 << 20):
-    """Marks of contexts (sorted by group) from one index for each batch of whole groups."""
+def _mark_contexts(least: int, batch_bytes: int = 1 << 18):
+    """Marks of contexts (sorted by group) from one index for each batch of whole groups.  A batch has at most `batch_bytes`, or one group, whose contexts are at
+    most `hot` of less than twice `least` bytes each.  Small batches stay in the processor's caches, and an index of them takes some 30 MB."""
 
     def solve(rows: list[tuple]) -> pa.RecordBatch:
         texts = [r[4] for r in rows]
@@ -286,18 +288,16 @@ def _mark_contexts(least: int, batch_bytes: int = 2 << 20):
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["rid", "lo", "hi"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, group, size = [], [], 0
-        last = None
+        held, group, size, last = [], [], 0, None
         for b in eased(batches):
             for row in zip(*[c.to_pylist() for c in b.columns]):  # g, kind, rid, lo, context
                 if row[0] != last:
-                    held += group
-                    group, last = [], row[0]
-                    if size >= batch_bytes and held:
-                        yield solve(held)
-                        held, size = [], 0
+                    held, group, last = held + group, [], row[0]
                 group.append(row)
                 size += len(row[4])
+                if size > batch_bytes and held:  # the groups before this one are whole
+                    yield solve(held)
+                    held, size = [], sum(len(r[4]) for r in group)
         if held or group:
             yield solve(held + group)
 
@@ -317,23 +317,26 @@ def _window_hashes(least: int):
     return run
 
 
-def repeated_windows(docs: DataFrame, least: int, hot: int = 8192) -> DataFrame:
-    """(rid, lo, hi): windows lo to hi of a row start a string of `least` bytes that starts elsewhere too; rid and text are docs' columns."""
-    shards = shards_for(docs.sparkSession)
-    blocks = docs.select("rid", "text").mapInArrow(_find_runs(least, shards), "shard int, runs binary, marks binary")
+def repeated_windows(texts: DataFrame, least: int, hot: int = 512) -> DataFrame:
+    """(rid, lo, hi): windows lo to hi of a row start a string of `least` bytes that starts elsewhere too.
+
+    texts: rid, start, text; stretches of rows, each with its first byte's place in the row, or whole rows with start 0.  What is compared are the stretches.
+    """
+    shards = shards_for(texts.sparkSession)
+    blocks = texts.select("rid", "start", "text").mapInArrow(_find_runs(least, shards), "shard int, runs binary, marks binary")
     found = stage(blocks.groupBy("shard").applyInArrow(_match_runs(hot), "kind tinyint, g bigint, rid bigint, lo bigint, hi bigint"), "runs")
     asked = found.where(F.col("kind") > 0).groupBy("rid").agg(F.collect_list(F.struct("g", F.col("kind").cast("int").alias("kind"), "lo", "hi")).alias("asked"))  # bounded by the text's length
 
     def cut(batches):
-        for b in slices(batches, limit=1 << 20):
+        for b in slices(batches, limit=1 << 19):
             out = []
-            for rid, text, asked in zip(ids_of(b, "rid").to_pylist(), texts_of(b), ids_of(b, "asked").to_pylist()):
-                out += [(x["g"], x["kind"], rid, x["lo"], text[x["lo"] : x["hi"] + least]) for x in asked]
+            for rid, start, text, asked in zip(ids_of(b, "rid").to_pylist(), ids_of(b, "start").to_pylist(), texts_of(b), ids_of(b, "asked").to_pylist()):
+                out += [(x["g"], x["kind"], rid, x["lo"], text[x["lo"] - start : x["hi"] - start + least]) for x in asked if start <= x["lo"] and x["hi"] + least <= start + len(text)]
             cols = list(zip(*out)) if out else [()] * 5
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()))], ["g", "kind", "rid", "lo", "context"])
 
     schema = "g bigint, kind int, rid bigint, lo bigint, context binary"
-    contexts = stage(docs.select("rid", "text").join(asked, "rid").mapInArrow(cut, schema), "contexts")
+    contexts = stage(texts.select("rid", "start", "text").join(asked, "rid").mapInArrow(cut, schema), "contexts")
     contexts = contexts.dropDuplicates(["g", "rid", "lo"])  # rows that are equal in id and text
     usual = contexts.where(F.col("kind") <= 2).repartition(shards, "g").sortWithinPartitions("g", "rid", "lo")
     marks = usual.mapInArrow(_mark_contexts(least), "rid bigint, lo bigint, hi bigint")
@@ -343,37 +346,80 @@ def repeated_windows(docs: DataFrame, least: int, hot: int = 8192) -> DataFrame:
     return found.where(F.col("kind") == 0).select("rid", "lo", "hi").unionByName(marks).unionByName(large)
 
 
-def remove_repeats(docs: DataFrame, least: int = 400, keep: list[str] | None = None) -> DataFrame:
+def _covered(size: int, lo: np.ndarray, hi: np.ndarray, least: int) -> np.ndarray:
+    """Which of a text's bytes lie in the strings that windows lo to hi start."""
+    edge = np.zeros(size + 1, np.int32)
+    np.add.at(edge, lo, 1)
+    np.add.at(edge, hi + least, -1)
+    return np.cumsum(edge[:-1]) > 0
+
+
+def _marks_of(batch: pa.RecordBatch, column: str) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Each row's (lo, hi)."""
+    arr = ids_of(batch, column)
+    ends = np.cumsum(np.asarray(pc.fill_null(pc.list_value_length(arr), 0), dtype=np.int64))
+    flat = arr.flatten()
+    lo, hi = (np.asarray(flat.field(k), dtype=np.int64) for k in ("lo", "hi"))
+    for s, e in zip([0, *ends.tolist()], ends.tolist()):
+        yield lo[s:e], hi[s:e]
+
+
+def _long_stretches(passage: int, least: int):
+    """The stretches of marked windows of `passage` bytes that have room for one of `least`: a string of `least` bytes that repeats lies inside one."""
+
+    def run(batches):
+        for b in slices(batches):
+            rows = []
+            for rid, text, (lo, hi) in zip(ids_of(b, "rid").to_pylist(), texts_of(b), _marks_of(b, "near")):
+                edge = np.zeros(len(text) + 2, np.int32)
+                np.add.at(edge, lo, 1)
+                np.add.at(edge, hi + 1, -1)
+                rows += [(rid, s, text[s : e + passage]) for s, e in _stretches(np.cumsum(edge) > 0) if e + passage - s >= least]
+            rid, start, text = zip(*rows) if rows else [()] * 3
+            yield pa.RecordBatch.from_arrays([pa.array(rid, pa.int64()), pa.array(start, pa.int64()), pa.array(text, pa.binary())], ["rid", "start", "text"])
+
+    return run
+
+
+def remove_repeats(docs: DataFrame, least: int = 400, keep: list[str] | None = None, passage: int | None = None) -> DataFrame:
     """All rows with OWN added; `keep` names the input columns that pass through (all, if not given).
 
     n_bytes: UTF-8 bytes of the text.  n_removed: bytes in a string of `least` bytes that also starts anywhere else, in the same
     or another row; strings never reach over a text's end.  spans: maximal removed runs as [start, end).  kept: the other
-    bytes.  clean_text: the same as text, without the parts of characters that lost other parts.  Null text counts as empty.  Two rows with equal id and text are two places,
-    and remove each other if they are long enough; so are rows of null doc_id.  An empty table gives an empty table; input
-    columns with a result's name are replaced.  `least` is at least twice the gram of 32 bytes.
+    bytes.  clean_text: the same as text, without the parts of characters that lost other parts.  n_passage: if `passage` is given, bytes in a
+    string of `passage` bytes (fewer than `least`) that also starts anywhere else; nothing is removed for it.
+
+    Null text counts as empty.  Two rows with equal id and text are two places, and remove each other if they are long enough; so are rows of null doc_id.  An
+    empty table gives an empty table; input columns with a result's name are replaced.  Texts longer than SEGMENT are read in parts that overlap
+    by `least` - 1 bytes, so no string is lost; a task holds the longest text.  `least` and `passage` are at least twice the gram of 32 bytes.
     """
-    if least < 2 * GRAM:
-        raise ValueError(f"least is below {2 * GRAM}")
+    if min(least, passage or least) < 2 * GRAM or passage and passage >= least:
+        raise ValueError(f"least and passage are {2 * GRAM} or more, and passage is below least")
     keyed = docs.withColumn("rid", row_key())
-    marks = repeated_windows(keyed, least).groupBy("rid").agg(F.collect_set(F.struct("lo", "hi")).alias("__marks"))
+    whole = keyed.select("rid", F.lit(0).cast("bigint").alias("start"), "text")
+    grouped = lambda x, name: x.groupBy("rid").agg(F.collect_set(F.struct("lo", "hi")).alias(name))
+    if passage:
+        near = stage(grouped(repeated_windows(whole, passage), "near"), "marks")
+        stretches = stage(keyed.select("rid", "text").join(near, "rid").mapInArrow(_long_stretches(passage, least), "rid bigint, start bigint, text binary"), "stretches")
+        marks = near.join(grouped(repeated_windows(stretches, least), "far"), "rid", "left")
+    else:
+        marks = grouped(repeated_windows(whole, least), "far")
 
     def make():
         def f(b: pa.RecordBatch) -> list[pa.Array]:
-            out = []
-            for text, marks in zip(texts_of(b), ids_of(b, "__marks").to_pylist()):
-                edge = np.zeros(len(text) + 1, np.int32)
-                for m in marks or ():
-                    edge[m["lo"]] += 1
-                    edge[m["hi"] + least] -= 1
-                gone = np.cumsum(edge[:-1]) > 0
+            out, n_passage = [], []
+            for text, (lo, hi) in zip(texts_of(b), _marks_of(b, "far")):
+                gone = _covered(len(text), lo, hi, least)
                 spans = _stretches(gone)
                 rest = np.frombuffer(text, np.uint8)[~gone].tobytes() if spans else text
                 out.append((len(text), int(gone.sum()), len(spans), [{"start": s, "end": e + 1} for s, e in spans], rest, rest.decode("utf-8", "ignore")))
+            if passage:
+                n_passage = [pa.array([int(_covered(len(text), lo, hi, passage).sum()) for text, (lo, hi) in zip(texts_of(b), _marks_of(b, "near"))], pa.int64())]
             n, r, s, x, k, t = zip(*out)
-            return [pa.array(n, pa.int64()), pa.array(r, pa.int64()), pa.array(s, pa.int64()), pa.array(x, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), pa.array(k, pa.binary()), pa.array(t, pa.string())]
+            return [pa.array(n, pa.int64()), pa.array(r, pa.int64()), pa.array(s, pa.int64()), pa.array(x, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), pa.array(k, pa.binary()), pa.array(t, pa.string()), *n_passage]
 
         return f
 
-    names = ["n_bytes", "n_removed", "n_spans", "spans", "kept", "clean_text"]
+    names = ["n_bytes", "n_removed", "n_spans", "spans", "kept", "clean_text", *["n_passage"] * bool(passage)]
     carry = carried(docs, names) if keep is None else keep
-    return map_rows(keyed.join(marks, "rid", "left"), make, OWN, keep=carry, read=["text", "__marks"])
+    return map_rows(keyed.join(marks, "rid", "left"), make, OWN + ", n_passage bigint" * bool(passage), keep=carry, read=["text", *["near"] * bool(passage), "far"])

@@ -1,3 +1,5 @@
+from collections import Counter
+
 import brute
 import cases
 import numpy as np
@@ -13,7 +15,7 @@ def test_removed_bytes_against_brute_force(spark, monkeypatch, least, segment, h
     rows = cases.documents()
     monkeypatch.setattr(passages, "SEGMENT", segment)
     default = passages.repeated_windows
-    monkeypatch.setattr(passages, "repeated_windows", lambda docs, n: default(docs, n, hot=hot))
+    monkeypatch.setattr(passages, "repeated_windows", lambda texts, n: default(texts, n, hot=hot))
     got = passages.remove_repeats(cases.frame(spark, rows), least=least).withColumn("sha", F.sha2("kept", 256)).collect()
     want = [(r[0], *brute.repeat_digest(*x)) for r, x in zip(rows, brute.repeats([r[1] for r in rows], least))]
     key = lambda x: (x[0] is None, x[0] or 0, *x[1:])
@@ -21,11 +23,43 @@ def test_removed_bytes_against_brute_force(spark, monkeypatch, least, segment, h
     assert any(w[2] for w in want)
 
 
+@pytest.mark.parametrize("hot", [512, 1])
+def test_shorter_passages_are_told_and_change_nothing(spark, monkeypatch, hot):
+    rows = cases.documents()
+    default = passages.repeated_windows
+    monkeypatch.setattr(passages, "repeated_windows", lambda texts, n: default(texts, n, hot=hot))
+    got = passages.remove_repeats(cases.frame(spark, rows), least=400, passage=150).withColumn("sha", F.sha2("kept", 256)).collect()
+    texts = [r[1] for r in rows]
+    want = [(r[0], *brute.repeat_digest(*x), sum(y[1])) for r, x, y in zip(rows, brute.repeats(texts, 400), brute.repeats(texts, 150))]
+    key = lambda x: (x[0] is None, x[0] or 0, *x[1:])
+    assert sorted(((g["doc_id"], g["n_bytes"], g["n_removed"], g["n_spans"], g["sha"], g["n_passage"]) for g in got), key=key) == sorted(want, key=key)
+    assert any(w[2] < w[5] for w in want)
+
+
+def test_a_group_of_many_contexts_is_a_batch_of_its_own():
+    r = np.random.default_rng(6)
+    core = r.integers(97, 123, 150).astype(np.uint8).tobytes()
+    context = lambda: r.integers(97, 99, 6).astype(np.uint8).tobytes() + core
+    rows = [(g, 1, 100 * g + k, 0, context()) for g, n in ((1, 3), (2, 40), (3, 2), (4, 30)) for k in range(n)]
+    batch = pa.RecordBatch.from_arrays([pa.array([x[k] for x in rows], t) for k, t in enumerate((pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()))], ["g", "kind", "rid", "lo", "context"])
+
+    def marked(size):
+        out = pa.Table.from_batches(list(passages._mark_contexts(150, size)(iter([batch.slice(0, 20), batch.slice(20)]))))
+        return sorted((x["rid"], i) for x in out.to_pylist() for i in range(x["lo"], x["hi"] + 1))
+
+    windows = [(g, rid, i, text[i : i + 150]) for g, _, rid, _, text in rows for i in range(7)]
+    seen = Counter(w for g, _, _, w in windows)
+    want = sorted((rid, i) for g, rid, i, w in windows if sum(n for x, n in seen.items() if x == w) > 1)
+    by_group = Counter((g, w) for g, _, _, w in windows)
+    assert marked(1 << 20) == want
+    assert {m for m in want if m in set(marked(500))} == {(rid, i) for g, rid, i, w in windows if by_group[g, w] > 1}
+
+
 def test_runs_of_a_text_longer_than_an_anchors_place(monkeypatch):
     r = np.random.default_rng(5)
     part = lambda n: r.integers(97, 123, n).astype(np.uint8).tobytes().decode()
     passage = part(700)
-    batch = pa.RecordBatch.from_pydict({"rid": pa.array([1, 2], pa.int64()), "text": [part(500) + passage + part(9000) + passage + part(3000), passage]})
+    batch = pa.RecordBatch.from_pydict({"rid": pa.array([1, 2], pa.int64()), "start": pa.array([0, 0], pa.int64()), "text": [part(500) + passage + part(9000) + passage + part(3000), passage]})
     monkeypatch.setattr(passages, "SEGMENT", 1500)
 
     def found():
