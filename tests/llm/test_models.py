@@ -1,5 +1,7 @@
 """Language identification and the quality classifier on held-out rows of the driver's tables, and on awkward ones."""
 
+import random
+
 import cases
 from pyspark.sql import functions as F
 
@@ -40,6 +42,28 @@ def test_far_text_is_rejected(spark):
     assert language_id.identify(docs, model).where("rejected").count() <= 0.01 * docs.count()
 
 
+def test_long_far_texts_are_rejected(spark):
+    docs = spark.read.parquet(f"{DATA}/documents.parquet").select("doc_id", "text", "lang")
+    model = language_id.fit(docs)
+    r = random.Random(5)
+    letters = " ".join("".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(r.randint(2, 9))) for _ in range(4000))
+    italian = "Nel mezzo del cammin di nostra vita mi ritrovai per una selva oscura, che la diritta via era smarrita. Ahi quanto a dir qual era è cosa dura questa selva selvaggia e aspra e forte che nel pensier rinova la paura! "
+    got = language_id.identify(spark.createDataFrame([(1, letters), (2, italian * 8)], "doc_id bigint, text string"), model).collect()
+    assert all(g["rejected"] for g in got), got
+
+
+def test_every_language_is_learnt_whatever_repeats(spark):
+    r = random.Random(6)
+    word = lambda a: "".join(r.choice(a) for _ in range(5))
+    alphabets = {f"l{k:03d}": [chr(0x4E00 + 40 * k + i) for i in range(30)] for k in range(230)}
+    rows = [(7 * k + j, " ".join(word(a) for _ in range(40)), lang) for k, (lang, a) in enumerate(alphabets.items()) for j in range(3)]
+    rows += [(5, rows[0][1], "l000")] * 900
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    model = language_id.fit(docs, per_lang=50, most_rows=1000, least_rows=3)
+    assert model.langs == sorted(alphabets)
+    assert language_id.identify(docs, model).where("lang <> lang_pred").count() == 0
+
+
 def test_quality_on_held_out_labels(spark):
     labels = spark.read.parquet(f"{DATA}/labels.parquet")
     got = QUERIES["op8_co_training"](spark, DATA).join(labels, "doc_id").where("held_out")
