@@ -36,6 +36,8 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share; it is set here only where the session has none (tests, local mode)."""
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         at = "file:///tmp/checkpoints/fieldspark"
         spark.conf.set("spark.checkpoint.dir", at)
     return at.rstrip("/")

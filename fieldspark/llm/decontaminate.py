@@ -7,7 +7,6 @@ a document whose neighbouring word pairs all come in some item are streamed: a m
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterable
 from itertools import repeat
 
@@ -204,7 +203,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = 10, coverage:
 
     The items are read in blocks of about `block_bytes` of text, each built into one automaton and broadcast: a larger benchmark means more passes over the
     documents, not a larger broadcast.  Null or empty text has no words; items without words have no windows; an empty
-    benchmark hits nothing.  Repeated rows are each judged.  Null item_id counts as the text ''.
+    benchmark hits nothing.  Repeated rows are each judged, texts of any length as a whole, and input columns with a result's name are replaced.  Null item_id counts as the text ''.
     """
     spark = docs.sparkSession
     blocks = _blocks(items.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item_id"), F.coalesce("text", F.lit("")).alias("text")), block_bytes)
@@ -253,6 +252,3 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = 10, coverage:
     out = map_rows(keyed.join(found, "__key", "left"), last, OWN, read=["doc_id", "text", "__hits", "__items", "__longest"])
     return out.drop("__key", "__hits", "__items", "__longest")
 
-
-def items_digest(names: list[str]) -> str:
-    return hashlib.sha256(",".join(names).encode()).hexdigest()

@@ -12,7 +12,6 @@ are counted by 48 bits of a 64-bit hash within a shard, the shard taking the oth
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -236,7 +235,7 @@ def score(docs: DataFrame, trains=lambda crc: crc % 7 != 2, tunes=lambda crc: cr
     n_known: tokens seen in training.  base_score: log10 of the add-one unigram estimate, summed.  score: log10 of the interpolated estimate, summed.
 
     Null text is empty and has the end alone.  Null doc_id counts as the text '' for `trains`.  Repeated rows count and are scored
-    each.  An empty table gives an empty table.  Without training texts all estimates are uniform.  Other columns are not read.
+    each; texts of any length are scored as a whole, by the batch that they fill.  An empty table gives an empty table.  Without training texts all estimates are uniform.  Other columns are not read.
     """
     spark = docs.sparkSession
     shards = shards_for(spark)
@@ -277,6 +276,3 @@ def score(docs: DataFrame, trains=lambda crc: crc % 7 != 2, tunes=lambda crc: cr
 
     return joined(None, ["w", "p"]).select("role", "ids", "lengths", "words", "tokens", "parts").mapInArrow(run, "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double")
 
-
-def perplexity(score_: float, tokens: int) -> float:
-    return math.pow(10, -score_ / tokens) if tokens else float("nan")

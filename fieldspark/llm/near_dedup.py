@@ -205,7 +205,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, numerator: int = 80, denomin
     sequence if that is shorter.  Two documents are linked if denominator * intersection >= numerator * union.  component_id is
     the least doc_id reachable; kept marks that document itself.  Null or empty text, or one without words: an empty set, linked with nothing.
     Rows of one doc_id count as one document's versions.  A null doc_id joins its equals' component, but names none: without
-    another id, component_id is null and the row is kept.  Input columns with a result's name are replaced; an empty table gives an empty table.
+    another id, component_id is null and the row is kept.  Texts of any length
+    are read as a whole.  Input columns with a result's name are replaced; an empty table gives an empty table.
 
     Groups of candidates and lists beyond `block` members are dealt to tasks as pairs of blocks, so no task holds an unbounded group.
     """

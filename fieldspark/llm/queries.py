@@ -111,4 +111,17 @@ WITH d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B
  m AS (SELECT doc_id, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS items FROM h GROUP BY 1)
 SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN c USING (doc_id) LEFT JOIN m USING (doc_id)""",
+    # bytes as pairs of hexadecimal digits; windows by the place of their first byte
+    "op9_run_length_index": """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+ w AS (SELECT doc_id, k, p, hash(substr(h, 2 * p + 1, 2 * k)) AS s FROM (SELECT doc_id, h, k, unnest(range(n - k + 1)) AS p FROM d, (VALUES (400), (240)) AS v(k) WHERE n >= k)),
+ r AS (SELECT doc_id, k, p FROM w JOIN (SELECT k, s FROM w GROUP BY k, s HAVING count(*) > 1) USING (k, s)),
+ f AS (SELECT doc_id, k, p, p - coalesce(lag(p) OVER o, -1000000) AS gap FROM r WINDOW o AS (PARTITION BY doc_id, k ORDER BY p)),
+ g AS (SELECT doc_id, k, p, sum(CASE WHEN gap > k THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id, k ORDER BY p) AS span FROM f),
+ x AS (SELECT doc_id, k, span, min(p) AS s, max(p) + k AS e FROM g GROUP BY 1, 2, 3),
+ c AS (SELECT doc_id, CAST(sum(e - s) FILTER (k = 400) AS BIGINT) AS gone, count(*) FILTER (k = 400) AS spans, CAST(sum(e - s) FILTER (k = 240) AS BIGINT) AS passage FROM x GROUP BY 1),
+ b AS (SELECT doc_id, s, e, coalesce(lag(e) OVER (PARTITION BY doc_id ORDER BY s), 0) AS before, row_number() OVER (PARTITION BY doc_id ORDER BY s DESC) = 1 AS last FROM x WHERE k = 400),
+ t AS (SELECT doc_id, string_agg(substr(h, 2 * before + 1, 2 * (s - before)) || CASE WHEN last THEN substr(h, 2 * e + 1) ELSE '' END, '' ORDER BY s) AS kept FROM b JOIN d USING (doc_id) GROUP BY 1)
+SELECT doc_id, n AS n_bytes, coalesce(gone, 0) AS n_removed, coalesce(spans, 0) AS n_spans, sha256(unhex(coalesce(kept, h))) AS kept_sha256, coalesce(passage, 0) AS n_passage
+FROM d LEFT JOIN c USING (doc_id) LEFT JOIN t USING (doc_id)""",
 }

@@ -9,7 +9,6 @@ store where they end in the payload.  A look-up costs a few hashes, one slot and
 from __future__ import annotations
 
 import io
-import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -200,7 +199,7 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, end_id: int, root: str |
 
     Null text counts as empty (it has the end id alone); null doc_ids come first; rows with equal doc_ids are ordered by a hash of their text.
     Shards are ranges of doc_id; equal ids share one.  An empty table writes no shard.  `width` is bytes an id: 2 needs ids below 65536.
-    Columns besides doc_id and text are not stored.  A task writes its files under its attempt's name and renames them when
+    Columns besides doc_id and text are not stored, whatever their names; texts of any length are encoded as a whole.  A task writes its files under its attempt's name and renames them when
     they are whole, so a repeated task leaves the same files.
     """
     spark = docs.sparkSession
@@ -247,6 +246,3 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, end_id: int, root: str |
     ordered = source.repartitionByRange(n, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.xxhash64("text"))
     return TokenStore(spark, root, stage(ordered.mapInArrow(write, MANIFEST), "manifest"))
 
-
-def crc32_of(ids: np.ndarray) -> int:
-    return zlib.crc32(ids.astype("<u4").tobytes())

@@ -1,4 +1,6 @@
 import math
+import zlib
+from collections import Counter
 
 import brute
 import cases
@@ -19,23 +21,46 @@ def test_scores_against_brute_force(spark):
     assert held and sum(g["score"] for g in held) > sum(g["base_score"] for g in held)
 
 
-def test_probabilities_sum_to_one_over_the_vocabulary(spark):
-    """All continuations of one context, the unknown word included."""
-    rows = [(i, t) for i, t in enumerate(["a b a b c", "a b c a", "b a c", "c a b a", "a a b c"] * 4)]
-    docs = spark.createDataFrame(rows + [(1000 + k, f"{w}") for k, w in enumerate(["a", "b", "c", "zzz", ""])], "doc_id bigint, text string")
-    trains = lambda c: True
-    import zlib
-
-    ids = {zlib.crc32(str(1000 + k).encode()) for k in range(5)}
-    got = {r["doc_id"]: r for r in lm_score.score(docs, trains=lambda c: c not in ids, tunes=lambda c: c % 3 == 0).collect()}
-    assert trains(0)
-    # text w: p(w | end) * p(end | w); the empty text gives p(end | end)
-    first = {}
-    for k, w in enumerate(["a", "b", "c"]):
-        assert got[1000 + k]["n_tokens"] == 2
-        first[w] = got[1000 + k]["score"]
-    assert got[1003]["n_known"] == 1 and got[1004]["n_tokens"] == 1
-    assert all(10**v <= 1 for v in first.values())
+def test_scores_are_the_mixture_and_sum_to_one(spark, monkeypatch):
+    """With given weights: each text's score by plain counting, and all continuations of each context, the unknown word included."""
+    r = np.random.default_rng(8)
+    weights = r.dirichlet([1, 1, 1], lm_score.BUCKETS)
+    weights[0] = [0, 0.7, 0.3]
+    monkeypatch.setattr(lm_score, "learn_weights", lambda cells, n: weights)
+    rows = [(i, " ".join(r.choice(list("abcdefgh"), r.integers(0, 30)))) for i in range(60)]
+    got = {g["doc_id"]: g for g in lm_score.score(spark.createDataFrame(rows, "doc_id bigint, text string"), batch_bytes=200).collect()}
+    tokens = {i: [*t.split(), None] for i, t in rows}
+    train = [t for i, t in tokens.items() if zlib.crc32(str(i).encode()) % 7 != 2]
+    one = Counter(x for t in train for x in t)
+    two = Counter(x for t in train for x in zip([None, *t], t))
+    total = sum(one.values())
+
+    def p(word, before):
+        c = one[before]
+        w = weights[min(int(math.log2(c)) + 1, lm_score.BUCKETS - 1) if c else 0]
+        return w[0] * (two[before, word] / c if c else 0) + w[1] * one[word] / total + w[2] / (len(one) + 1)
+
+    for i, t in tokens.items():
+        assert math.isclose(got[i]["score"], sum(math.log10(p(x, y)) for y, x in zip([None, *t], t)), rel_tol=1e-9)
+    for before in [*one, "unknown"]:
+        assert math.isclose(sum(p(x, before) for x in [*one, "unknown"]), 1) or not one[before]  # the uniform part has a place for the unknown word
+
+
+def test_rounded_ratios_cost_little(spark):
+    """Weights learned on rounded ratios against expectation-maximisation on the exact ones: the likelihood of the held-back tokens."""
+    r = np.random.default_rng(9)
+    ratio = np.exp2(r.normal([6, 4], [4, 3], (4000, 2)))
+    ratio[r.random((4000, 2)) < [0.3, 0.05]] = 0
+    exact = np.concatenate([ratio, np.ones((4000, 1))], 1)
+    w = np.full(3, 1 / 3)
+    for _ in range(60):
+        share = exact * w
+        w = (share / share.sum(1, keepdims=True)).mean(0)
+    rounded = np.where(ratio > 0, np.rint(lm_score.STEP * np.log2(np.maximum(ratio, 1e-300))).astype(np.int64) + 201, 0)
+    cell, n = np.unique((3 << 20) | (rounded[:, 0] << 10) | rounded[:, 1], return_counts=True)
+    got = lm_score.learn_weights(cell, n.astype(float))[3]
+    loss = lambda x: -np.log2(exact @ x).mean()
+    assert 0 <= loss(got) - loss(w) < 1e-3 and np.abs(got - w).max() < 0.02
 
 
 def test_weights_are_mixtures_and_follow_the_likelihood():
