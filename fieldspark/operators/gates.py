@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldspark.functions.scores import bytes_to_mb
@@ -42,3 +42,18 @@ def combined(verdicts: DataFrame, force: bool = False) -> DataFrame:
     """One row: whether no gate failed, or `force`; warnings don't stop anything."""
     ok = F.bool_and(F.col("verdict") != "fail")
     return verdicts.agg((F.coalesce(ok, F.lit(True)) | F.lit(force)).alias("ok"), F.count_if(F.col("verdict") == "warn").alias("warnings"))
+
+
+def sequence(steps: DataFrame, force: bool = False) -> DataFrame:
+    """Gates in a row (ord, gate, verdict): a gate is reached only if none before it failed, or with `force`; the others are `skipped`.
+
+    The order is one window: a pipeline has few gates.
+    """
+    before = F.max((F.col("verdict") == "fail").cast("int")).over(Window.orderBy("ord").rowsBetween(Window.unboundedPreceding, -1))
+    stopped = (F.coalesce(before, F.lit(0)) == 1) & ~F.lit(force)
+    return steps.withColumn("outcome", F.when(stopped, "skipped").otherwise(F.col("verdict")))
+
+
+def exit_code(verdicts: DataFrame, force: bool = False) -> int:
+    """0 if no gate failed, or with `force`; 1 otherwise."""
+    return 0 if combined(verdicts, force).first()["ok"] else 1

@@ -63,6 +63,18 @@ def resources(samples: DataFrame, name: str, per_process: str = "mean") -> DataF
     return own.agg(F.coalesce(F.avg("cpu_pct"), F.lit(0.0)).alias("cpu_pct"), F.coalesce(F.avg(scores.kb_to_mb(F.col("rss_kb"))), F.lit(0.0)).alias("ram_mb"))
 
 
+def rate_and_cpu(messages: DataFrame, samples: DataFrame, name: str, seconds: float, topic: str = "topic") -> DataFrame:
+    """Each topic's rate over one sample of `seconds`, beside the mean CPU percent of the first process called `name` in the same time."""
+    cpu = resources(samples, name, per_process="first").select("cpu_pct")  # one row
+    return fixed_window_rate(messages, seconds, topic).join(F.broadcast(cpu))
+
+
+def progress(runs: DataFrame, order: str = "seq") -> DataFrame:
+    """`i/n` of each run, in order.  The order is one window: meant for tables of runs, of which an experiment has few."""
+    i, n = F.row_number().over(Window.orderBy(order)), F.count("*").over(Window.partitionBy())
+    return runs.withColumn("progress", F.concat_ws("/", i.cast("string"), n.cast("string")))
+
+
 def growth(artifacts: DataFrame, seconds: float) -> DataFrame:
     """Size in MB and MB a minute, from metadata alone."""
     mb = scores.bytes_to_mb(F.col("length"))

@@ -12,6 +12,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fieldspark.session import kept
+
 AXES = ("x", "y", "z")
 
 
@@ -49,34 +51,59 @@ def _near(queries: DataFrame, points: DataFrame, edge: float) -> DataFrame:
 
 
 def radius_neighbours(queries: DataFrame, points: DataFrame, radius: float, most: int | None = None) -> DataFrame:
-    """q, n, d2, rank of points within the radius (a point is its own neighbour), the `most` nearest."""
+    """q, n, d2, rank of points within the radius (a point is its own neighbour), the `most` nearest.
+
+    With `most`, cells follow the density as in knn(), and no query meets many more points than that, however dense the cloud; without, all pairs are the result.
+    """
+    if most is not None:
+        return knn(queries, points, most, radius, within=radius)
     pairs = _near(queries, points, radius).where(F.col("d2") <= radius * radius)
-    ranked = pairs.withColumn("rank", F.row_number().over(Window.partitionBy("q").orderBy("d2", "n")).cast("bigint"))
-    return ranked if most is None else ranked.where(F.col("rank") <= most)
+    return pairs.withColumn("rank", F.row_number().over(Window.partitionBy("q").orderBy("d2", "n")).cast("bigint"))
+
+
+def _edge_for(points: DataFrame, k: int, edge: float) -> float:
+    """The edge halved until the cell of the average place has at most 4 k places: each round is one aggregation to a row.  Points in one place count once, as no cell parts them."""
+    places = points.select(*AXES).distinct()
+    for _ in range(48):
+        per_cell = places.groupBy(*[cell(F.col(a), edge).alias(f"c{a}") for a in AXES]).agg(F.count("*").alias("n"))
+        if (per_cell.agg((F.sum(F.col("n").cast("double") * F.col("n")) / F.sum("n")).alias("m")).first()["m"] or 0.0) <= 4 * k:
+            break
+        edge /= 2
+    return edge
 
 
-def knn(queries: DataFrame, points: DataFrame, k: int, edge: float, rounds: int = 32) -> DataFrame:
-    """q, n, d2, rank of the k nearest points (a point is its own neighbour); all points if there are fewer.
+def knn(queries: DataFrame, points: DataFrame, k: int, edge: float, rounds: int = 64, within: float | None = None) -> DataFrame:
+    """q, n, d2, rank of the k nearest points (a point is its own neighbour), only those `within` a distance if it is given; all points if there are fewer.
 
-    Each round's unresolved queries are counted on the driver, and the result of each round is one plan; a cell as wide as both clouds ends it.
+    The first cells are small enough for the average point's neighbourhood to hold some k points, whatever `edge` says, so dense regions are resolved among few
+    pairs; the queries that are left are repeated with doubled cells (four times as wide where a round resolves few).  Each round's result is
+    written to the shared folder, and its unresolved queries are counted; a cell as wide as both clouds, or as `within`, ends it.
     """
     box = queries.select(*AXES).unionByName(points.select(*AXES)).agg(*[(F.max(a) - F.min(a)).alias(a) for a in AXES]).first()
     if box is None or box[0] is None:
         return _near(queries, points, edge).withColumn("rank", F.lit(0).cast("bigint"))
-    extent, parts, left = max(box), [], queries
+    enough = max(box) if within is None else min(max(box), within)
+    edge, parts, left, n_left = _edge_for(points, k, edge), [], queries, queries.count()
     nearest, of_query = Window.partitionBy("q").orderBy("d2", "n"), Window.partitionBy("q")
     for _ in range(rounds):
-        pairs = _near(left, points, edge).withColumn("rank", F.row_number().over(nearest).cast("bigint")).where(F.col("rank") <= k)
-        if edge > extent:
+        last = edge > enough or within is not None and edge >= enough
+        if last and within is not None:
+            edge = max(edge, within)
+        pairs = _near(left, points, edge)
+        if within is not None:
+            pairs = pairs.where(F.col("d2") <= within * within)
+        pairs = pairs.withColumn("rank", F.row_number().over(nearest).cast("bigint")).where(F.col("rank") <= k)
+        if last:
             parts.append(pairs)
             break
         sure = pairs.withColumns({"__m": F.count("*").over(of_query), "__far": F.max("d2").over(of_query)}).where((F.col("__m") == k) & (F.col("__far") <= edge * edge)).drop("__m", "__far")
-        parts.append(sure)
-        # the few that are left are kept, so that later rounds don't repeat the earlier ones
-        left = left.join(sure.where(F.col("rank") == 1).select(F.col("q").alias("pid")), "pid", "left_anti").persist()
-        if left.isEmpty():
+        # neither the pairs nor the queries that are left are made again by later rounds
+        parts.append(kept(sure, "near"))
+        left, before = kept(left.join(parts[-1].where(F.col("rank") == 1).select(F.col("q").alias("pid")), "pid", "left_anti"), "left"), n_left
+        n_left = left.count()
+        if not n_left:
             break
-        edge *= 2
+        edge *= 2 if n_left < 0.9 * before else 4
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -96,10 +123,40 @@ def statistical_outliers(points: DataFrame, k: int = 20, ratio: float = 2.0, edg
     return points.join(kept.select("pid"), "pid", "left_semi")
 
 
+def _order_statistic(values: DataFrame, column: str, k: int, bins: int = 1024, few: int = 4096) -> float:
+    """The k-th smallest value (from 0): rounds of counts in equal bins narrow the range to the bin that holds it, until its values are few or one."""
+    lo, hi, n = values.agg(F.min(column), F.max(column), F.count(column)).first()
+    while lo < hi and n > few:
+        at = F.least(F.floor((F.col(column) - F.lit(lo)) / F.lit((hi - lo) / bins)), F.lit(bins - 1))
+        rows = values.where(F.col(column).between(lo, hi)).groupBy(at.alias("b")).agg(F.count("*").alias("n"), F.min(column).alias("lo"), F.max(column).alias("hi")).orderBy("b").collect()
+        for r in rows:  # at most `bins`
+            if k < r["n"]:
+                break
+            k -= r["n"]
+        if (r["lo"], r["hi"], r["n"]) == (lo, hi, n):
+            break
+        lo, hi, n = r["lo"], r["hi"], r["n"]
+    if lo == hi:
+        return lo
+    return values.where(F.col(column).between(lo, hi)).orderBy(column).offset(k).first()[0]
+
+
+def quantile(values: DataFrame, column: str, q: float) -> float | None:
+    """The exact, linearly interpolated quantile; nulls and NaN don't count, and without values it is null."""
+    values = values.select(F.col(column).cast("double").alias(column)).where(F.col(column).isNotNull() & ~F.isnan(column))
+    n = values.count()
+    if not n:
+        return None
+    at = q * (n - 1)
+    low = _order_statistic(values, column, int(at))
+    if at == int(at):
+        return low
+    return low + (at - int(at)) * (_order_statistic(values, column, int(at) + 1) - low)
+
+
 def quantile_trim(points: DataFrame, column: str, q: float = 0.05) -> DataFrame:
     """Rows not below the exact, linearly interpolated quantile."""
-    limit = points.agg(F.percentile(column, F.lit(q)).alias("limit"))  # one row
-    return points.join(F.broadcast(limit)).where(F.col(column) >= F.col("limit")).drop("limit")
+    return points.where(F.col(column) >= F.lit(quantile(points, column, q)).cast("double"))
 
 
 def crop(points: DataFrame, box: DataFrame) -> DataFrame:

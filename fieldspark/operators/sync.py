@@ -1,12 +1,13 @@
 """Alignment of two streams of messages by time.
 
-Both joins deal messages to buckets as wide as the tolerance and join on bucket: a message meets those of its own and the
-neighbouring buckets, so a join's work follows the messages that are near each other, not their product.
+Both joins put the two streams into one, dealt to buckets as wide as the tolerance; a right message also goes to the neighbouring buckets
+from which it can be reached.  In each bucket the messages are read once in order of time, and the last right message passed so far is each left
+message's partner: work and memory follow the number of messages, however many lie within one tolerance.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -14,27 +15,37 @@ def _bucket(micros: Column, width: int) -> Column:
     return F.floor(micros / F.lit(width))
 
 
+def _both(left: DataFrame, right: DataFrame, width: int, by: list[str], reach: tuple[int, ...]) -> DataFrame:
+    """One stream: side (0 is right), t, id, bucket."""
+    a = left.select(*by, F.lit(1).alias("__side"), "t", "id", _bucket(F.col("t"), width).alias("__b"))
+    b = right.select(*by, F.lit(0).alias("__side"), "t", "id", F.explode(F.array(*[_bucket(F.col("t"), width) + k for k in reach])).alias("__b"))
+    return a.unionByName(b)
+
+
+def _passed(by: list[str], *order: Column) -> Column:
+    """The last right message (t, id) up to this one, in the given order."""
+    w = Window.partitionBy(*by, "__b").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return F.last(F.when(F.col("__side") == 0, F.struct("t", "id")), ignorenulls=True).over(w)
+
+
 def nearest(left: DataFrame, right: DataFrame, tolerance_us: int, by: list[str] | None = None) -> DataFrame:
     """Each left message (id, t in microseconds) with the nearest right one within the tolerance: id, right_id, dt_us.
 
-    The smaller right id wins among equally near ones.  Left messages without a partner are left out.
+    The smaller right id wins among equally near ones.  Left messages without a partner are left out, and so are messages without a time.
     """
     by = by or []
-    a = left.withColumn("__b", _bucket(F.col("t"), tolerance_us))
-    near = F.array(*[_bucket(F.col("t"), tolerance_us) + k for k in (-1, 0, 1)])
-    b = right.select(*by, F.col("id").alias("right_id"), F.col("t").alias("right_t"), F.explode(near).alias("__b"))
-    pairs = a.join(b, [*by, "__b"]).withColumn("dt_us", F.abs(F.col("t") - F.col("right_t"))).where(F.col("dt_us") <= tolerance_us)
-    chosen = pairs.groupBy("id").agg(F.min(F.struct("dt_us", "right_id")).alias("m"))
-    return chosen.select("id", F.col("m.right_id").alias("right_id"), F.col("m.dt_us").alias("dt_us"))
+    t, side, own = F.col("t"), F.col("__side"), F.col("id")
+    both = _both(left, right, tolerance_us, by, (-1, 0, 1)).where(t.isNotNull())
+    both = both.withColumn("__before", _passed(by, t.asc(), side.asc(), own.desc())).withColumn("__after", _passed(by, t.desc(), side.asc(), own.desc()))
+    dt = lambda c: F.when(F.col(c).isNotNull(), F.struct(F.abs(t - F.col(f"{c}.t")).alias("dt_us"), F.col(f"{c}.id").alias("right_id")))
+    chosen = both.where(side == 1).select("id", F.least(dt("__before"), dt("__after")).alias("m")).where(F.col("m.dt_us") <= tolerance_us)
+    return chosen.select("id", "m.right_id", "m.dt_us")
 
 
 def latest(left: DataFrame, right: DataFrame, tolerance_us: int, by: list[str] | None = None) -> DataFrame:
     """Each left message with the last right one at or before it, within the tolerance; the greater id wins among equal times."""
     by = by or []
-    a = left.withColumn("__b", _bucket(F.col("t"), tolerance_us))
-    near = F.array(*[_bucket(F.col("t"), tolerance_us) + k for k in (0, 1)])
-    b = right.select(*by, F.col("id").alias("right_id"), F.col("t").alias("right_t"), F.explode(near).alias("__b"))
-    dt = F.col("t") - F.col("right_t")
-    pairs = a.join(b, [*by, "__b"]).where((dt >= 0) & (dt <= tolerance_us)).withColumn("dt_us", dt)
-    chosen = pairs.groupBy("id").agg(F.max(F.struct("right_t", "right_id", "dt_us")).alias("m"))
-    return chosen.select("id", F.col("m.right_id").alias("right_id"), F.col("m.dt_us").alias("dt_us"))
+    t, side, own = F.col("t"), F.col("__side"), F.col("id")
+    both = _both(left, right, tolerance_us, by, (0, 1)).where(t.isNotNull()).withColumn("__before", _passed(by, t.asc(), side.asc(), own.asc()))
+    chosen = both.where(side == 1).select("id", F.col("__before.id").alias("right_id"), (t - F.col("__before.t")).alias("dt_us"))
+    return chosen.where(F.col("dt_us") <= tolerance_us)

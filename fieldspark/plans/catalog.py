@@ -6,16 +6,17 @@ aggregates of line items and orders are runs.  Floating results are rounded to s
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from fieldspark.functions import frames, params, scores
+from fieldspark import schemas
+from fieldspark.functions import frames, params, scores, text
 from fieldspark.operators import gates, health, keyframes, mesh, ranking, rates, spatial, sweep, sync
 from fieldspark.plans import report
-from fieldspark.session import ready
+from fieldspark.session import ready, shared_dir
+from fieldspark.sources import synthetic, tables
 from fieldspark.sources.tables import table
 
 MONTH_S = 30 * 86400.0
@@ -250,16 +251,18 @@ def growth_rate(spark, d):
 
 
 def gate_verdicts(spark, d):
-    cloud = spatial.bbox(points(spark, d))
-    docs = table(spark, d, "documents").agg(F.count("*").alias("n"), F.sum("n_chars").alias("length"))
-    fixed = spark.createDataFrame([("db_missing", False, 0), ("db_small", True, 104857), ("db_warn", True, 5242879), ("db_ok", True, 5242880)], "gate string, exists boolean, length bigint")
+    """Gates of each label's part of the cloud, each source's documents as database and cloud files, and meshes of every third point."""
+    cloud = points(spark, d).groupBy("label").agg(F.count("*").alias("n"), F.count_if(F.col("x") > 0.25).alias("colored"), *[(F.max(a) - F.min(a)).alias(f"d{a}") for a in "xyz"], F.count_if(F.col("pid") % 3 == 0).alias("triangles"))
+    docs = table(spark, d, "documents").groupBy(F.coalesce("source", F.lit("none")).alias("source")).agg(F.sum("n_chars").alias("length"), F.count("*").alias("n"))
+    whole, exists = F.when(F.col("n") % 3 == 0, F.lit("row 3 missing")).when(F.col("n") % 3 == 1, F.lit("ok")), F.col("n") % 5 != 0
+    one = lambda df, key, name, verdict: df.select(F.concat_ws("/", F.lit(name), F.col(key).cast("string")).alias("gate"), verdict.alias("verdict"))
     rows = [
-        fixed.select("gate", gates.database(F.col("exists"), F.col("length"), F.lit("ok")).alias("verdict")),
-        cloud.select(F.lit("cloud_count").alias("gate"), gates.cloud_count(F.col("n")).alias("verdict")),
-        cloud.select(F.lit("cloud_extent").alias("gate"), gates.cloud_extent(F.col("dx"), F.col("dy"), F.col("dz")).alias("verdict")),
-        cloud.select(F.lit("cloud_colors").alias("gate"), gates.cloud_colors(F.lit(0)).alias("verdict")),
-        docs.select(F.lit("cloud_file").alias("gate"), gates.cloud_file(F.lit(True), F.col("length")).alias("verdict")),
-        docs.select(F.lit("mesh").alias("gate"), gates.mesh(F.lit(True), F.col("length"), F.col("n"), F.col("n") - F.col("n")).alias("verdict")),
+        one(docs, "source", "database", gates.database(exists, F.col("length") * 10, F.coalesce(whole, F.lit("ok")))),
+        one(docs, "source", "cloud_file", gates.cloud_file(exists, F.col("length") % 2000)),
+        one(cloud, "label", "cloud_count", gates.cloud_count(F.col("n") * (F.col("label") + 1) * 10)),
+        one(cloud, "label", "cloud_colors", gates.cloud_colors(F.col("colored"))),
+        one(cloud, "label", "cloud_extent", gates.cloud_extent(F.col("dx") * (F.col("label") * 10), F.col("dy"), F.col("dz") * F.col("label"))),
+        one(cloud, "label", "mesh", gates.mesh(F.col("label") != 2, F.col("n") * 100, F.col("n"), F.when(F.col("label") == 4, F.col("triangles") * 0).otherwise(F.col("triangles")))),
     ]
     out = rows[0]
     for r in rows[1:]:
@@ -268,13 +271,24 @@ def gate_verdicts(spark, d):
     return out.unionByName(total)
 
 
-GATES_SQL = f"""WITH c AS (SELECT count(*) AS n, greatest(max(x) - min(x), max(y) - min(y), max(z) - min(z)) AS e FROM {POINTS}), t AS (SELECT count(*) AS n, sum(n_chars) AS len FROM documents),
- g AS (SELECT gate, CASE WHEN NOT ex THEN 'fail' WHEN len / 1048576.0::DOUBLE < 0.1 THEN 'fail' WHEN len / 1048576.0::DOUBLE < 5.0 THEN 'warn' ELSE 'pass' END AS verdict FROM (VALUES ('db_missing', false, 0), ('db_small', true, 104857), ('db_warn', true, 5242879), ('db_ok', true, 5242880)) v(gate, ex, len)
- UNION ALL SELECT 'cloud_count', CASE WHEN n < 100 THEN 'fail' WHEN n < 10000 THEN 'warn' ELSE 'pass' END FROM c UNION ALL SELECT 'cloud_extent', CASE WHEN e > 50 OR e < 0.1 THEN 'warn' ELSE 'pass' END FROM c
- UNION ALL SELECT 'cloud_colors', 'warn' UNION ALL SELECT 'cloud_file', CASE WHEN len / 1024.0 < 1 THEN 'fail' ELSE 'pass' END FROM t UNION ALL SELECT 'mesh', 'fail')
+GATE_ROWS = f"""WITH c AS (SELECT label, count(*) AS n, count(*) FILTER (x > 0.25) AS colored, max(x) - min(x) AS dx, max(y) - min(y) AS dy, max(z) - min(z) AS dz, count(*) FILTER (pid % 3 = 0) AS tri FROM {POINTS} GROUP BY label),
+ t AS (SELECT coalesce(source, 'none') AS source, sum(n_chars) AS len, count(*) AS n FROM documents GROUP BY 1),
+ g AS (SELECT 'database/' || source AS gate, CASE WHEN n % 5 = 0 THEN 'fail' WHEN len * 10 / 1048576.0::DOUBLE < 0.1 THEN 'fail' WHEN n % 3 = 0 THEN 'fail' WHEN len * 10 / 1048576.0::DOUBLE < 5.0 THEN 'warn' ELSE 'pass' END AS verdict FROM t
+ UNION ALL SELECT 'cloud_file/' || source, CASE WHEN n % 5 = 0 OR len % 2000 / 1024.0::DOUBLE < 1 THEN 'fail' ELSE 'pass' END FROM t
+ UNION ALL SELECT 'cloud_count/' || label, CASE WHEN n * (label + 1) * 10 < 100 THEN 'fail' WHEN n * (label + 1) * 10 < 10000 THEN 'warn' ELSE 'pass' END FROM c
+ UNION ALL SELECT 'cloud_colors/' || label, CASE WHEN colored > 0 THEN 'pass' ELSE 'warn' END FROM c
+ UNION ALL SELECT 'cloud_extent/' || label, CASE WHEN greatest(dx * (label * 10), dy, dz * label) > 50 OR greatest(dx * (label * 10), dy, dz * label) < 0.1 THEN 'warn' ELSE 'pass' END FROM c
+ UNION ALL SELECT 'mesh/' || label, CASE WHEN label = 2 OR n * 100 / 1024.0::DOUBLE < 1 OR n = 0 OR label = 4 OR tri = 0 THEN 'fail' ELSE 'pass' END FROM c)"""
+GATES_SQL = f"""{GATE_ROWS}
  SELECT * FROM g UNION ALL SELECT 'combined', CASE WHEN bool_and(verdict <> 'fail') THEN 'pass' ELSE 'fail' END FROM g"""
 
 
+def gate_sequence(spark, d):
+    """The gates in order of their names, first stopping at a failure and then forced on."""
+    steps = gate_verdicts(spark, d).where(F.col("gate").startswith("cloud")).withColumn("ord", F.row_number().over(Window.orderBy("gate")))
+    return gates.sequence(steps).select("gate", "verdict", "outcome").join(gates.sequence(steps, force=True).select("gate", F.col("outcome").alias("forced")), "gate")
+
+
 def _stream(spark, d, topic: str) -> DataFrame:
     return events(spark, d).where(F.col("topic") == topic).select(F.col("msg_id").alias("id"), F.unix_micros("stamp").alias("t"))
 
@@ -371,31 +385,155 @@ def keyframe_rows(spark, d):
 
 
 def json_round_trip(spark, d):
-    back = F.from_json(F.to_json(F.from_json("props", "k int")), "k int")["k"]
-    return events(spark, d).select("msg_id", back.alias("k"))
+    parsed = F.from_json("props", "map<string,string>")
+    return events(spark, d).select("msg_id", parsed["k"].cast("int").alias("k"), F.to_json(F.from_json("props", "k int")).alias("document"))
+
+
+def _scratch(spark, name: str) -> str:
+    return f"{shared_dir(spark)}/fieldspark-{name}-{uuid.uuid4().hex}"
+
+
+def stage_document(spark, d):
+    """The runs as a stage's document: written, read back without the process handle, and taken apart again."""
+    runs = _stage1_out(_stage1(spark, d)).withColumn("handle", F.lit("process 17"))
+    path = _scratch(spark, "stage")
+    tables.write_stage_json(tables.without_handles(ranking.stage_document(runs), ["handle"]), path)
+    schema = schemas.stage_document(", ".join(f"{c} {t}" for c, t in runs.drop("handle").dtypes) + ", handle string")
+    back = tables.read_document(spark, path, schema)
+    return back.select(F.col("best.seq").alias("best_seq"), F.posexplode("all").alias("place", "r")).select("best_seq", "place", "r.seq", "r.rmw", "r.score", F.col("r.handle").isNull().alias("without_handle"))
 
 
 def report_rows(spark, d):
-    s = ranking.ranked(_stage1(spark, d).withColumns({c: F.format_string("%.1f", scores.round_to(F.col(c), 1)) for c in ("color_hz", "depth_hz", "drop_pct", "cpu_pct", "ram_mb")}))
-    return report.stage1_rows(s.withColumn("score", F.format_string("%.1f", "score")))
+    return report.lines(ranking.ranked(_stage1(spark, d)), report.RUN, "rank")
+
+
+def _cells(*cells: str) -> str:
+    return "'|' || " + " || '|' || ".join(f"coalesce({c}, '-')" for c in cells) + " || '|'"
+
+
+def _fixed(x: str, digits: int = 1) -> str:
+    return f"printf('%.{digits}f', floor({x} * {10.0**digits} + 0.5) / {10.0**digits})"
+
+
+REPORT_SQL = f"SELECT rank, {_cells('rank::VARCHAR', 'rmw', 'shm', 'resolution', 'target_fps::VARCHAR', 'qos', _fixed('color_hz'), _fixed('depth_hz'), _fixed('drop_pct'), _fixed('cpu_pct'), _fixed('ram_mb'), _fixed('score'))} AS line FROM (SELECT *, row_number() OVER (ORDER BY score DESC, seq) AS rank FROM ({STAGE1_SQL}))"
+
+
+def slam_report_rows(spark, d):
+    s = ranking.ranked(ranking.stage2_score(_stage2_runs(spark, d)))
+    return report.lines(s, {"rank": "%s", "label": "%s", "odom_hz": "%.2f", "slam_ok": "%s", "camera_ok": "%s", "score": "%.1f"}, "rank")
+
+
+def diagnostic_report_rows(spark, d):
+    return report.lines(_health(spark, d), report.DIAGNOSTIC, "topic")
+
+
+def inspector_report_rows(spark, d):
+    return report.lines(inspector_status(spark, d), report.INSPECTOR, "topic")
+
+
+def status_line_rows(spark, d):
+    return report.status_lines(_health(spark, d), "label", F.col("status"), "topic")
+
+
+def zero_runs(spark, d):
+    """Every customer's run by its first orders; those without one count as measured at 0."""
+    runs = table(spark, d, "orders").where(F.col("o_orderpriority") == "1-URGENT").groupBy(F.col("o_custkey").alias("c_custkey")).agg((F.count("*") / 3.0).alias("hz"), F.lit(0.0).alias("drop_pct"))
+    out = health.with_defaults(table(spark, d, "customer").select("c_custkey"), runs, "c_custkey", ["hz"])
+    return out.select("c_custkey", r6(F.col("hz")).alias("hz"), "drop_pct", scores.fps_gate(F.when(F.col("hz") > 0, F.col("hz")), F.lit(1.0)).alias("gate"))
+
+
+def usb_kinds(spark, d):
+    text = F.concat(F.lit("bcdUSB "), (F.col("o_orderkey") % 4).cast("string"), F.lit("."), (F.col("o_orderkey") % 3).cast("string"))
+    return table(spark, d, "orders").select(scores.usb_kind(text).alias("kind")).groupBy("kind").agg(F.count("*").alias("n"))
+
+
+def path_parts(spark, d):
+    path = F.concat(F.lit("/data/"), F.coalesce("source", F.lit("none")), F.lit("/"), F.col("doc_id").cast("string"), F.when(F.col("doc_id") % 2 == 0, ".ply").otherwise(".pcd"))
+    docs = table(spark, d, "documents").select("doc_id", path.alias("path"))
+    return docs.select("doc_id", text.basename(F.col("path")).alias("name"), text.dirname(F.col("path")).alias("folder"), text.without_suffix(F.col("path"), ".ply").alias("stem"), text.without_prefix(F.concat(F.lit("mesh:="), F.col("path"))).alias("arg"))
 
 
-REPORT_SQL = f"""SELECT rank, '| ' || CASE rank WHEN 1 THEN '🥇' WHEN 2 THEN '🥈' WHEN 3 THEN '🥉' ELSE rank::VARCHAR END || ' | `' || rmw || '` | `' || shm || '` | `' || resolution || '@' || target_fps || 'fps` | `' || qos || '` | **' || printf('%.1f', floor(color_hz * 10.0 + 0.5) / 10.0) || '** | ' || printf('%.1f', floor(depth_hz * 10.0 + 0.5) / 10.0)
- || ' | ' || printf('%.1f', floor(drop_pct * 10.0 + 0.5) / 10.0) || '% | ' || printf('%.1f', floor(cpu_pct * 10.0 + 0.5) / 10.0) || '% | ' || printf('%.1f', floor(ram_mb * 10.0 + 0.5) / 10.0) || 'MB | **' || printf('%.1f', score) || '** |' AS line FROM (SELECT *, row_number() OVER (ORDER BY score DESC, seq) AS rank FROM ({STAGE1_SQL}))"""
+def stamps(spark, d):
+    o = table(spark, d, "orders")
+    return o.select("o_orderkey", text.file_stamp(F.col("o_orderdate")).alias("file"), text.human_stamp(F.col("o_orderdate")).alias("human"))
+
+
+def parameter_flags(spark, d):
+    m = F.create_map(F.lit("n"), F.col("msg_id") % 3, F.lit("user"), F.col("user_id"))
+    named = F.map_concat(params.stringified(m), F.create_map(F.lit("on"), F.when(F.col("msg_id") % 4 == 0, "TRUE").when(F.col("msg_id") % 4 == 1, "true").otherwise("1")))
+    return events(spark, d).select("msg_id", params.canonical(named).alias("text"), params.flag(named, "on").alias("is_on"), params.flag(named, "absent").alias("is_absent"), scores.round_to(F.col("value"), 0).cast("bigint").alias("whole"))
+
+
+def run_progress(spark, d):
+    return rates.progress(_stage1_runs(spark, d)).select("seq", "progress")
+
+
+def replay_schedule(spark, d):
+    return rates.replay(events(spark, d), 0.5).select("msg_id", r6(F.col("play_s")).alias("play_s"))
+
+
+def first_message_wait(spark, d):
+    start = F.lit("2024-01-05 00:00:00").cast("timestamp")
+    return rates.first_message_wait(events(spark, d), start, 900.0).select("topic", r6(F.col("wait_s")).alias("wait_s"), "arrived")
+
+
+def message_gaps(spark, d):
+    return rates.gaps(events(spark, d)).select("msg_id", r6(F.col("gap_s")).alias("gap_s"))
+
+
+def rate_and_cpu(spark, d):
+    samples = events(spark, d).select(F.col("stamp").alias("ts"), F.col("msg_id").cast("int").alias("proc_ord"), F.concat(F.col("topic"), F.lit("_node")).alias("cmd"), F.col("value").alias("cpu_pct"), F.col("user_id").cast("double").alias("rss_kb"))
+    return rates.rate_and_cpu(events(spark, d), samples, "click", MONTH_S).select("topic", scores.round_to(F.col("hz"), 9).alias("hz"), r6(F.col("cpu_pct")).alias("cpu_pct"))
+
+
+def scaled_cloud(spark, d):
+    return spatial.scaled(points(spark, d), 0.001).select("pid", *[scores.round_to(F.col(a), 9).alias(a) for a in "xyz"])
+
+
+def occupancy_points(spark, d):
+    """What the occupancy grid sees: points in range with enough neighbours, in cells."""
+    near = spatial.radius_outliers(spatial.range_filter(points(spark, d), 0.05, 0.45), 0.1, 2)
+    return spatial.voxel_downsample(near, 0.05).select("cx", "cy", "cz", "n")
+
+
+def mesh_info(spark, d):
+    v = _vertices(spark, d).select("vid", F.when(F.col("label") == 1, F.col("x")).alias("nx"), F.lit(None).cast("double").alias("r"))
+    return mesh.info(v, _triangles(spark, d))
+
+
+def synthetic_loss(spark, d):
+    """Messages of a camera that loses a tenth: what was expected, what came, and the drop."""
+    made = synthetic.messages(spark, {"color": 30.0, "imu": 200.0}, 60.0, jitter_us=4000, loss=0.1, seed=3)
+    hz = made.groupBy("topic").agg(F.count("*").alias("n"), F.sum("stamp_us").alias("stamps"), (F.count("*") / 60.0).alias("hz"))
+    return hz.select("topic", "n", "stamps", r6(scores.drop_pct(F.col("hz"), F.when(F.col("topic") == "color", 30.0).otherwise(200.0))).alias("drop_pct"))
+
+
+def recorded_topics(spark, d):
+    """The stream of messages recorded by topic, and the record read back."""
+    from fieldspark import streaming
+
+    base = _scratch(spark, "record")
+    stream = streaming.messages(spark, d, spark.read.parquet(f"{d}/events.parquet").schema, "ts", "events.parquet")
+    streaming.record(stream, f"{base}/out", f"{base}/ck", topic="event_type")
+    return spark.read.parquet(f"{base}/out").groupBy(F.col("event_type").cast("string").alias("topic")).agg(F.count("*").alias("n"), F.sum("event_id").alias("ids"))
 
 
 def stream_topic_rate(spark, d):
-    """The daily counts, made by a stream over the file and read back."""
+    """The daily counts, made by a stream over the file, written once the watermark has passed, and read back.
+
+    The last days are still open when the stream ends: a batch twin of the same messages, a year later, lets the watermark pass them.
+    """
     from fieldspark import streaming
 
-    base = f"{spark.conf.get('spark.checkpoint.dir', None) or f'file://{tempfile.gettempdir()}'}/fieldspark-stream"
-    schema = spark.read.parquet(f"{d}/events.parquet").schema
-    stream = streaming.messages(spark, d, schema, "ts", "events.parquet")
-    counted = streaming.windowed_rate(stream, "1 day", "0 seconds", topic="event_type", stamp="ts")
-    name = f"rates_{uuid.uuid4().hex}"
-    q = counted.writeStream.format("memory").queryName(name).outputMode("complete").option("checkpointLocation", f"{base}/{name}").trigger(availableNow=True).start()
-    q.awaitTermination()
-    return spark.table(name).select(F.unix_micros("start").alias("start_us"), F.col("event_type").alias("topic"), "n")
+    base = _scratch(spark, "stream")
+    seen = spark.read.parquet(f"{d}/events.parquet")
+    later = seen.limit(1).withColumn("ts", F.col("ts") + F.expr("INTERVAL 365 DAYS")).withColumn("event_type", F.lit("end"))
+    later.write.parquet(f"{base}/later")
+    stream = streaming.messages(spark, d, seen.schema, "ts", "events.parquet")
+    end = spark.readStream.schema(seen.schema).parquet(f"{base}/later").withColumn("ts", F.col("ts").cast("timestamp"))
+    counted = streaming.windowed_rate(stream.unionByName(end), "1 day", "0 seconds", topic="event_type", stamp="ts")
+    streaming.run_once(counted, f"{base}/out", f"{base}/ck")
+    return spark.read.parquet(f"{base}/out").select(F.unix_micros("start").alias("start_us"), F.col("event_type").alias("topic"), "n")
 
 
 def frame_decode(spark, d):
@@ -417,7 +555,8 @@ QUERIES = {
         topic_counts, topic_rate, topic_interarrival_rate, topic_last_value, topic_health, pipeline_verdict, inspector_status, daily_drop_bands, stage1_score, stage2_score, run_ranking, best_run,
         config_cross_product, oat_sweep, sweep_valid, params_to_cli, cli_to_params, missing_required, present_required, best_broadcast_runs, first_rate_line, last_rate_line, resource_mean, growth_rate, gate_verdicts,
         approx_sync, asof_sync, throttle_first, tumbling_rate, cloud_bbox, voxel_downsample, knn_mean_distance, outlier_filter, radius_neighbours, quantile_trim, crop_bbox, nn_label_transfer, triangle_cleanup, normals,
-        mesh_vertex_normals, json_round_trip, report_rows, stream_topic_rate, frame_decode,
+        mesh_vertex_normals, json_round_trip, report_rows, stream_topic_rate, frame_decode, gate_sequence, stage_document, slam_report_rows, diagnostic_report_rows, inspector_report_rows, status_line_rows,
+        zero_runs, usb_kinds, path_parts, stamps, parameter_flags, run_progress, replay_schedule, first_message_wait, message_gaps, rate_and_cpu, scaled_cloud, occupancy_points, mesh_info, synthetic_loss, recorded_topics,
     )
 } | {"keyframes": keyframe_rows}
 
@@ -465,6 +604,34 @@ ORACLES = {
     "mesh_vertex_normals": f"""WITH t AS (SELECT t.*, b.x - a.x AS ux, b.y - a.y AS uy, b.z - a.z AS uz, c.x - a.x AS wx, c.y - a.y AS wy, c.z - a.z AS wz FROM {TRI} t JOIN {POINTS} a ON a.pid = v0 JOIN {POINTS} b ON b.pid = v1 JOIN {POINTS} c ON c.pid = v2),
  f AS (SELECT unnest([v0, v1, v2]) AS vid, uy * wz - uz * wy AS fx, uz * wx - ux * wz AS fy, ux * wy - uy * wx AS fz FROM t), s AS (SELECT vid, sum(fx) AS fx, sum(fy) AS fy, sum(fz) AS fz FROM f GROUP BY 1)
  SELECT vid, {sql6("fx / sqrt(fx * fx + fy * fy + fz * fz)")} AS nx, {sql6("fy / sqrt(fx * fx + fy * fy + fz * fz)")} AS ny, {sql6("fz / sqrt(fx * fx + fy * fy + fz * fz)")} AS nz FROM s""",
-    "json_round_trip": "SELECT event_id AS msg_id, (props->>'$.k')::INT AS k FROM events",
+    "json_round_trip": "SELECT event_id AS msg_id, (props->>'$.k')::INT AS k, replace(props, ' ', '') AS document FROM events",
+    "gate_sequence": f"{GATE_ROWS}, o AS (SELECT gate, verdict, coalesce(max((verdict = 'fail')::INT) OVER (ORDER BY gate ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS stopped FROM g WHERE gate LIKE 'cloud%') SELECT gate, verdict, CASE WHEN stopped = 1 THEN 'skipped' ELSE verdict END AS outcome, verdict AS forced FROM o",
+    "stage_document": f"SELECT first_value(seq) OVER w AS best_seq, (row_number() OVER w - 1)::INT AS place, seq, rmw, score, true AS without_handle FROM ({STAGE1_SQL}) WINDOW w AS (ORDER BY score DESC, seq)",
+    "slam_report_rows": f"SELECT rank, {_cells('rank::VARCHAR', 'label', _fixed('odom_hz', 2), 'slam_ok::VARCHAR', 'camera_ok::VARCHAR', _fixed('score'))} AS line FROM (SELECT *, row_number() OVER (ORDER BY score DESC, seq) AS rank FROM (SELECT s.*, r.odom_hz FROM ({STAGE2_SQL}) s JOIN (SELECT (ascii(o_orderstatus) * 10 + left(o_orderpriority, 1)::INT)::INT AS seq, floor(avg(o_totalprice) / 10000.0 * 1000.0 + 0.5) / 1000.0 / left(o_orderpriority, 1)::INT AS odom_hz FROM orders GROUP BY o_orderstatus, o_orderpriority) r USING (seq)))",
+    "diagnostic_report_rows": f"SELECT topic, {_cells('topic', 'min_hz::VARCHAR', _fixed('measured_hz'), 'status')} AS line FROM ({HEALTH_SQL})",
+    "status_line_rows": f"SELECT topic, '[' || rpad(status, 8, ' ') || '] ' || label AS line FROM ({HEALTH_SQL})",
+    "zero_runs": f"SELECT c_custkey, {sql6('coalesce(hz, 0.0)')} AS hz, CASE WHEN hz IS NULL THEN 100.0 ELSE 0.0 END::DOUBLE AS drop_pct, CASE WHEN hz IS NULL THEN 'fail' WHEN hz < 1 THEN 'warn' ELSE 'pass' END AS gate FROM customer LEFT JOIN (SELECT o_custkey AS c_custkey, count(*) / 3.0::DOUBLE AS hz FROM orders WHERE o_orderpriority = '1-URGENT' GROUP BY 1) USING (c_custkey)",
+    "usb_kinds": "SELECT CASE WHEN k IN ('2.0', '2.1') THEN 'USB 2' WHEN k LIKE '3.%' THEN 'USB 3' ELSE 'Unknown' END AS kind, count(*) AS n FROM (SELECT (o_orderkey % 4) || '.' || (o_orderkey % 3) AS k FROM orders) GROUP BY 1",
+    "path_parts": "SELECT doc_id, doc_id || e AS name, '/data/' || s AS folder, '/data/' || s || '/' || doc_id || CASE e WHEN '.ply' THEN '' ELSE e END AS stem, '/data/' || s || '/' || doc_id || e AS arg FROM (SELECT doc_id, coalesce(source, 'none') AS s, CASE WHEN doc_id % 2 = 0 THEN '.ply' ELSE '.pcd' END AS e FROM documents)",
+    "stamps": "SELECT o_orderkey, strftime(o_orderdate, '%Y%m%d_%H%M%S') AS file, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS human FROM orders",
+    "parameter_flags": "SELECT event_id AS msg_id, 'n=' || (event_id % 3) || ';on=' || o || ';user=' || user_id AS text, lower(o) = 'true' AS is_on, false AS is_absent, floor(value + 0.5)::BIGINT AS whole FROM (SELECT *, CASE event_id % 4 WHEN 0 THEN 'TRUE' WHEN 1 THEN 'true' ELSE '1' END AS o FROM events)",
+    "run_progress": f"SELECT seq, row_number() OVER (ORDER BY seq) || '/' || count(*) OVER () AS progress FROM {STAGE1_RUNS}",
+    "replay_schedule": f"SELECT event_id AS msg_id, {sql6('(epoch_us(ts) - (SELECT epoch_us(min(ts)) FROM events)) / 1000000.0::DOUBLE / 0.5::DOUBLE')} AS play_s FROM events",
+    "first_message_wait": f"SELECT event_type AS topic, {sql6('w')} AS wait_s, w <= 900 AS arrived FROM (SELECT event_type, min(epoch_us(ts) - epoch_us(TIMESTAMP '2024-01-05')) / 1000000.0::DOUBLE AS w FROM events WHERE ts >= TIMESTAMP '2024-01-05' GROUP BY 1)",
+    "message_gaps": f"SELECT event_id AS msg_id, {sql6('(epoch_us(ts) - lag(epoch_us(ts)) OVER (PARTITION BY event_type ORDER BY ts, event_id)) / 1000000.0::DOUBLE')} AS gap_s FROM events",
+    "rate_and_cpu": f"SELECT event_type AS topic, floor(count(*) / 2592000.0::DOUBLE * 1000000000.0 + 0.5) / 1000000000.0 AS hz, (SELECT {sql6('avg(v)')} FROM (SELECT arg_min(value, event_id) AS v FROM events WHERE event_type = 'click' GROUP BY ts)) AS cpu_pct FROM events GROUP BY 1",
+    "scaled_cloud": "SELECT pid, " + ", ".join(f"floor({a} * 0.001::DOUBLE * 1000000000.0 + 0.5) / 1000000000.0 AS {a}" for a in "xyz") + f" FROM {POINTS}",
+    "occupancy_points": f"WITH r AS (SELECT * FROM {POINTS} WHERE sqrt(x * x + y * y + z * z) BETWEEN 0.05::DOUBLE AND 0.45::DOUBLE), k AS (SELECT a.pid FROM r a JOIN r b ON a.pid <> b.pid AND (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) + (a.z - b.z) * (a.z - b.z) <= 0.1::DOUBLE * 0.1::DOUBLE GROUP BY a.pid HAVING count(*) >= 2) SELECT floor(x / 0.05::DOUBLE)::BIGINT AS cx, floor(y / 0.05::DOUBLE)::BIGINT AS cy, floor(z / 0.05::DOUBLE)::BIGINT AS cz, count(*) AS n FROM r WHERE pid IN (FROM k) GROUP BY ALL",
+    "mesh_info": f"SELECT count(*) AS n_vertices, bool_or(label = 1) AS has_normals, false AS has_colors, count(*) FILTER (pid % 3 = 0) AS n_triangles FROM {POINTS}",
+    "synthetic_loss": """WITH t AS (SELECT topic, hz, n, (((n % 1000003) * 611953 + (3 * 7919 + late * 104729) % 1000003) % 1000003) / 1000003.0::DOUBLE AS late, (((n % 1000003) * 611953 + (3 * 7919 + loss * 104729) % 1000003) % 1000003) / 1000003.0::DOUBLE AS loss
+ FROM (SELECT topic, hz, unnest(range((60 * hz)::BIGINT)) AS n, (SELECT sum(ascii(c)) FROM (SELECT unnest(string_split('late ' || topic, '')) AS c)) AS late, (SELECT sum(ascii(c)) FROM (SELECT unnest(string_split('loss ' || topic, '')) AS c)) AS loss FROM (VALUES ('color', 30.0::DOUBLE), ('imu', 200.0::DOUBLE)) v(topic, hz)))
+ SELECT topic, count(*) AS n, sum(floor(n * (1000000.0::DOUBLE / hz))::BIGINT + floor(late * 4001)::BIGINT)::BIGINT AS stamps, floor(greatest(0.0, (hz - count(*) / 60.0::DOUBLE) / hz * 100.0) * 1000000.0 + 0.5) / 1000000.0 AS drop_pct FROM t WHERE loss >= 0.1 GROUP BY topic, hz""",
+    "recorded_topics": "SELECT event_type AS topic, count(*) AS n, sum(event_id)::BIGINT AS ids FROM events GROUP BY 1",
+    "keyframes": """WITH RECURSIVE p AS (SELECT user_id AS device, epoch_us(ts) AS stamp, event_id AS id, value / 100 AS distance, event_id % 7 / 100 AS angle, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS k FROM events),
+ r AS (SELECT device, k, stamp, id, distance, angle, distance AS d, angle AS a, true AS hit FROM p WHERE k = 1
+ UNION ALL SELECT p.device, p.k, p.stamp, p.id, p.distance, p.angle, CASE WHEN m THEN p.distance ELSE d END, CASE WHEN m THEN p.angle ELSE a END, m
+ FROM (SELECT p.*, r.d, r.a, abs(p.distance - r.d) >= 0.1::DOUBLE OR abs(p.angle - r.a) >= 0.1::DOUBLE AS m FROM r JOIN p ON p.device = r.device AND p.k = r.k + 1) p)
+ SELECT device, stamp, id, distance, angle FROM r WHERE hit""",
     "report_rows": REPORT_SQL,
 }
+ORACLES["inspector_report_rows"] = f"SELECT topic, {_cells('topic', _fixed('fps'), 'status')} AS line FROM ({ORACLES['inspector_status']})"

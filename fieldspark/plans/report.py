@@ -1,46 +1,52 @@
-"""Markdown reports of runs and diagnostics."""
+"""Markdown tables of any result, and the reports made of them.
+
+A table's head is its columns' names; how a column is shown is given as a format for each name.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-STAGE1_HEAD = ["| Rank | RMW | SHM | Resolution@FPS | QoS | color Hz | depth Hz | Drop | CPU | RAM | Score |", "|:---:|:---|:---:|:---|:---:|:---:|:---:|:---:|:---:|:---:|:---:|"]
-STAGE2_HEAD = ["| Rank | Label | odom Hz | map Hz | Camera (CPU/RAM) | SLAM (CPU/RAM) | Disk I/O | Score |", "|:---:|:---|:---:|:---:|:---:|:---:|:---:|:---:|"]
-DIAGNOSTIC_HEAD = ["| Topic | Minimum (Hz) | Measured Hz | Status |", "|:---|:---:|:---:|:---:|"]
+PLAIN = "%s"
 
 
-def _row(*cells) -> F.Column:
-    return F.concat(F.lit("| "), F.concat_ws(" | ", *cells), F.lit(" |"))
+def shown(column: str, how: str = PLAIN) -> Column:
+    """The column as text: `%.1f` and the like round by the plain formula first, and null is a dash."""
+    c = F.col(column)
+    if how.endswith("f") and "." in how:
+        digits = int(how.rsplit(".", 1)[1][:-1])
+        c = F.floor(c * float(10**digits) + 0.5) / float(10**digits)
+    return F.coalesce(F.format_string(how, c if how != PLAIN else c.cast("string")), F.lit("-")) if how != PLAIN else F.coalesce(c.cast("string"), F.lit("-"))
 
 
-def stage1_rows(ranked: DataFrame) -> DataFrame:
-    """rank and a Markdown line of each ranked stage-1 run."""
-    c = F.col
-    place = F.concat(F.lit("`"), c("resolution"), F.lit("@"), c("target_fps"), F.lit("fps`"))
-    code = lambda x: F.concat(F.lit("`"), x, F.lit("`"))
-    bold = lambda x: F.concat(F.lit("**"), x, F.lit("**"))
-    return ranked.select("rank", _row(c("medal"), code(c("rmw")), code(c("shm")), place, code(c("qos")), bold(c("color_hz")), c("depth_hz"), F.concat(c("drop_pct"), F.lit("%")), F.concat(c("cpu_pct"), F.lit("%")), F.concat(c("ram_mb"), F.lit("MB")), bold(c("score"))).alias("line"))
+def lines(rows: DataFrame, columns: dict[str, str], order: str) -> DataFrame:
+    """The order column, and each row as a line of a Markdown table with the given columns (name to format)."""
+    cells = [F.when(F.col(c).isNull(), F.lit("-")).otherwise(shown(c, how)) for c, how in columns.items()]
+    return rows.select(order, F.concat(F.lit("|"), F.concat_ws("|", *cells), F.lit("|")).alias("line"))
 
 
-def stage2_rows(ranked: DataFrame) -> DataFrame:
-    c = F.col
-    ok = lambda x, no: F.when(x, "✅").otherwise(no)
-    both = lambda cpu, ram: F.concat(c(cpu), F.lit("% / "), c(ram), F.lit("MB"))
-    return ranked.select("rank", _row(c("medal"), F.concat(F.lit("`"), c("label"), F.lit("`")), F.concat(F.lit("**"), c("odom_hz"), F.lit("** "), ok(c("slam_ok"), "❌")), c("map_hz"), F.concat_ws(" ", both("cpu_cam", "ram_cam"), ok(c("camera_ok"), "⚠️")), both("cpu_slam", "ram_slam"), F.concat(c("db_growth_mb_min"), F.lit(" MB/min")), F.concat(F.lit("**"), c("score"), F.lit("**"))).alias("line"))
+def head(columns: dict[str, str]) -> list[str]:
+    return ["|" + "|".join(columns) + "|", "|" + "|".join("-" for _ in columns) + "|"]
 
 
-def diagnostic_rows(health: DataFrame) -> DataFrame:
-    c = F.col
-    icon = F.when(c("status") == "OK", "✅").when(c("status") == "DEGRADED", "⚠️").otherwise("❌")
-    return health.select("topic", _row(F.concat(F.lit("`"), c("topic"), F.lit("`")), c("min_hz"), F.concat(F.lit("**"), c("measured_hz"), F.lit("**")), F.concat_ws(" ", icon, c("status"))).alias("line"))
+RUN = {"rank": PLAIN, "rmw": PLAIN, "shm": PLAIN, "resolution": PLAIN, "target_fps": PLAIN, "qos": PLAIN, "color_hz": "%.1f", "depth_hz": "%.1f", "drop_pct": "%.1f", "cpu_pct": "%.1f", "ram_mb": "%.1f", "score": "%.1f"}
+SENSOR = {"rank": PLAIN, "rmw": PLAIN, "shm_status": PLAIN, "resolution": PLAIN, "target_fps": PLAIN, "qos": PLAIN, "format": PLAIN, "measured_fps": "%.1f", "drop_pct": "%.1f", "cpu_pct": "%.1f", "score": "%.1f"}
+SLAM = {"rank": PLAIN, "label": PLAIN, "odom_hz": "%.2f", "map_hz": "%.2f", "slam_ok": PLAIN, "camera_ok": PLAIN, "cpu_cam": "%.1f", "cpu_slam": "%.1f", "db_growth_mb_min": "%.2f", "score": "%.1f"}
+DIAGNOSTIC = {"topic": PLAIN, "min_hz": PLAIN, "measured_hz": "%.1f", "status": PLAIN}
+INSPECTOR = {"topic": PLAIN, "fps": "%.1f", "status": PLAIN}
 
 
-def write(path: str, title: str, sections: list[tuple[str, list[str], DataFrame, str]]) -> str:
-    """A Markdown file of sections (heading, table head, rows with `line`, order column); reports have as many rows as an experiment has runs."""
+def write(path: str, title: str, sections: list[tuple[str, dict[str, str], DataFrame, str]]) -> str:
+    """A Markdown file of sections (heading, columns, rows, order column); reports have as many rows as an experiment has runs."""
     out = [f"# {title}"]
-    for heading, head, rows, order in sections:
-        out += ["", f"## {heading}", "", *head, *[r["line"] for r in rows.orderBy(order).select("line").collect()]]
+    for heading, columns, rows, order in sections:
+        out += ["", f"## {heading}", "", *head(columns), *[r["line"] for r in lines(rows, columns, order).orderBy(order).collect()]]
     with open(path, "w", encoding="utf-8") as f:
         f.write("\n".join(out) + "\n")
     return path
+
+
+def status_lines(rows: DataFrame, what: str, band: Column, order: str) -> DataFrame:
+    """Console lines: the band in capitals beside what it is about."""
+    return rows.select(order, F.concat(F.lit("["), F.rpad(F.upper(band), 8, " "), F.lit("] "), F.col(what)).alias("line"))

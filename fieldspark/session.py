@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import os
+import uuid
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 ROOT = str(Path(__file__).resolve().parents[1])
 
@@ -24,3 +27,33 @@ def ready(spark: SparkSession) -> SparkSession:
     if ROOT not in env.get("PYTHONPATH", "").split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join(filter(None, [env.get("PYTHONPATH", ""), ROOT]))
     return spark
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share; only a local session does without the setting."""
+    at = spark.conf.get("spark.checkpoint.dir", None)
+    if not at:
+        if "cluster" in spark.sparkContext.master or not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        at = "file:///tmp/checkpoints/fieldspark"
+    return at.rstrip("/")
+
+
+_kept: list[tuple[SparkSession, str]] = []
+
+
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """The table written to the shared folder and read back: its lineage ends there.  The folder goes when the driver ends."""
+    spark, schema = df.sparkSession, df.schema
+    path = f"{shared_dir(spark)}/fieldspark-{name}-{uuid.uuid4().hex}"
+    _kept.append((spark, path))
+    df.write.parquet(path)
+    return spark.read.schema(schema).parquet(path)
+
+
+@atexit.register
+def _forget() -> None:
+    for spark, path in _kept:
+        with contextlib.suppress(Exception):  # the session may have ended before: the cluster's own clean-up remains
+            at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)

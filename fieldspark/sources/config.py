@@ -38,3 +38,21 @@ def system_info(spark: SparkSession, rmws: list[str] | None = None, xml: str | N
 def disk_free(spark: SparkSession, path: str = "/") -> DataFrame:
     s = os.statvfs(path)
     return spark.createDataFrame([(path, s.f_bavail * s.f_frsize // 1048576)], "path string, free_mb bigint")
+
+
+def capable(command: list[str], word: str, seconds: float = 10.0) -> bool:
+    """Whether a command's help text has the word; False if it can't be run."""
+    import subprocess
+
+    try:
+        got = subprocess.run(command, capture_output=True, text=True, timeout=seconds, check=False)
+    except (OSError, subprocess.SubprocessError):
+        return False
+    return word in got.stdout + got.stderr
+
+
+def required_file(path: str | None, what: str) -> Path:
+    """A stage's input, or an error that names it."""
+    if not path or not Path(path).exists():
+        raise FileNotFoundError(f"{what} needs a file, and {path or 'none'} isn't there")
+    return Path(path)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import struct
 from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
@@ -159,3 +160,49 @@ def obj_lines(vertices: DataFrame, triangles: DataFrame) -> DataFrame:
 def write_obj(vertices: DataFrame, triangles: DataFrame, path: str) -> None:
     """One text file below `path`; folders are made."""
     obj_lines(vertices, triangles).repartitionByRange(1, "part", "no").sortWithinPartitions("part", "no").select("line").write.mode("overwrite").text(path)
+
+
+def load_cloud(spark: SparkSession, path: str) -> DataFrame:
+    """Points of a PLY or PCD file; an empty cloud is an error."""
+    points = spark.read.format("ply").load(path)
+    if points.isEmpty():
+        raise ValueError(f"{path} has no points")
+    return points
+
+
+STL_FACE = struct.Struct("<12fH")
+
+
+def parse_stl(data: bytes) -> list[tuple[float, ...]]:
+    """The three corners of each facet, nine numbers in a row, of a binary or text STL file."""
+    count = struct.unpack_from("<I", data, 80)[0] if len(data) >= 84 else -1
+    if len(data) == 84 + STL_FACE.size * count:
+        return [f[3:12] for f in STL_FACE.iter_unpack(data[84:])]
+    corners = [tuple(map(float, line.split()[1:4])) for line in data.decode("ascii", "replace").splitlines() if line.split()[:1] == ["vertex"]]
+    return [sum(corners[k : k + 3], ()) for k in range(0, len(corners) - 2, 3)]
+
+
+def read_stl(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """Vertices and triangles of an STL mesh.  Facets repeat their corners; corners in one place are one vertex.  The file is read by one task."""
+    schema = "tid bigint, corner int, x double, y double, z double"
+
+    def run(batches):
+        for b in batches:
+            for data in b.column(0).to_pylist():
+                rows = [(t, k, *map(float, f[3 * k : 3 * k + 3])) for t, f in enumerate(parse_stl(data)) for k in range(3)]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [()] * 5, (pa.int64(), pa.int32(), *[pa.float64()] * 3))], ["tid", "corner", "x", "y", "z"])
+
+    corners = spark.read.format("binaryFile").load(path).select("content").mapInArrow(run, schema)
+    places = corners.groupBy("x", "y", "z").agg(F.min(F.col("tid") * 3 + F.col("corner")).alias("vid"))
+    each = corners.join(places, ["x", "y", "z"])
+    triangles = each.groupBy("tid").agg(*[F.max(F.when(F.col("corner") == k, F.col("vid"))).alias(f"v{k}") for k in range(3)])
+    return places.select("vid", "x", "y", "z"), triangles
+
+
+def write_stl(vertices: DataFrame, triangles: DataFrame, path: str) -> None:
+    """Text STL below `path`, one facet a row; normals are left to the reader."""
+    out = triangles
+    for k in range(3):
+        out = out.join(vertices.select(F.col("vid").alias(f"v{k}"), F.concat_ws(" ", F.lit("vertex"), "x", "y", "z").alias(f"p{k}")), f"v{k}")
+    facet = F.concat_ws("\n", F.lit("facet normal 0 0 0\nouter loop"), "p0", "p1", "p2", F.lit("endloop\nendfacet"))
+    out.select("tid", facet.alias("value")).repartitionByRange(1, "tid").sortWithinPartitions("tid").select("value").write.mode("overwrite").text(path)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import threading
+import time
 from collections.abc import Iterator
 
 import pandas as pd
@@ -69,3 +71,49 @@ def run_once(stream: DataFrame, sink: str, checkpoint: str, mode: str = "append"
     q.awaitTermination()
     if q.exception():
         raise q.exception()
+
+
+def wait_for_message(stream: DataFrame, checkpoint: str, timeout: float) -> bool:
+    """Whether a message comes within `timeout` seconds: the stream is read until its first batch that isn't empty."""
+    came = threading.Event()
+
+    def look(batch: DataFrame, _: int) -> None:
+        if not batch.isEmpty():
+            came.set()
+
+    q = stream.writeStream.foreachBatch(look).option("checkpointLocation", checkpoint).start()
+    try:
+        end = time.monotonic() + timeout
+        while not came.wait(0.1) and time.monotonic() < end and q.isActive:
+            pass
+        return came.is_set()
+    finally:
+        q.stop()
+
+
+def decode_frames(stream: DataFrame, frames_to: str, errors_to: str, checkpoint: str, data: str = "data") -> None:
+    """Decode a stream of depth payloads that is there now: frames go to one table, and messages that can't be decoded to another, with the reason.
+
+    Each trigger's batch is written under its number, so a batch that is repeated after a failure replaces what it had written.
+    """
+    from fieldspark.functions.frames import decode_depth
+
+    def write(batch: DataFrame, number: int) -> None:
+        out = batch.withColumn("__f", decode_depth(data)).drop(data).persist()
+        ok = F.col("__f.error").isNull()
+        out.where(ok).select("*", "__f.width", "__f.height", "__f.encoding", "__f.data").drop("__f").write.mode("overwrite").parquet(f"{frames_to}/batch={number}")
+        out.where(~ok).select("*", "__f.error").drop("__f").write.mode("overwrite").parquet(f"{errors_to}/batch={number}")
+        out.unpersist()
+
+    q = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    q.awaitTermination()
+    if q.exception():
+        raise q.exception()
+
+
+def record(stream: DataFrame, path: str, checkpoint: str, topic: str = "topic") -> None:
+    """Record the messages that are there now, in one folder for each topic."""
+    q = stream.writeStream.format("parquet").partitionBy(topic).option("path", path).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    q.awaitTermination()
+    if q.exception():
+        raise q.exception()

@@ -3,17 +3,18 @@
 import json
 import sqlite3
 import struct
+import time
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from fieldspark import schemas, streaming
+from fieldspark import cli, schemas, streaming
 from fieldspark.functions import frames
 from fieldspark.operators import gates, keyframes, mesh, ranking, spatial, sync
 from fieldspark.plans import report
 from fieldspark.session import ready
-from fieldspark.sources import config, database, geometry, tables
+from fieldspark.sources import config, database, geometry, synthetic, tables
 
 
 @pytest.fixture(autouse=True)
@@ -93,8 +94,8 @@ def test_stage_documents_and_report(spark, tmp_path):
     path = next((tmp_path / "stage").glob("part-*"))
     assert json.loads(path.read_text())["best"]["rmw"] == "fast"
     assert tables.stage_json(spark, str(path), schemas.STAGE1_RUN).first()["all"][0]["score"] == runs.first()["score"]
-    out = report.write(str(tmp_path / "r.md"), "Report", [("Stage 1", report.STAGE1_HEAD, report.stage1_rows(ranking.ranked(runs)), "rank")])
-    assert "| 🥇 | `fast` | `UDP` | `640x480@30fps` |" in open(out, encoding="utf-8").read()
+    out = report.write(str(tmp_path / "r.md"), "Report", [("Stage 1", report.RUN, ranking.ranked(runs), "rank")])
+    assert "|1|fast|UDP|640x480|30|SENSOR_DATA|30.0|29.0|0.0|5.0|100.0|" in open(out, encoding="utf-8").read()
 
 
 def test_config(spark, tmp_path):
@@ -105,8 +106,17 @@ def test_config(spark, tmp_path):
 
 
 def test_logs(spark, tmp_path):
-    (tmp_path / "a.log").write_text("x\naverage rate: 3.5\n")
-    assert [r["line"] for r in tables.log_lines(spark, str(tmp_path / "a.log")).orderBy("line_no").collect()] == ["x", "average rate: 3.5", ""]
+    (tmp_path / "a.log").write_text("x\naverage rate: 3.5  \n")
+    lines = [f"line {k} {'y' * (k % 90)}" for k in range(4000)]
+    (tmp_path / "b.log").write_text("\n".join(lines))
+    usual = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        got = tables.log_lines(spark, str(tmp_path)).orderBy("source", "line_no").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", usual)
+    assert [(r["line_no"], r["line"]) for r in got[:2]] == [(0, "x"), (1, "average rate: 3.5")]
+    assert [(r["line_no"], r["line"]) for r in got[2:]] == list(enumerate(x.rstrip() for x in lines))
 
 
 def test_sync_boundary(spark):
@@ -172,3 +182,132 @@ def test_stream_join_and_throttle(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "j")).count() == 100 + 2 * 99
     streaming.run_once(streaming.throttle(read(), "2 seconds", "1 second"), str(tmp_path / "t"), str(tmp_path / "ct"))
     assert spark.read.parquet(str(tmp_path / "t")).count() == 5
+
+
+def test_sync_by_key_against_all_pairs(spark):
+    r = np.random.default_rng(7)
+    left = [(i, int(t), int(k)) for i, (t, k) in enumerate(zip(r.integers(0, 4000, 150), r.integers(0, 3, 150)))]
+    right = [(1000 + i, int(t), int(k)) for i, (t, k) in enumerate(zip(r.integers(0, 4000, 200), r.integers(0, 3, 200)))]
+    a, b = (spark.createDataFrame(x, "id bigint, t bigint, k bigint") for x in (left, right))
+    near, before = {}, {}
+    for i, t, k in left:
+        pairs = [(abs(t - u), j) for j, u, m in right if m == k and abs(t - u) <= 60]
+        past = [(u, j) for j, u, m in right if m == k and 0 <= t - u <= 60]
+        if pairs:
+            near[i] = min(pairs)[::-1]
+        if past:
+            before[i] = (max(past)[1], t - max(past)[0])
+    assert {x["id"]: (x["right_id"], x["dt_us"]) for x in sync.nearest(a, b, 60, ["k"]).collect()} == near
+    assert {x["id"]: (x["right_id"], x["dt_us"]) for x in sync.latest(a, b, 60, ["k"]).collect()} == before
+
+
+def test_rows_without_a_device_are_one(spark):
+    rows = [(None, k, k, 0.0, 0.0) for k in range(5)] + [(7, k, 10 + k, 0.0, 0.0) for k in range(5)] + [(None, 9, 20, 1.0, 0.0), ((1 << 60) + 1, 1, 21, None, 0.0), ((1 << 60) + 1, 2, 22, 0.5, 0.0), ((1 << 60) + 1, 3, 23, None, None)]
+    got = keyframes.select(spark.createDataFrame(rows, "device bigint, stamp bigint, id bigint, distance double, angle double"), 0.1, 0.1).collect()
+    assert sorted((x["device"] or 0, x["id"]) for x in got) == [(0, 0), (0, 20), (7, 10), ((1 << 60) + 1, 21), ((1 << 60) + 1, 22)]
+
+
+def test_dense_clouds_make_few_pairs(spark):
+    r = np.random.default_rng(8)
+    xyz = np.concatenate([r.random((1500, 3)) * 0.02, r.random((50, 3)) * 5, np.zeros((30, 3))])
+    p = spark.createDataFrame([(i, *map(float, v)) for i, v in enumerate(xyz)], "pid bigint, x double, y double, z double")
+    d2 = ((xyz[:, None] - xyz[None]) ** 2).sum(-1)
+    edge = spatial._edge_for(p, 4, 1.0)
+    assert edge < 0.02 and spatial._near(p, p, edge).count() < 0.3 * len(xyz) ** 2
+    got = spatial.radius_neighbours(p, p, 0.01, 4).collect()
+    want = {(i, int(j)) for i in range(len(xyz)) for j in np.lexsort((np.arange(len(xyz)), d2[i]))[:4] if d2[i, j] <= 0.01**2}
+    assert {(x["q"], x["n"]) for x in got} == want
+
+
+@pytest.mark.parametrize("values", [[3.0], [1.0, 1.0, 1.0, 2.0], list(range(5000)), [0.0] * 6000 + [1e9, -1e9], [float(x * x % 7919) for x in range(20000)]])
+def test_quantile(spark, values):
+    df = spark.createDataFrame([(float(v),) for v in values] + [(None,), (float("nan"),)], "v double")
+    for q in (0.0, 0.05, 0.5, 0.999, 1.0):
+        assert spatial.quantile(df, "v", q) == pytest.approx(float(np.quantile(np.array(values, float), q)), rel=1e-12)
+    assert spatial.quantile(df.where("v > 1e300"), "v", 0.5) is None and spatial.quantile_trim(df.where("v > 1e300"), "v").count() == 0
+
+
+def test_stl_round_trip(spark, tmp_path):
+    v = spark.createDataFrame([(0, 0.0, 0.0, 0.0), (1, 1.0, 0.0, 0.0), (2, 1.0, 1.0, 0.0), (3, 0.0, 1.0, 0.0)], "vid bigint, x double, y double, z double")
+    t = spark.createDataFrame([(0, 0, 1, 2), (1, 0, 2, 3)], schemas.TRIANGLE)
+    geometry.write_stl(v, t, str(tmp_path / "m"))
+    facets = [(0, 0, 0, 1, 0, 0, 1, 1, 0), (0, 0, 0, 1, 1, 0, 0, 1, 0)]
+    (tmp_path / "b.stl").write_bytes(b" " * 80 + struct.pack("<I", 2) + b"".join(struct.pack("<12fH", 0, 0, 1, *f, 0) for f in facets))
+    for path in (next((tmp_path / "m").glob("part-*")), tmp_path / "b.stl"):
+        v2, t2 = geometry.read_stl(spark, str(path))
+        at = {r["vid"]: (r["x"], r["y"], r["z"]) for r in v2.collect()}
+        assert len(at) == 4 and [sum((at[r[c]] for c in ("v0", "v1", "v2")), ()) for r in t2.orderBy("tid").collect()] == facets
+
+
+def test_empty_cloud_is_an_error(spark, tmp_path):
+    spark.dataSource.register(geometry.PlySource)
+    (tmp_path / "e.ply").write_bytes(geometry.ply_bytes([]))
+    with pytest.raises(ValueError, match="no points"):
+        geometry.load_cloud(spark, str(tmp_path / "e.ply"))
+
+
+def test_jpeg_to_rgb(spark, tmp_path):
+    jvm = spark.sparkContext._jvm
+    image = jvm.java.awt.image.BufferedImage(8, 8, 1)
+    for x in range(8):
+        for y in range(8):
+            image.setRGB(x, y, 0xC82814)
+    jvm.javax.imageio.ImageIO.write(image, "jpeg", jvm.java.io.File(str(tmp_path / "a.jpg")))
+    (tmp_path / "b.jpg").write_bytes(b"no image")
+    (row,) = tables.images(spark, str(tmp_path)).collect()
+    assert (row["width"], row["height"]) == (8, 8) and np.abs(np.frombuffer(row["rgb"], np.uint8).reshape(-1, 3).astype(int) - (200, 40, 20)).max() <= 6
+
+
+def test_gates_by_command_line(spark, tmp_path, capsys):
+    r = np.random.default_rng(9)
+    (tmp_path / "c.ply").write_bytes(geometry.ply_bytes([tuple(map(float, x)) for x in r.random((200, 3))], [(1, 2, 3)] * 200))
+    (tmp_path / "m.obj").write_text("v 0 0 0\n" * 200 + "f 1 2 3\n")
+    good = ["validate", "--ply", str(tmp_path / "c.ply"), "--mesh", str(tmp_path / "m.obj")]
+    assert cli.main(good, spark) == 0
+    assert [x.split()[0] for x in capsys.readouterr().out.splitlines()] == ["[PASS", "[WARN", "[PASS", "[PASS", "[PASS"]
+    missing = [*good, "--db", str(tmp_path / "none.db")]
+    assert cli.main(missing, spark) == 1 and capsys.readouterr().out.splitlines()[1].startswith("[SKIPPED")
+    assert cli.main([*missing, "--force"], spark) == 0
+    assert cli.main(["report", "--stage1", str(tmp_path / "none.json"), "--out", str(tmp_path / "r.md")], spark) == 1
+    row = "{\"seq\": 1, \"rmw\": \"fast\", \"drop_pct\": 3.0, \"score\": 2.5}"
+    (tmp_path / "s.json").write_text(f"{{\"best\": {row}, \"all\": [{row}]}}")
+    assert cli.main(["report", "--stage1", str(tmp_path / "s.json"), "--out", str(tmp_path / "r.md")], spark) == 0
+    assert "|1|fast|-|" in (tmp_path / "r.md").read_text()
+
+
+def test_streams_of_frames_and_first_messages(spark, tmp_path):
+    rows = [(0, bytearray(b"\0" * 12 + frames.encode_png(np.full((4, 6), 9, np.uint16)))), (1, bytearray(b"junk"))]
+    spark.createDataFrame(rows, "msg_id bigint, data binary").coalesce(1).write.parquet(str(tmp_path / "in"))
+    (tmp_path / "empty").mkdir()
+    read = lambda name: spark.readStream.schema("msg_id bigint, data binary").parquet(str(tmp_path / name))
+    streaming.decode_frames(read("in"), str(tmp_path / "frames"), str(tmp_path / "errors"), str(tmp_path / "c1"))
+    (ok,) = spark.read.parquet(str(tmp_path / "frames")).collect()
+    (bad,) = spark.read.parquet(str(tmp_path / "errors")).collect()
+    assert (ok["msg_id"], ok["width"], ok["height"], ok["encoding"]) == (0, 6, 4, "16UC1") and bad["msg_id"] == 1 and bad["error"]
+    assert streaming.wait_for_message(read("in"), str(tmp_path / "c2"), 60) and not streaming.wait_for_message(read("empty"), str(tmp_path / "c3"), 2)
+
+
+def test_camera_stream(spark, tmp_path):
+    q = synthetic.camera_stream(spark, 50, loss=0.2).writeStream.format("parquet").option("path", str(tmp_path / "o")).option("checkpointLocation", str(tmp_path / "c")).start()
+    try:
+        q.processAllAvailable()
+        for _ in range(60):
+            if any((tmp_path / "o").glob("*.parquet")) and spark.read.parquet(str(tmp_path / "o")).count():
+                break
+            time.sleep(0.5)
+    finally:
+        q.stop()
+    got = spark.read.parquet(str(tmp_path / "o"))
+    n, last = got.agg(F.count("*"), F.max("msg_id")).first()
+    assert 0 < n <= last + 1
+
+
+def test_moves_copies_and_probes(spark, tmp_path):
+    spark.range(3).write.parquet(str(tmp_path / "staged"))
+    spark.range(9).write.parquet(str(tmp_path / "deep" / "final"))
+    tables.move_in(spark, str(tmp_path / "staged"), str(tmp_path / "deep" / "final"))
+    assert spark.read.parquet(str(tmp_path / "deep" / "final")).count() == 3 and not (tmp_path / "staged").exists()
+    assert tables.copy_if_possible(spark, str(tmp_path / "deep"), str(tmp_path / "copy")) and not tables.copy_if_possible(spark, str(tmp_path / "none"), str(tmp_path / "copy"))
+    assert config.capable(["python", "--help"], "usage") and not config.capable(["python", "--help"], "no such word") and not config.capable(["no-such-command-here"], "x")
+    with pytest.raises(FileNotFoundError):
+        config.required_file(None, "a stage")
