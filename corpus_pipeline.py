@@ -1,7 +1,9 @@
 """Corpus pipeline: language identification, near-duplicates, repeated passages, benchmark items, packing.
 
 Each stage takes (spark, docs, sf_dir) and returns a table; all but the last return the columns of documents, and each stage's table is written and
-read again before the next.  Null and empty texts are rejected by the first stage; empty tables pass through all of them.
+read again before the next.  Null and empty texts are rejected by the first stage; empty tables pass through all of them.  Rows that are equal in
+all columns are near-duplicates of each other; of documents with equal texts the least doc_id stays.  Only doc_id and text are judged, and further columns
+pass through all stages but the last, also if they have the name of an operator's result.  Long texts are read as a whole.
 """
 
 from __future__ import annotations
