@@ -17,6 +17,7 @@ import pyarrow.compute as pc
 from fieldspark.llm.common import ranges
 
 ENCODE_BYTES = 12 << 20  # of text whose distinct words are encoded together
+LETTERS = "[a-zß-öø-ÿ]"
 MARKS = "!\"#$%&()*+,-./:;=?@[\\]^_`{|}~"  # ASCII punctuation but for ' and <, which begin contractions and special tokens
 
 
@@ -32,13 +33,18 @@ def _byte_names() -> dict[int, str]:
 
 @functools.cache
 def _tokenizer(path: str):
-    """This worker's tokenizer of a vocabulary file; what it has remembered of words goes with each task's Encoder."""
+    """This worker's tokenizer of a vocabulary file."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     return Tokenizer.from_file(path)
 
 
+def _strings(column: pa.Array) -> list[str]:
+    """The strings of an Arrow column without nulls, by way of NumPy, which makes them several times faster than to_pylist()."""
+    return column.to_numpy(zero_copy_only=False).tolist()
+
+
 class Pool:
     """Ids of strings, one after the other; a string is known by its number."""
 
@@ -69,13 +75,24 @@ class Pool:
 
 
 class Encoder:
-    """Ids of texts; remembers up to about `limit` words, then starts anew."""
+    """Ids of texts; remembers up to about `limit` words, then starts anew.  Neighbouring texts may bring as many new words as they have before it does."""
 
     def __init__(self, path: str, limit: int = 300_000):
         self.tokenizer = _tokenizer(path)
         self.limit, self.names = limit, _byte_names()
         self.pool = Pool()
 
+    @classmethod
+    @functools.cache
+    def shared(cls, path: str) -> Encoder:
+        """This worker's encoder, whose words outlive a task; ease() at the task's end keeps them within the limit."""
+        return cls(path)
+
+    def ease(self) -> None:
+        """Forget all words, if there are more than the limit."""
+        if len(self.pool.index) > self.limit:
+            self.pool = Pool()
+
     def _parts(self, strings: list[str]) -> tuple[list[int], list[int]]:
         """Ids, all in a row, and their numbers, of single pre-tokens: lower-case Latin letters, or marks."""
         tokenize, flat, lengths = self.tokenizer.model.tokenize, [], []
@@ -96,31 +113,24 @@ class Encoder:
         stem = pc.utf8_rtrim(lower, characters=MARKS)
         # letters whose lower case has another length (such as a dotted capital I) aren't plain
         same = pc.equal(pc.binary_length(lower), pc.binary_length(words))
-        plain = np.asarray(pc.and_(pc.match_substring_regex(stem, "^[a-zß-öø-ÿ]*$"), same))
-        stems = stem.dictionary_encode()
-        names = stems.dictionary.to_pylist()
-        at = np.asarray(stems.indices)
-        used = np.zeros(len(names), bool)
-        used[at[plain]] = True
-        number = np.zeros(len(names), np.int64)
-        number[used] = self.pool.numbers([names[k] for k in np.flatnonzero(used).tolist()], self._parts)
-        first = number[at]
+        plain = np.asarray(pc.and_(pc.match_substring_regex(stem, f"^{LETTERS}*$"), same))
+        first = np.zeros(len(words), np.int64)
+        stems = stem.filter(pa.array(plain)).dictionary_encode()
+        first[plain] = self.pool.numbers(_strings(stems.dictionary), self._parts)[np.asarray(stems.indices)]
         ended = np.flatnonzero(plain & np.asarray(pc.less(pc.binary_length(stem), pc.binary_length(lower))))
-        keep = pa.array(ended)
-        tails = [w[k:] for w, k in zip(lower.take(keep).to_pylist(), pc.utf8_length(stem.take(keep)).to_pylist())]
+        # what comes after the stem; there are few of them
+        tails = pc.replace_substring_regex(lower.take(pa.array(ended)), f"^{LETTERS}*", "").dictionary_encode()
         nothing = self.pool.numbers([""], self._parts)[0]
-        self.pool.numbers(list(set(tails)), self._parts)  # few
         second = np.full(len(words), nothing, np.int64)
-        second[ended] = self.pool.numbers(tails, self._parts)
+        second[ended] = self.pool.numbers(_strings(tails.dictionary), self._parts)[np.asarray(tails.indices)]
         rest = np.flatnonzero(~plain)
         if len(rest):
-            first[rest] = self.pool.numbers([" " + w for w in words.take(pa.array(rest)).to_pylist()], self._whole)
+            first[rest] = self.pool.numbers([" " + w for w in _strings(words.take(pa.array(rest)))], self._whole)
         return first, second
 
     def encode(self, texts: list[bytes], end: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row, each text's followed by `end`, and the number of ids of each text."""
-        if len(self.pool.index) > self.limit:
-            self.pool = Pool()
+        self.ease()
         try:
             column = pa.array(texts, pa.binary()).cast(pa.string())
         except pa.ArrowInvalid:  # bytes that aren't UTF-8
