@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldspark.llm import decontaminate, language_id, lm_score, near_dedup, packing, passages, quality_model, quality_rules, sharding, token_store
+from fieldspark.llm import collocations, decontaminate, language_id, lexical_search, lm_score, near_dedup, packing, passages, quality_model, quality_rules, sharding, token_store, url_filters
 from fieldspark.llm.common import crc_of_id, ready
 
 
@@ -77,6 +77,30 @@ def op10_retrieval_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = collocations.collocations(_table(spark, sf_dir, "documents"), least=30, most=2000)
+    return out.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = lexical_search.build(_table(spark, sf_dir, "documents"))
+    return lexical_search.search(index, _table(spark, sf_dir, "benchmark"), k=10).select("item_id", "rank", "doc_id", "score")
+
+
+#: The lists that come before mined rules.
+LISTS = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/")]
+
+
+def op13_association_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # a page's address ends with the number of its document, whose label is the page's
+    pages = _table(spark, sf_dir, "pages")
+    number = F.regexp_extract(url_filters.path_of(F.col("url")), r"^/[^/]*/([0-9]{1,18})(?:[./]|$)", 1)
+    labels = _table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.max(((F.col("quality") == 0) | (F.col("toxic") == 1)).cast("int")).alias("bad"))
+    named = pages.select("url", F.when(number != "", number).cast("bigint").alias("doc_id"))
+    rules = url_filters.mine(named.join(labels, "doc_id"))
+    return url_filters.judge(pages.select("page_id", "url"), rules, LISTS).select("page_id", "host", "path", "rule", "verdict")
+
+
 QUERIES = {
     "op1_deleted_interpolation": op1_deleted_interpolation,
     "op2_signature_join": op2_signature_join,
@@ -88,6 +112,9 @@ QUERIES = {
     "op8_co_training": op8_co_training,
     "op9_run_length_index": op9_run_length_index,
     "op10_retrieval_packing": op10_retrieval_packing,
+    "op11_collocations": op11_collocations,
+    "op12_lexical_search": op12_lexical_search,
+    "op13_association_rules": op13_association_rules,
 }
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -124,4 +151,25 @@ WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(enc
  t AS (SELECT doc_id, string_agg(substr(h, 2 * before + 1, 2 * (s - before)) || CASE WHEN last THEN substr(h, 2 * e + 1) ELSE '' END, '' ORDER BY s) AS kept FROM b JOIN d USING (doc_id) GROUP BY 1)
 SELECT doc_id, n AS n_bytes, coalesce(gone, 0) AS n_removed, coalesce(spans, 0) AS n_spans, sha256(unhex(coalesce(kept, h))) AS kept_sha256, coalesce(passage, 0) AS n_passage
 FROM d LEFT JOIN c USING (doc_id) LEFT JOIN t USING (doc_id)""",
+    "op11_collocations": rf"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex({_LOWER}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+ w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+ g AS (SELECT lang, unnest(list_transform(range(1, len(w) - k + 2), lambda i: w[i:i + k - 1])) AS ws FROM w, (VALUES (1), (2), (3), (4)) AS v(k) WHERE len(w) >= k),
+ f AS (SELECT lang, ws, array_to_string(ws, ' ') AS phrase, len(ws) AS k, count(*) AS f FROM g GROUP BY 1, 2),
+ c AS (SELECT lang, ws, phrase, k, f AS a FROM f WHERE k > 1 AND f >= 30),
+ x AS (SELECT lang, phrase, a, j, array_to_string(ws[:j], ' ') AS lp, array_to_string(ws[j + 1:], ' ') AS rp FROM (SELECT *, unnest(range(1, k)) AS j FROM c)),
+ s AS (SELECT x.lang, x.phrase, x.a, j, fl.f AS l, fr.f AS r, ((2000000::HUGEINT * x.a) // (fl.f + fr.f))::BIGINT AS score FROM x JOIN f fl ON fl.lang = x.lang AND fl.phrase = lp JOIN f fr ON fr.lang = x.lang AND fr.phrase = rp),
+ b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+ o AS (SELECT lang, array_to_string(ws[i:i + n - 1], ' ') AS phrase, max(a) AS longer FROM (SELECT *, unnest(range(1, k - n + 2)) AS i FROM (SELECT *, unnest(range(2, k)) AS n FROM c)) GROUP BY 1, 2),
+ n AS (SELECT lang, sum(len(w))::BIGINT AS n FROM w GROUP BY 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank, phrase, a, l, r, n, score
+FROM b LEFT JOIN o USING (lang, phrase) JOIN n USING (lang) WHERE longer IS NULL OR 100::HUGEINT * longer < 80::HUGEINT * a QUALIFY rank <= 2000""",
+    "op12_lexical_search": rf"""
+WITH t AS (SELECT doc_id, unnest(w) AS term, len(w) AS n FROM (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents)),
+ p AS (SELECT doc_id, term, n, count(*) AS tf FROM t GROUP BY 1, 2, 3),
+ z AS (SELECT count(*)::HUGEINT AS nd, sum(n)::HUGEINT AS l FROM (SELECT DISTINCT doc_id, n FROM p)),
+ q AS (SELECT item_id, unnest(list_distinct(regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'))) AS term FROM benchmark),
+ d AS (SELECT term, floor(1000 * ln((2 * nd + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM p, z WHERE term IN (SELECT term FROM q) GROUP BY term, nd),
+ s AS (SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * nd) // l))))::BIGINT AS score FROM q JOIN d USING (term) JOIN p USING (term), z GROUP BY 1, 2)
+SELECT item_id, (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id))::INT AS rank, doc_id, score FROM s WHERE score > 0 QUALIFY rank <= 10""",
 }
