@@ -3,7 +3,7 @@
     python -m fieldspark.cli validate --db map.db --ply cloud.ply --mesh mesh.obj [--force]
     python -m fieldspark.cli report --stage1 stage1.json --out report.md
 
-The exit code is 0 if no gate failed, or with --force, and 1 otherwise.
+Meshes are OBJ, PLY or STL files.  The exit code is 0 if no gate failed, or with --force, and 1 otherwise; to validate nothing is an error.
 """
 
 from __future__ import annotations
@@ -49,12 +49,14 @@ def verdicts(spark: SparkSession, db: str | None = None, ply: str | None = None,
         add("cloud extent", box, gates.cloud_extent(F.col("dx"), F.col("dy"), F.col("dz")))
     if mesh:
         at = artifact(mesh)
-        n = [x.count() for x in geometry.read_obj(spark, mesh)] if at.first()["exists"] else [0, 0]
+        n = [x.count() for x in geometry.read_mesh(spark, mesh)] if at.first()["exists"] else [0, 0]
         add("mesh", at, gates.mesh(exists, length, F.lit(n[0]), F.lit(n[1])))
     return spark.createDataFrame(rows, "ord int, gate string, verdict string")
 
 
 def validate(spark: SparkSession, args: argparse.Namespace) -> int:
+    if not (args.db or args.ply or args.mesh):
+        raise ValueError("nothing to validate: name an artifact by --db, --ply or --mesh")
     found = gates.sequence(verdicts(spark, args.db, args.ply, args.mesh), args.force)
     for r in report.status_lines(found, "gate", F.col("outcome"), "ord").orderBy("ord").collect():
         print(r["line"])

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def _moved(now: float, last: float, least: float) -> bool:
+def moved(now: float, last: float, least: float) -> bool:
     """An unknown value is no motion; a known one after an unknown one is."""
     return now == now and (last != last or abs(now - last) >= least)
 
@@ -30,7 +30,7 @@ def select(poses: DataFrame, linear: float, angular: float, device: str = "devic
             keep = np.zeros(b.num_rows, bool)
             number = lambda c: np.asarray(b.column(b.schema.get_field_index(c)).cast(pa.float64()).fill_null(float("nan"))).tolist()  # noqa: B023, E731
             for i, (who, distance, angle) in enumerate(zip(b.column(0).to_pylist(), number("distance"), number("angle"))):
-                if who != device_now or _moved(distance, d, linear) or _moved(angle, a, angular):
+                if who != device_now or moved(distance, d, linear) or moved(angle, a, angular):
                     device_now, d, a = who, distance, angle
                     keep[i] = True
             yield pa.RecordBatch.from_arrays(b.columns[1:], schema=pa.schema(list(b.schema)[1:])).filter(pa.array(keep))

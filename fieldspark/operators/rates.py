@@ -96,3 +96,40 @@ def replay(messages: DataFrame, rate: float, stamp: str = "stamp") -> DataFrame:
     """Seconds from the first message at which each is played."""
     first = messages.agg(F.min(stamp).alias("__first"))
     return messages.join(F.broadcast(first)).withColumn("play_s", (F.unix_micros(F.col(stamp)) - F.unix_micros("__first")) / 1e6 / rate).drop("__first")
+
+
+def absences(messages: DataFrame, quiet_us: int, end_us: int, expected: DataFrame | None = None, topic: str = "topic", stamp: str = "stamp") -> DataFrame:
+    """topic, kind, at_us: `absent` at the last message before a silence longer than `quiet_us`, `back` at the message that ends it.
+
+    `expected` has topics and the stamps from which they are waited for: one that is never seen is absent since then, and so is one whose first message comes too late; from the first message on
+    the stamp has no meaning.  A silence that lasts until `end_us` has no end.  A gap longer than a bucket of that width lies between two buckets, so messages are
+    reduced to the first and last of each topic and bucket before they are put in order.  Rows without a stamp are left out.
+    """
+    t = F.unix_micros(F.col(stamp))
+    seen = messages.where(F.col(stamp).isNotNull()).groupBy(topic, F.floor(t / F.lit(quiet_us)).alias("__b")).agg(F.min(t).alias("lo"), F.max(t).alias("hi")).select(topic, "lo", "hi", F.lit(True).alias("seen"))
+    if expected is not None:
+        start = expected.where(F.col(stamp).isNotNull()).groupBy(topic).agg(F.min(t).alias("lo"))
+        seen = seen.unionByName(start.select(topic, "lo", F.col("lo").alias("hi"), F.lit(False).alias("seen")))
+    in_order = Window.partitionBy(topic).orderBy("lo", "seen")
+    # a wait that begins after the first message is no message
+    rows = seen.withColumn("__first", F.row_number().over(in_order)).where(F.col("seen") | (F.col("__first") == 1))
+    rows = rows.withColumns({"__before": F.lag("hi").over(in_order), "__next": F.lead("lo").over(in_order)})
+    event = lambda kind, at: F.struct(F.lit(kind).alias("kind"), F.col(at).alias("at_us"))
+    gone = F.when(F.coalesce("__next", F.lit(end_us)) - F.col("hi") > quiet_us, event("absent", "hi"))
+    back = F.when(F.col("lo") - F.col("__before") > quiet_us, event("back", "lo"))
+    return rows.select(topic, F.explode(F.array_compact(F.array(gone, back))).alias("e")).select(topic, "e.*")
+
+
+def keep_last(messages: DataFrame, depth: int, period_us: int, topic: str = "topic", stamp: str = "stamp", order: str = "msg_id") -> DataFrame:
+    """A queue that holds the last `depth` messages of each topic and is emptied every period: topic, slot, n messages that came, dropped, ids of those that were left, oldest first.
+
+    The greater id is the later of equal stamps.  With a depth of 1 only the most recent message counts.  Rows without a stamp are left out.
+    """
+    t = F.unix_micros(F.col(stamp))
+    came = messages.where(F.col(stamp).isNotNull()).select(topic, F.floor(t / F.lit(period_us)).alias("slot"), t.alias("t"), F.col(order).alias("id"))
+    newest = came.withColumn("__n", F.row_number().over(Window.partitionBy(topic, "slot").orderBy(F.desc("t"), F.desc("id")))).where(F.col("__n") <= depth)
+    left = newest.groupBy(topic, "slot").agg(F.transform(F.array_sort(F.collect_list(F.struct("t", "id"))), lambda x: x["id"]).alias("ids"))  # at most `depth`
+    counted = came.groupBy(topic, "slot").agg(F.count("*").alias("n"))
+    same = (F.col(f"l.{topic}").eqNullSafe(F.col(f"c.{topic}"))) & (F.col("l.slot") == F.col("c.slot"))
+    both = counted.alias("c").join(left.alias("l"), same)
+    return both.select(f"c.{topic}", "c.slot", "n", F.greatest(F.col("n") - depth, F.lit(0)).alias("dropped"), "ids")

@@ -75,6 +75,19 @@ def _edge_for(points: DataFrame, k: int, edge: float) -> float:
 def knn(queries: DataFrame, points: DataFrame, k: int, edge: float, rounds: int = 64, within: float | None = None) -> DataFrame:
     """q, n, d2, rank of the k nearest points (a point is its own neighbour), only those `within` a distance if it is given; all points if there are fewer.
 
+    Queries in one place have the same neighbours, and of points in one place at most the k of least pid can be among them: places are joined, not points, so
+    the pairs that are made don't grow with how often a place repeats.
+    """
+    places = queries.groupBy(*AXES).agg(F.min("pid").alias("pid"))
+    few = points.withColumn("__n", F.row_number().over(Window.partitionBy(*AXES).orderBy("pid"))).where(F.col("__n") <= k).drop("__n")
+    found = _nearest(places.select("pid", *AXES), few.select("pid", *AXES), k, edge, rounds, within)
+    same = queries.select(F.col("pid").alias("__q"), *AXES).join(places.withColumnRenamed("pid", "q"), list(AXES)).select("__q", "q")
+    return same.join(found, "q").select(F.col("__q").alias("q"), "n", "d2", "rank")
+
+
+def _nearest(queries: DataFrame, points: DataFrame, k: int, edge: float, rounds: int, within: float | None) -> DataFrame:
+    """knn() of queries in places of their own.
+
     The first cells are small enough for the average point's neighbourhood to hold some k points, whatever `edge` says, so dense regions are resolved among few
     pairs; the queries that are left are repeated with doubled cells (four times as wide where a round resolves few).  Each round's result is
     written to the shared folder, and its unresolved queries are counted; a cell as wide as both clouds, or as `within`, ends it.
@@ -181,7 +194,8 @@ def range_filter(points: DataFrame, least: float, most: float) -> DataFrame:
 
 def radius_outliers(points: DataFrame, radius: float, least: int) -> DataFrame:
     """Points with at least `least` others within the radius."""
-    n = radius_neighbours(points, points, radius).where(F.col("q") != F.col("n")).groupBy("q").agg(F.count("*").alias("m"))
+    # of the nearest `least` + 1 within the radius at least `least` are others, whether the point itself is among them or not
+    n = radius_neighbours(points, points, radius, least + 1).where(F.col("q") != F.col("n")).groupBy("q").agg(F.count("*").alias("m"))
     return points.join(n.where(F.col("m") >= least).select(F.col("q").alias("pid")), "pid", "left_semi")
 
 

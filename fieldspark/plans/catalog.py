@@ -6,16 +6,14 @@ aggregates of line items and orders are runs.  Floating results are rounded to s
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fieldspark import schemas
 from fieldspark.functions import frames, params, scores, text
-from fieldspark.operators import gates, health, keyframes, mesh, ranking, rates, spatial, sweep, sync
+from fieldspark.operators import gates, health, keyframes, mesh, occupancy, orientation, ranking, rates, spatial, sweep, sync
 from fieldspark.plans import report
-from fieldspark.session import ready, shared_dir
+from fieldspark.session import ready, scratch
 from fieldspark.sources import synthetic, tables
 from fieldspark.sources.tables import table
 
@@ -307,6 +305,102 @@ def asof_sync(spark, d):
 STREAMS = "WITH p AS (SELECT event_id AS id, epoch_us(ts) AS t FROM events WHERE event_type = 'purchase'), v AS (SELECT event_id AS id, epoch_us(ts) AS t FROM events WHERE event_type = 'view')"
 
 
+SETS = ("view", "click", "purchase")
+
+
+def synced_sets(spark, d):
+    """One view, click and purchase each that lie within half an hour: three streams at once."""
+    return sync.together({n: _stream(spark, d, n) for n in SETS}, HALF_HOUR)
+
+
+def _ended(spark, d, end: str, kind: str) -> DataFrame:
+    """The file of events as a stream, and a message at the end, which lets the watermark pass the others."""
+    from fieldspark import streaming
+
+    at, seen = scratch(spark, "end"), spark.read.parquet(f"{d}/events.parquet")
+    seen.limit(1).withColumn("ts", F.lit(end).cast(seen.schema["ts"].dataType)).withColumn("event_type", F.lit(kind)).write.parquet(at)
+    stream = streaming.messages(spark, d, seen.schema, "ts", "events.parquet")
+    last = spark.readStream.schema(seen.schema).parquet(at).withColumn("ts", F.col("ts").cast("timestamp"))
+    return stream.unionByName(last).select(F.col("event_id").alias("msg_id"), F.col("event_type").alias("topic"), F.col("ts").alias("stamp"))
+
+
+def _ran(spark, stream: DataFrame, name: str) -> DataFrame:
+    from fieldspark import streaming
+
+    base = scratch(spark, name)
+    streaming.run_once(stream, f"{base}/out", f"{base}/ck")
+    return spark.read.schema(stream.schema).parquet(f"{base}/out")
+
+
+def stream_sets(spark, d):
+    """The same sets, found by a stream that holds what the watermark hasn't passed."""
+    from fieldspark.streaming import stateful
+
+    ready(spark)
+    seen = _ended(spark, d, "2030-01-01 00:00:00", "view")
+    streams = {n: seen.where(F.col("topic") == n).select(F.col("msg_id").alias("id"), "stamp") for n in SETS}
+    return _ran(spark, stateful.together(streams, HALF_HOUR, "0 seconds"), "sets")
+
+
+SETS_SQL = f"""WITH RECURSIVE m AS (SELECT list_position(['view', 'click', 'purchase'], event_type) AS k, epoch_us(ts) AS t, event_id AS id FROM events WHERE event_type IN ('view', 'click', 'purchase')),
+ o AS (SELECT *, row_number() OVER (ORDER BY t, k, id) AS pos FROM m),
+ n AS (SELECT pos, t, min(CASE WHEN k = 1 THEN pos END) OVER w AS p1, min(CASE WHEN k = 2 THEN pos END) OVER w AS p2, min(CASE WHEN k = 3 THEN pos END) OVER w AS p3 FROM o WINDOW w AS (ORDER BY pos ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
+ g AS MATERIALIZED (SELECT n.pos, l.pos AS last, l.t - n.t AS spread, p1, p2, p3 FROM n JOIN o l ON l.pos = greatest(p1, p2, p3) WHERE p1 IS NOT NULL AND p2 IS NOT NULL AND p3 IS NOT NULL AND l.t - n.t <= {HALF_HOUR}),
+ c AS (SELECT i.pos, arg_min(e.pos, row(e.spread, e.pos)) AS best FROM g i JOIN g e ON e.pos BETWEEN i.pos AND i.last GROUP BY 1),
+ x AS MATERIALIZED (SELECT a.pos, a.best, f.pos AS following FROM (SELECT c.pos, c.best, b.last + 1 AS after FROM c JOIN g b ON b.pos = c.best) a ASOF LEFT JOIN g f ON a.after <= f.pos),
+ r AS (SELECT pos, best, following FROM x WHERE pos = (SELECT min(pos) FROM x) UNION ALL SELECT x.pos, x.best, x.following FROM r JOIN x ON x.pos = r.following)
+ SELECT v.id AS view_id, k.id AS click_id, u.id AS purchase_id, spread AS spread_us FROM r JOIN g ON g.pos = r.best JOIN o v ON v.pos = p1 JOIN o k ON k.pos = p2 JOIN o u ON u.pos = p3"""
+QUIET, WATCH, CLOSE = 5_400_000_000, "2023-12-31 00:00:00", "2024-02-03 00:00:00"
+
+
+def _awaited(spark) -> DataFrame:
+    return spark.createDataFrame([(t,) for t, _, _ in EXPECTED], "topic string").withColumn("stamp", F.lit(WATCH).cast("timestamp"))
+
+
+def topic_absences(spark, d):
+    """Silences of more than an hour and a half, and topics that never come."""
+    end = spark.range(1).select(F.unix_micros(F.lit(CLOSE).cast("timestamp"))).first()[0]
+    return rates.absences(events(spark, d), QUIET, end, _awaited(spark))
+
+
+def stream_absences(spark, d):
+    """The same, by timers of a stream."""
+    from fieldspark.streaming import stateful
+
+    ready(spark)
+    at = scratch(spark, "awaited")
+    _awaited(spark).write.parquet(at)
+    awaited = spark.readStream.schema("topic string, stamp timestamp").parquet(at)
+    return _ran(spark, stateful.absences(_ended(spark, d, CLOSE, "end"), QUIET, "0 seconds", awaited), "absences")
+
+
+ABSENCES_SQL = f"""WITH s AS (SELECT event_type AS topic, epoch_us(ts) AS t FROM events), a AS (SELECT * FROM s UNION ALL SELECT e.topic, epoch_us(TIMESTAMP '{WATCH}') FROM {VALUES} WHERE epoch_us(TIMESTAMP '{WATCH}') < coalesce((SELECT min(t) FROM s WHERE s.topic = e.topic), 9e18::BIGINT)),
+ g AS (SELECT topic, t, lag(t) OVER w AS before, coalesce(lead(t) OVER w, epoch_us(TIMESTAMP '{CLOSE}')) AS following FROM a WINDOW w AS (PARTITION BY topic ORDER BY t))
+ SELECT topic, 'absent' AS kind, t AS at_us FROM g WHERE following - t > {QUIET} UNION ALL SELECT topic, 'back', t FROM g WHERE t - before > {QUIET}"""
+HOUR = 3_600_000_000
+
+
+def _joined_ids(df: DataFrame) -> DataFrame:
+    return df.withColumn("ids", F.array_join(F.transform("ids", lambda x: x.cast("string")), ","))
+
+
+def queue_drops(spark, d):
+    """Queues of three messages, emptied every hour."""
+    return _joined_ids(rates.keep_last(events(spark, d), 3, HOUR))
+
+
+def stream_queue_drops(spark, d):
+    """The same, by a stream."""
+    from fieldspark.streaming import stateful
+
+    ready(spark)
+    return _joined_ids(_ran(spark, stateful.keep_last(_ended(spark, d, "2030-01-01 00:00:00", "end"), 3, HOUR, "0 seconds"), "queues"))
+
+
+QUEUE_SQL = f"""SELECT topic, slot, n, greatest(n - 3, 0) AS dropped, array_to_string(list_transform(ids[greatest(n - 2, 1):], lambda x: x::VARCHAR), ',') AS ids
+ FROM (SELECT event_type AS topic, epoch_us(ts) // {HOUR} AS slot, count(*) AS n, list(event_id ORDER BY ts, event_id) AS ids FROM events GROUP BY 1, 2)"""
+
+
 def throttle_first(spark, d):
     return rates.throttle(events(spark, d), 3_600_000_000).select("topic", "msg_id", F.unix_micros("stamp").alias("stamp_us"))
 
@@ -389,14 +483,10 @@ def json_round_trip(spark, d):
     return events(spark, d).select("msg_id", parsed["k"].cast("int").alias("k"), F.to_json(F.from_json("props", "k int")).alias("document"))
 
 
-def _scratch(spark, name: str) -> str:
-    return f"{shared_dir(spark)}/fieldspark-{name}-{uuid.uuid4().hex}"
-
-
 def stage_document(spark, d):
     """The runs as a stage's document: written, read back without the process handle, and taken apart again."""
     runs = _stage1_out(_stage1(spark, d)).withColumn("handle", F.lit("process 17"))
-    path = _scratch(spark, "stage")
+    path = scratch(spark, "stage")
     tables.write_stage_json(tables.without_handles(ranking.stage_document(runs), ["handle"]), path)
     schema = schemas.stage_document(", ".join(f"{c} {t}" for c, t in runs.drop("handle").dtypes) + ", handle string")
     back = tables.read_document(spark, path, schema)
@@ -496,6 +586,50 @@ def occupancy_points(spark, d):
     return spatial.voxel_downsample(near, 0.05).select("cx", "cy", "cz", "n")
 
 
+def oriented_normals(spark, d):
+    """The cloud with its next three numbers as normals, turned the same way along the spanning tree."""
+    n = [F.col("embedding")[3 + k].cast("double").alias(f"n{a}") for k, a in enumerate("xyz")]
+    cloud = table(spark, d, "embeddings").select(F.col("vec_id").alias("pid"), *[F.col("embedding")[k].cast("double").alias(a) for k, a in enumerate("xyz")], *n)
+    return orientation.consistent(cloud, k=10, edge=0.1).select("pid", *[r6(F.col(c)).alias(c) for c in ("nx", "ny", "nz")])
+
+
+# the spanning tree as Kruskal builds it: one step for each edge in order, with the part and sign of every point in lists
+ORIENTED_SQL = f"""WITH RECURSIVE p AS (SELECT *, sqrt(nx * nx + ny * ny + nz * nz) AS l, row_number() OVER (ORDER BY pid) AS i FROM (SELECT vec_id AS pid, embedding[1]::DOUBLE AS x, embedding[2]::DOUBLE AS y, embedding[3]::DOUBLE AS z, embedding[4]::DOUBLE AS nx, embedding[5]::DOUBLE AS ny, embedding[6]::DOUBLE AS nz FROM embeddings)),
+ near AS (SELECT DISTINCT least(q, n) AS u, greatest(q, n) AS v FROM (SELECT a.pid AS q, b.pid AS n, row_number() OVER (PARTITION BY a.pid ORDER BY (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) + (a.z - b.z) * (a.z - b.z), b.pid) AS k FROM p a, p b) WHERE k <= 11 AND q <> n),
+ w AS (SELECT a.i AS ui, b.i AS vi, u, v, a.nx * b.nx + a.ny * b.ny + a.nz * b.nz AS dot, a.l * b.l AS ll FROM near JOIN p a ON a.pid = u JOIN p b ON b.pid = v),
+ e AS MATERIALIZED (SELECT ui, vi, CASE WHEN dot < 0 THEN -1 ELSE 1 END AS s, row_number() OVER (ORDER BY 1.0 - abs(dot) / ll, u, v) AS k FROM w),
+ r AS (SELECT 0::BIGINT AS k, (SELECT list(i ORDER BY i) FROM p) AS lab, (SELECT list(1 ORDER BY i) FROM p) AS sg
+ UNION ALL SELECT e.k, CASE WHEN lab[ui] = lab[vi] THEN lab ELSE list_transform(lab, lambda x: CASE WHEN x = lab[vi] THEN lab[ui] ELSE x END) END,
+ CASE WHEN lab[ui] = lab[vi] THEN sg ELSE list_transform(range(1, len(lab) + 1), lambda j: CASE WHEN lab[j] = lab[vi] THEN sg[j] * sg[ui] * s * sg[vi] ELSE sg[j] END) END FROM r JOIN e ON e.k = r.k + 1),
+ o AS (SELECT p.*, lab[i] AS part, sg[i] AS s FROM p, (SELECT lab, sg FROM r ORDER BY k DESC LIMIT 1)),
+ t AS (SELECT *, first_value(s * nz) OVER w AS tz, first_value(s * ny) OVER w AS ty, first_value(s * nx) OVER w AS tx FROM o WINDOW w AS (PARTITION BY part ORDER BY z DESC, pid)),
+ f AS (SELECT pid, s * CASE WHEN tz < 0 OR tz = 0 AND (ty < 0 OR ty = 0 AND tx < 0) THEN -1 ELSE 1 END AS turn, nx, ny, nz FROM t)
+ SELECT pid, {sql6("nx * turn")} AS nx, {sql6("ny * turn")} AS ny, {sql6("nz * turn")} AS nz FROM f"""
+
+
+def occupancy_grid(spark, d):
+    """Each label's points as a scan from a place of its own, followed through the cells."""
+    rays = points(spark, d).select(F.col("label").alias("scan"), (F.col("label") / 50.0).alias("ox"), F.lit(0.01).alias("oy"), F.lit(-0.02).alias("oz"), *"xyz")
+    return occupancy.grid(rays, 0.05, 0.05, 0.45).withColumn("log_odds", r6(F.col("log_odds")))
+
+
+def _axis_sql(a: str) -> str:
+    low, high = f"floor(o{a} / 0.05::DOUBLE)::BIGINT", f"floor((o{a} + d{a} * stop) / 0.05::DOUBLE)::BIGINT"
+    return f"list_transform(range(least({low}, {high}) + 1, greatest({low}, {high}) + 1), lambda i: (i * 0.05::DOUBLE - o{a}) / d{a})"
+
+
+GRID_SQL = f"""WITH p AS (SELECT *, x - ox AS dx, y - oy AS dy, z - oz AS dz FROM (SELECT pid, label AS scan, label / 50.0::DOUBLE AS ox, 0.01::DOUBLE AS oy, -0.02::DOUBLE AS oz, x, y, z FROM {POINTS})),
+ l AS (SELECT *, sqrt(dx * dx + dy * dy + dz * dz) AS len FROM p WHERE sqrt(dx * dx + dy * dy + dz * dz) >= 0.05::DOUBLE),
+ s AS (SELECT *, CASE WHEN len > 0.45::DOUBLE THEN 0.45::DOUBLE / len ELSE 1.0::DOUBLE END AS stop FROM l),
+ t AS (SELECT *, list_sort(list_distinct(list_concat([0.0::DOUBLE, stop], list_filter(list_concat({_axis_sql("x")}, {_axis_sql("y")}, {_axis_sql("z")}), lambda t: t > 0 AND t < stop)))) AS ts FROM s),
+ m AS (SELECT *, unnest(list_transform(range(1, len(ts)), lambda j: (ts[j + 1] + ts[j]) / 2.0::DOUBLE)) AS t FROM t),
+ c AS (SELECT scan, floor((ox + dx * t) / 0.05::DOUBLE)::BIGINT AS cx, floor((oy + dy * t) / 0.05::DOUBLE)::BIGINT AS cy, floor((oz + dz * t) / 0.05::DOUBLE)::BIGINT AS cz, 0 AS hit FROM m
+ UNION ALL SELECT scan, floor(x / 0.05::DOUBLE)::BIGINT, floor(y / 0.05::DOUBLE)::BIGINT, floor(z / 0.05::DOUBLE)::BIGINT, 1 FROM l WHERE len <= 0.45::DOUBLE),
+ g AS (SELECT cx, cy, cz, sum(hit)::BIGINT AS hits, sum(1 - hit)::BIGINT AS misses FROM (SELECT scan, cx, cy, cz, max(hit) AS hit FROM c GROUP BY ALL) GROUP BY ALL),
+ o AS (SELECT *, greatest({occupancy.log_odds(occupancy.LEAST)!r}::DOUBLE, least({occupancy.log_odds(occupancy.MOST)!r}::DOUBLE, hits * {occupancy.log_odds(occupancy.HIT)!r}::DOUBLE + misses * {occupancy.log_odds(occupancy.MISS)!r}::DOUBLE)) AS odds FROM g)
+ SELECT cx, cy, cz, hits, misses, {sql6("odds")} AS log_odds, odds > 0 AS occupied FROM o"""
+
+
 def mesh_info(spark, d):
     v = _vertices(spark, d).select("vid", F.when(F.col("label") == 1, F.col("x")).alias("nx"), F.lit(None).cast("double").alias("r"))
     return mesh.info(v, _triangles(spark, d))
@@ -512,7 +646,7 @@ def recorded_topics(spark, d):
     """The stream of messages recorded by topic, and the record read back."""
     from fieldspark import streaming
 
-    base = _scratch(spark, "record")
+    base = scratch(spark, "record")
     stream = streaming.messages(spark, d, spark.read.parquet(f"{d}/events.parquet").schema, "ts", "events.parquet")
     streaming.record(stream, f"{base}/out", f"{base}/ck", topic="event_type")
     return spark.read.parquet(f"{base}/out").groupBy(F.col("event_type").cast("string").alias("topic")).agg(F.count("*").alias("n"), F.sum("event_id").alias("ids"))
@@ -525,7 +659,7 @@ def stream_topic_rate(spark, d):
     """
     from fieldspark import streaming
 
-    base = _scratch(spark, "stream")
+    base = scratch(spark, "stream")
     seen = spark.read.parquet(f"{d}/events.parquet")
     later = seen.limit(1).withColumn("ts", F.col("ts") + F.expr("INTERVAL 365 DAYS")).withColumn("event_type", F.lit("end"))
     later.write.parquet(f"{base}/later")
@@ -557,6 +691,7 @@ QUERIES = {
         approx_sync, asof_sync, throttle_first, tumbling_rate, cloud_bbox, voxel_downsample, knn_mean_distance, outlier_filter, radius_neighbours, quantile_trim, crop_bbox, nn_label_transfer, triangle_cleanup, normals,
         mesh_vertex_normals, json_round_trip, report_rows, stream_topic_rate, frame_decode, gate_sequence, stage_document, slam_report_rows, diagnostic_report_rows, inspector_report_rows, status_line_rows,
         zero_runs, usb_kinds, path_parts, stamps, parameter_flags, run_progress, replay_schedule, first_message_wait, message_gaps, rate_and_cpu, scaled_cloud, occupancy_points, mesh_info, synthetic_loss, recorded_topics,
+        oriented_normals, occupancy_grid, synced_sets, stream_sets, topic_absences, stream_absences, queue_drops, stream_queue_drops,
     )
 } | {"keyframes": keyframe_rows}
 
@@ -634,4 +769,6 @@ ORACLES = {
  SELECT device, stamp, id, distance, angle FROM r WHERE hit""",
     "report_rows": REPORT_SQL,
 }
+ORACLES |= {"oriented_normals": ORIENTED_SQL, "occupancy_grid": GRID_SQL}
+ORACLES |= {"synced_sets": SETS_SQL, "stream_sets": SETS_SQL, "topic_absences": ABSENCES_SQL, "stream_absences": ABSENCES_SQL, "queue_drops": QUEUE_SQL, "stream_queue_drops": QUEUE_SQL}
 ORACLES["inspector_report_rows"] = f"SELECT topic, {_cells('topic', _fixed('fps'), 'status')} AS line FROM ({ORACLES['inspector_status']})"

@@ -42,11 +42,17 @@ def shared_dir(spark: SparkSession) -> str:
 _kept: list[tuple[SparkSession, str]] = []
 
 
-def kept(df: DataFrame, name: str) -> DataFrame:
-    """The table written to the shared folder and read back: its lineage ends there.  The folder goes when the driver ends."""
-    spark, schema = df.sparkSession, df.schema
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder below the shared one, which goes when the driver ends."""
     path = f"{shared_dir(spark)}/fieldspark-{name}-{uuid.uuid4().hex}"
     _kept.append((spark, path))
+    return path
+
+
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """The table written to the shared folder and read back: its lineage ends there."""
+    spark, schema = df.sparkSession, df.schema
+    path = scratch(spark, name)
     df.write.parquet(path)
     return spark.read.schema(schema).parquet(path)
 

@@ -199,6 +199,18 @@ def read_stl(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     return places.select("vid", "x", "y", "z"), triangles
 
 
+def read_mesh(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """Vertices and triangles of a mesh, read as its suffix says: .ply, .stl, else OBJ."""
+    suffix = path.lower().rsplit(".", 1)[-1]
+    if suffix == "stl":
+        return read_stl(spark, path)
+    if suffix != "ply":
+        return read_obj(spark, path)
+    spark.dataSource.register(PlySource)
+    points = spark.read.format("ply").load(path).withColumnRenamed("pid", "vid")
+    return points, spark.read.format("ply").option("element", "face").load(path)
+
+
 def write_stl(vertices: DataFrame, triangles: DataFrame, path: str) -> None:
     """Text STL below `path`, one facet a row; normals are left to the reader."""
     out = triangles

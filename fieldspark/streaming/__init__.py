@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from fieldspark.operators.keyframes import moved
+
 
 def messages(spark: SparkSession, folder: str, schema, stamp: str, name: str, files_per_trigger: int | None = None) -> DataFrame:
     """A stream of the Parquet files in a folder that are called `name`, or lie in its subfolder of that name, with a zoned event time."""
@@ -49,13 +51,16 @@ def throttle(stream: DataFrame, interval: str, lateness: str, topic: str = "topi
 
 
 def keyframes(stream: DataFrame, linear: float, angular: float, device: str = "device") -> DataFrame:
-    """Rows that moved far enough from their device's last keyframe, kept as state; rows of one trigger are taken in order of stamp and id."""
+    """Rows that moved far enough from their device's last keyframe, kept as state; rows of one trigger are taken in order of stamp and id.
+
+    The rule is that of the batch form: unknown distances and angles are no motion, and known ones after unknown ones are.
+    """
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        rows = pd.concat(list(batches)).sort_values(["stamp", "id"])
+        rows = pd.concat(list(batches)).sort_values(["stamp", "id"], na_position="first")
         last, keep = (state.get if state.exists else None), []
-        for d, a in zip(rows["distance"], rows["angle"]):
-            hit = last is None or abs(d - last[0]) >= linear or abs(a - last[1]) >= angular
+        for d, a in zip(rows["distance"].astype(float), rows["angle"].astype(float)):
+            hit = last is None or moved(d, last[0], linear) or moved(a, last[1], angular)
             last = (d, a) if hit else last
             keep.append(hit)
         if last is not None:
