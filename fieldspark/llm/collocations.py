@@ -21,9 +21,9 @@ DEPTH = 4
 MARK = b"\xff"  # no byte of UTF-8: ends a piece
 #: A-Z become a-z; what ends a piece becomes the mark, and a tab a blank.
 TABLE = bytes(b + 32 if 65 <= b <= 90 else 0xFF if chr(b) in ".,;:!?\n\x0b\x0c\r" else 32 if b == 9 else b for b in range(256))
-SHARD_BYTES = 8 << 20  # of text in a trie
+SHARD_BYTES = 4 << 20  # of text in a trie
 RANGE_BYTES = 16 << 20  # of text whose windows meet in a task
-HELD = 4_000_000  # windows that a merging task holds before it sums equal ones
+HELD = 2_000_000  # windows that a merging task holds before it sums equal ones
 RUN = "part int, lang string, words binary, shared binary, ids binary, counts binary"
 NODE = "lang string, words array<string>, f bigint, edge boolean"
 
@@ -256,7 +256,7 @@ def count_tries(docs: DataFrame, least: int, sample_bytes: int = 32 << 20) -> Da
         if now:
             yield from now.nodes(at[1], least)
 
-    runs = _runs(docs, splitters).repartition(parts, "part").sortWithinPartitions("part", "lang")
+    runs = _runs(docs, splitters).repartitionById(parts, F.col("part")).sortWithinPartitions("part", "lang")
     nodes = stage(runs.mapInArrow(merge, NODE), "nodes")
     # a node at the end of a range may lie in the next one too
     whole = nodes.where(~F.col("edge")).select("lang", "words", "f")
