@@ -57,8 +57,15 @@ def with_base(configs: DataFrame, base: dict[str, str]) -> DataFrame:
     return configs.withColumn("params", params.merged(entries, F.col("params")))
 
 
-def sensor_configs(spark: SparkSession, rmws: list[str], quick: bool = False) -> DataFrame:
-    """Every combination of middleware, its shared-memory modes, resolution and rate, quality of service and compression, in order.
+def options(table: DataFrame, column: str, axis: str, axis_ord: int, prefix: str, key: str) -> DataFrame:
+    """An axis whose options are a column's distinct values, in order: the first is the default, labels are `prefix=value`, and `key` is the parameter.  Nulls are no option."""
+    values = table.select(F.col(column).cast("string").alias("v")).where(F.col("v").isNotNull()).distinct()
+    o = (F.row_number().over(Window.orderBy("v")) - 1).cast("int")  # an axis has few options
+    return values.select(F.lit(axis).alias("axis"), F.lit(axis_ord).alias("axis_ord"), o.alias("opt_ord"), F.concat_ws("=", F.lit(prefix), "v").alias("label"), F.create_map(F.lit(key), "v").alias("params"))
+
+
+def sensor_configs(spark: SparkSession, rmws: list[str] | DataFrame, quick: bool = False) -> DataFrame:
+    """Every combination of middleware (names in order, or a table of o1 and rmw), its shared-memory modes, resolution and rate, quality of service and compression, in order.
 
     Only the first-named fast middleware has a choice of shared memory, and only in a full sweep.
     """
@@ -68,7 +75,7 @@ def sensor_configs(spark: SparkSession, rmws: list[str], quick: bool = False) ->
         sizes = [sizes[0], sizes[1], sizes[3]]
     qos, packed = (["SENSOR_DATA"], [False]) if quick else (["SENSOR_DATA", "DEFAULT"], [False, True])
     table = lambda rows, schema: spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], schema)
-    a = table([(r,) for r in rmws], "o1 int, rmw string")
+    a = rmws if isinstance(rmws, DataFrame) else table([(r,) for r in rmws], "o1 int, rmw string")
     a = a.withColumn("shm", F.explode(F.when((F.col("rmw") == "rmw_fastrtps_cpp") & F.lit(not quick), F.array(F.lit(True), F.lit(False))).otherwise(F.array(F.lit(True)))))
     b = table(sizes, "o2 int, width int, height int, fps int")
     c = table([(q,) for q in qos], "o3 int, qos string")

@@ -155,17 +155,27 @@ def stage2_score(spark, d):
 
 
 def config_cross_product(spark, d):
-    return sweep.sensor_configs(spark, ["rmw_fastrtps_cpp", "rmw_cyclonedds_cpp"])
+    """Every combination of sensor settings with the middlewares that the line items' flags name."""
+    flag = F.when(F.col("l_returnflag") == "A", "rmw_fastrtps_cpp").otherwise(F.concat(F.lit("rmw_"), F.lower("l_returnflag")))
+    names = table(spark, d, "lineitem").select(flag.alias("rmw")).distinct()
+    return sweep.sensor_configs(spark, names.select((F.row_number().over(Window.orderBy("rmw")) - 1).alias("o1"), "rmw"))
 
 
 CROSS_SQL = """SELECT row_number() OVER (ORDER BY o1, shm DESC, o2, o3, o4) - 1 AS seq, rmw, shm, width, height, fps, qos, compressed
- FROM (VALUES (0, 'rmw_fastrtps_cpp', true), (0, 'rmw_fastrtps_cpp', false), (1, 'rmw_cyclonedds_cpp', true)) a(o1, rmw, shm),
+ FROM (SELECT row_number() OVER (ORDER BY rmw) AS o1, rmw FROM (SELECT DISTINCT CASE l_returnflag WHEN 'A' THEN 'rmw_fastrtps_cpp' ELSE 'rmw_' || lower(l_returnflag) END AS rmw FROM lineitem)) a,
+ (VALUES (true), (false)) s(shm),
  (VALUES (0, 640, 480, 15), (1, 640, 480, 30), (2, 1280, 720, 15), (3, 1280, 720, 30)) b(o2, width, height, fps),
- (VALUES (0, 'SENSOR_DATA'), (1, 'DEFAULT')) c(o3, qos), (VALUES (0, false), (1, true)) e(o4, compressed)"""
+ (VALUES (0, 'SENSOR_DATA'), (1, 'DEFAULT')) c(o3, qos), (VALUES (0, false), (1, true)) e(o4, compressed) WHERE shm OR rmw = 'rmw_fastrtps_cpp'"""
+# axis, table, column, prefix of labels, parameter
+SWEEP_AXES = [("status", "orders", "o_orderstatus", "ST", "order/Status"), ("priority", "orders", "o_orderpriority", "PR", "order/Priority"), ("threads", "lineitem", "l_linenumber", "TH", "Vis/CornerNbThreads"), ("kind", "part", "p_type", "KIND", "part/Type")]
 
 
-def _sweep(spark):
-    return sweep.one_at_a_time(sweep.axes_table(spark, sweep.FULL))
+def _sweep(spark, d):
+    axes = [sweep.options(table(spark, d, t), c, axis, k, prefix, key) for k, (axis, t, c, prefix, key) in enumerate(SWEEP_AXES)]
+    out = axes[0]
+    for a in axes[1:]:
+        out = out.unionByName(a)
+    return sweep.one_at_a_time(out)
 
 
 def _sweep_out(df: DataFrame) -> DataFrame:
@@ -173,16 +183,16 @@ def _sweep_out(df: DataFrame) -> DataFrame:
 
 
 def oat_sweep(spark, d):
-    return _sweep_out(_sweep(spark))
+    """One axis at a time over the values that the tables' columns have."""
+    return _sweep_out(_sweep(spark, d))
 
 
 def sweep_valid(spark, d):
-    return _sweep_out(sweep.valid(_sweep(spark), nproc=4))
+    return _sweep_out(sweep.valid(_sweep(spark, d), nproc=4))
 
 
 def _axes_sql() -> str:
-    rows = [(a, o, label, k, v) for a, (_, options) in enumerate(sweep.FULL) for o, (label, p) in enumerate(options) for k, v in p.items()]
-    return "(VALUES " + ", ".join(f"({a}, {o}, '{label}', '{k}', '{v}')" for a, o, label, k, v in rows) + ") AS x(a, o, label, k, v)"
+    return "(" + " UNION ALL ".join(f"SELECT {a} AS a, row_number() OVER (ORDER BY v) - 1 AS o, '{p}=' || v AS label, '{key}' AS k, v FROM (SELECT DISTINCT {c}::VARCHAR AS v FROM {t} WHERE {c} IS NOT NULL)" for a, (_, t, c, p, key) in enumerate(SWEEP_AXES)) + ")"
 
 
 OAT_SQL = f"""WITH x AS (SELECT * FROM {_axes_sql()}), variants AS (SELECT DISTINCT a AS va, o AS vo FROM x WHERE o > 0 UNION ALL SELECT -1, 0),
@@ -190,17 +200,20 @@ OAT_SQL = f"""WITH x AS (SELECT * FROM {_axes_sql()}), variants AS (SELECT DISTI
  SELECT row_number() OVER (ORDER BY va, vo) - 1 AS seq, label, params, threads FROM (SELECT va, vo, (SELECT string_agg(l, ' | ' ORDER BY a) FROM (SELECT DISTINCT a, label AS l FROM chosen c2 WHERE c2.va = c.va AND c2.vo = c.vo)) AS label,
  string_agg(k || '=' || v, ';' ORDER BY k) AS params, max(CASE WHEN k = 'Vis/CornerNbThreads' THEN v::INT END) AS threads FROM chosen c GROUP BY va, vo)"""
 BASE = {"Vis/MinDepth": "0.3", "Vis/MaxDepth": "8.0", "Vis/Robust": "true", "approx_sync": "true"}
-OVER = {"Vis/MaxDepth": "6.0", "Vis/MinInliers": "12"}
 
 
 def params_to_cli(spark, d):
-    merged = sweep.with_base(spark.createDataFrame([(OVER,)], "params map<string,string>"), BASE)
-    return merged.select(params.to_cli(params.without(F.col("params"), ["approx_sync"])).alias("cli"))
+    """Each message's parameters over the base: half of the messages give a greatest depth of their own."""
+    own = F.create_map(F.lit("Vis/MinInliers"), (F.col("msg_id") % 13).cast("string"), F.lit("topic"), F.col("topic"))
+    over = F.when(F.col("msg_id") % 2 == 0, F.map_concat(own, F.create_map(F.lit("Vis/MaxDepth"), (F.col("user_id") % 10).cast("string")))).otherwise(own)
+    merged = sweep.with_base(events(spark, d).select("msg_id", over.alias("params")), BASE)
+    return merged.select("msg_id", params.to_cli(params.without(F.col("params"), ["approx_sync"])).alias("cli"))
 
 
 def cli_to_params(spark, d):
-    text = spark.createDataFrame([("--Vis/MinInliers 12 --Vis/Robust true --Odom/Strategy 0",)], "cli string")
-    return text.select(F.explode(params.from_cli(F.col("cli")))).select(F.col("key").alias("k"), F.col("value").alias("v"))
+    """A command line made of each message, taken apart again."""
+    text = F.concat(F.lit("--Vis/MinInliers "), (F.col("msg_id") % 13).cast("string"), F.lit(" --note seen by "), F.col("user_id").cast("string"), F.lit(" --topic "), F.col("topic"))
+    return events(spark, d).select("msg_id", F.explode(params.from_cli(text))).select("msg_id", F.col("key").alias("k"), F.col("value").alias("v"))
 
 
 def _urgent(spark, d):
@@ -217,7 +230,7 @@ def present_required(spark, d):
 
 def best_broadcast_runs(spark, d):
     best = ranking.best(_stage1(spark, d)).select(F.col("seq").alias("best_seq"), "resolution", "target_fps")
-    return _sweep(spark).join(F.broadcast(best)).select("seq", "label", "best_seq", "resolution", "target_fps")  # one row of best
+    return _sweep(spark, d).join(F.broadcast(best)).select("seq", "label", "best_seq", "resolution", "target_fps")  # one row of best
 
 
 def _log(spark, d):
@@ -636,10 +649,10 @@ def mesh_info(spark, d):
 
 
 def synthetic_loss(spark, d):
-    """Messages of a camera that loses a tenth: what was expected, what came, and the drop."""
-    made = synthetic.messages(spark, {"color": 30.0, "imu": 200.0}, 60.0, jitter_us=4000, loss=0.1, seed=3)
-    hz = made.groupBy("topic").agg(F.count("*").alias("n"), F.sum("stamp_us").alias("stamps"), (F.count("*") / 60.0).alias("hz"))
-    return hz.select("topic", "n", "stamps", r6(scores.drop_pct(F.col("hz"), F.when(F.col("topic") == "color", 30.0).otherwise(200.0))).alias("drop_pct"))
+    """The recording over a link that loses a tenth and delays up to four milliseconds: what was sent, what came, and the drop."""
+    sent = rates.counts(events(spark, d)).withColumnRenamed("n", "sent")
+    came = synthetic.lossy(events(spark, d), 0.1, 4000, seed=3).groupBy("topic").agg(F.count("*").alias("n"), F.sum(F.unix_micros("stamp") % 86_400_000_000).alias("stamps"))
+    return sent.join(came, "topic").select("topic", "sent", "n", "stamps", r6(scores.drop_pct(F.col("n").cast("double"), F.col("sent"))).alias("drop_pct"))
 
 
 def recorded_topics(spark, d):
@@ -671,16 +684,15 @@ def stream_topic_rate(spark, d):
 
 
 def frame_decode(spark, d):
-    import numpy as np
-
+    """Each document's bytes as a depth message, and its picture decoded again; documents without text make messages without a picture."""
     ready(spark)
-    rows = []
-    for i in range(5):
-        image = (np.arange(64, dtype=np.uint16).reshape(8, 8) * 997 + i * 1000).astype(np.uint16)
-        rows.append((i, bytearray((b"\xe2\x82\xac" if i % 2 else b"\0" * 12) + frames.encode_png(image, [i]))))
-    rows.append((5, bytearray(b"no picture at all")))
-    data = spark.createDataFrame(rows, "msg_id bigint, data binary").withColumn("f", frames.decode_depth("data"))
-    return data.select("msg_id", "f.width", "f.height", "f.encoding", F.crc32("f.data").alias("pixels_crc32"), F.col("f.error").isNotNull().alias("failed"))
+    data = table(spark, d, "documents").select("doc_id", frames.encode_depth(F.col("text").cast("binary")).alias("data")).withColumn("f", frames.decode_depth("data"))
+    return data.select("doc_id", "f.width", "f.height", "f.encoding", frames.pixel_sum("f.data").alias("pixels"), F.col("f.error").isNotNull().alias("failed"))
+
+
+FRAMES_SQL = """WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents), p AS (SELECT doc_id, len(h) // 2 AS n, h || CASE WHEN len(h) % 4 = 0 THEN '' ELSE '00' END AS h FROM d)
+ SELECT doc_id, CASE WHEN n > 0 THEN 512 END::INT AS width, CASE WHEN n > 0 THEN (n + 1023) // 1024 END::INT AS height, CASE WHEN n > 0 THEN '16UC1' END AS encoding,
+ CASE WHEN n > 0 THEN list_sum(list_transform(regexp_extract_all(h, '[0-9A-F]{4}'), lambda x: ('0x' || x)::BIGINT))::BIGINT END AS pixels, n = 0 AS failed FROM p"""
 
 
 QUERIES = {
@@ -712,8 +724,8 @@ ORACLES = {
     "config_cross_product": CROSS_SQL,
     "oat_sweep": f"SELECT seq, label, params FROM ({OAT_SQL})",
     "sweep_valid": f"SELECT seq, label, params FROM ({OAT_SQL}) WHERE coalesce(threads, 4) <= 4",
-    "params_to_cli": "SELECT string_agg('--' || k || ' ' || v, ' ' ORDER BY k) AS cli FROM (VALUES ('Vis/MinDepth', '0.3'), ('Vis/MaxDepth', '6.0'), ('Vis/Robust', 'true'), ('Vis/MinInliers', '12')) t(k, v)",
-    "cli_to_params": "SELECT split_part(p, ' ', 1) AS k, split_part(p, ' ', 2) AS v FROM (SELECT unnest(string_split('Vis/MinInliers 12 --Vis/Robust true --Odom/Strategy 0', ' --')) AS p)",
+    "params_to_cli": "SELECT event_id AS msg_id, '--Vis/MaxDepth ' || CASE WHEN event_id % 2 = 0 THEN (user_id % 10)::VARCHAR ELSE '8.0' END || ' --Vis/MinDepth 0.3 --Vis/MinInliers ' || event_id % 13 || ' --Vis/Robust true --topic ' || event_type AS cli FROM events",
+    "cli_to_params": "SELECT event_id AS msg_id, unnest(['Vis/MinInliers', 'note', 'topic']) AS k, unnest([(event_id % 13)::VARCHAR, 'seen by ' || user_id, event_type]) AS v FROM events",
     "missing_required": "SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT' AND o_custkey IS NOT NULL)",
     "present_required": "SELECT c_custkey FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT')",
     "best_broadcast_runs": f"SELECT s.seq, s.label, b.seq AS best_seq, b.resolution, b.target_fps FROM ({OAT_SQL}) s, (SELECT * FROM ({STAGE1_SQL}) ORDER BY score DESC, seq LIMIT 1) b",
@@ -758,9 +770,8 @@ ORACLES = {
     "scaled_cloud": "SELECT pid, " + ", ".join(f"floor({a} * 0.001::DOUBLE * 1000000000.0 + 0.5) / 1000000000.0 AS {a}" for a in "xyz") + f" FROM {POINTS}",
     "occupancy_points": f"WITH r AS (SELECT * FROM {POINTS} WHERE sqrt(x * x + y * y + z * z) BETWEEN 0.05::DOUBLE AND 0.45::DOUBLE), k AS (SELECT a.pid FROM r a JOIN r b ON a.pid <> b.pid AND (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) + (a.z - b.z) * (a.z - b.z) <= 0.1::DOUBLE * 0.1::DOUBLE GROUP BY a.pid HAVING count(*) >= 2) SELECT floor(x / 0.05::DOUBLE)::BIGINT AS cx, floor(y / 0.05::DOUBLE)::BIGINT AS cy, floor(z / 0.05::DOUBLE)::BIGINT AS cz, count(*) AS n FROM r WHERE pid IN (FROM k) GROUP BY ALL",
     "mesh_info": f"SELECT count(*) AS n_vertices, bool_or(label = 1) AS has_normals, false AS has_colors, count(*) FILTER (pid % 3 = 0) AS n_triangles FROM {POINTS}",
-    "synthetic_loss": """WITH t AS (SELECT topic, hz, n, (((n % 1000003) * 611953 + (3 * 7919 + late * 104729) % 1000003) % 1000003) / 1000003.0::DOUBLE AS late, (((n % 1000003) * 611953 + (3 * 7919 + loss * 104729) % 1000003) % 1000003) / 1000003.0::DOUBLE AS loss
- FROM (SELECT topic, hz, unnest(range((60 * hz)::BIGINT)) AS n, (SELECT sum(ascii(c)) FROM (SELECT unnest(string_split('late ' || topic, '')) AS c)) AS late, (SELECT sum(ascii(c)) FROM (SELECT unnest(string_split('loss ' || topic, '')) AS c)) AS loss FROM (VALUES ('color', 30.0::DOUBLE), ('imu', 200.0::DOUBLE)) v(topic, hz)))
- SELECT topic, count(*) AS n, sum(floor(n * (1000000.0::DOUBLE / hz))::BIGINT + floor(late * 4001)::BIGINT)::BIGINT AS stamps, floor(greatest(0.0, (hz - count(*) / 60.0::DOUBLE) / hz * 100.0) * 1000000.0 + 0.5) / 1000000.0 AS drop_pct FROM t WHERE loss >= 0.1 GROUP BY topic, hz""",
+    "synthetic_loss": f"""WITH c AS (SELECT event_type AS topic, epoch_us(ts) AS t, ('0x' || substr(md5('3:loss ' || event_type || ':' || event_id), 1, 8))::BIGINT / 4294967296.0::DOUBLE AS loss, ('0x' || substr(md5('3:late ' || event_type || ':' || event_id), 1, 8))::BIGINT / 4294967296.0::DOUBLE AS late FROM events)
+ SELECT topic, count(*) AS sent, count(*) FILTER (loss >= 0.1) AS n, (sum((t + floor(late * 4001)::BIGINT) % 86400000000) FILTER (loss >= 0.1))::BIGINT AS stamps, {sql6("(count(*) - count(*) FILTER (loss >= 0.1)) / count(*)::DOUBLE * 100.0")} AS drop_pct FROM c GROUP BY 1""",
     "recorded_topics": "SELECT event_type AS topic, count(*) AS n, sum(event_id)::BIGINT AS ids FROM events GROUP BY 1",
     "keyframes": """WITH RECURSIVE p AS (SELECT user_id AS device, epoch_us(ts) AS stamp, event_id AS id, value / 100 AS distance, event_id % 7 / 100 AS angle, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS k FROM events),
  r AS (SELECT device, k, stamp, id, distance, angle, distance AS d, angle AS a, true AS hit FROM p WHERE k = 1
@@ -769,6 +780,6 @@ ORACLES = {
  SELECT device, stamp, id, distance, angle FROM r WHERE hit""",
     "report_rows": REPORT_SQL,
 }
-ORACLES |= {"oriented_normals": ORIENTED_SQL, "occupancy_grid": GRID_SQL}
+ORACLES |= {"frame_decode": FRAMES_SQL, "oriented_normals": ORIENTED_SQL, "occupancy_grid": GRID_SQL}
 ORACLES |= {"synced_sets": SETS_SQL, "stream_sets": SETS_SQL, "topic_absences": ABSENCES_SQL, "stream_absences": ABSENCES_SQL, "queue_drops": QUEUE_SQL, "stream_queue_drops": QUEUE_SQL}
 ORACLES["inspector_report_rows"] = f"SELECT topic, {_cells('topic', _fixed('fps'), 'status')} AS line FROM ({ORACLES['inspector_status']})"

@@ -5,12 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-PRIME = 1_000_003
 
+def chance(seed: int, what: Column | str, n: Column) -> Column:
+    """0 to 1, from a hash of seed, name and number alone: it doesn't depend on partitions, and numbers that follow each other have nothing in common."""
+    name = F.lit(what) if isinstance(what, str) else what
+    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), name, n.cast("string")).cast("binary"))
+    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") / F.lit(float(1 << 32))
 
-def chance(seed: int, what: str, n: Column) -> Column:
-    """0 to 1, from the number alone: it doesn't depend on partitions."""
-    return F.pmod(F.pmod(n, F.lit(PRIME)) * 611_953 + F.lit((seed * 7919 + sum(what.encode()) * 104_729) % PRIME), F.lit(PRIME)) / F.lit(float(PRIME))
+
+def lossy(messages: DataFrame, loss: float, jitter_us: int = 0, seed: int = 0, topic: str = "topic", stamp: str = "stamp", order: str = "msg_id") -> DataFrame:
+    """A recording as a best-effort link delivers it: a share `loss` of each topic's messages is missing, and the others are up to `jitter_us` late."""
+    late = F.floor(chance(seed, F.concat(F.lit("late "), F.col(topic)), F.col(order)) * (jitter_us + 1)).cast("bigint")
+    return messages.where(chance(seed, F.concat(F.lit("loss "), F.col(topic)), F.col(order)) >= loss).withColumn(stamp, F.timestamp_micros(F.unix_micros(stamp) + late))
 
 
 def messages(spark: SparkSession, topics: dict[str, float], seconds: float, start_us: int = 0, jitter_us: int = 0, loss: float = 0.0, seed: int = 0) -> DataFrame:
