@@ -7,6 +7,8 @@ with doubled cells.  Ties are broken by the smaller pid.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -61,15 +63,19 @@ def radius_neighbours(queries: DataFrame, points: DataFrame, radius: float, most
     return pairs.withColumn("rank", F.row_number().over(Window.partitionBy("q").orderBy("d2", "n")).cast("bigint"))
 
 
-def _edge_for(points: DataFrame, k: int, edge: float) -> float:
-    """The edge halved until the cell of the average place has at most 4 k places: each round is one aggregation to a row.  Points in one place count once, as no cell parts them."""
+def _edge_for(points: DataFrame, k: int, edge: float, widest: float = math.inf) -> float:
+    """An edge at which the cell of the average place has about k places, or `widest`: each round is one aggregation to a row, and moves the edge by the cube root of what is wrong.
+
+    So a query meets about as many places however many there are in all.  Points in one place count once, as no cell parts them.
+    """
     places = points.select(*AXES).distinct()
-    for _ in range(48):
+    for _ in range(12):
         per_cell = places.groupBy(*[cell(F.col(a), edge).alias(f"c{a}") for a in AXES]).agg(F.count("*").alias("n"))
-        if (per_cell.agg((F.sum(F.col("n").cast("double") * F.col("n")) / F.sum("n")).alias("m")).first()["m"] or 0.0) <= 4 * k:
+        m = per_cell.agg((F.sum(F.col("n").cast("double") * F.col("n")) / F.sum("n")).alias("m")).first()["m"] or 0.0
+        if not m or 0.75 * k <= m <= 1.33 * k or m < k and edge >= widest:
             break
-        edge /= 2
-    return edge
+        edge *= min(8.0, max(0.125, (k / m) ** (1 / 3)))
+    return min(edge, widest) if widest > 0 else edge
 
 
 def knn(queries: DataFrame, points: DataFrame, k: int, edge: float, rounds: int = 64, within: float | None = None) -> DataFrame:
@@ -88,7 +94,7 @@ def knn(queries: DataFrame, points: DataFrame, k: int, edge: float, rounds: int
 def _nearest(queries: DataFrame, points: DataFrame, k: int, edge: float, rounds: int, within: float | None) -> DataFrame:
     """knn() of queries in places of their own.
 
-    The first cells are small enough for the average point's neighbourhood to hold some k points, whatever `edge` says, so dense regions are resolved among few
+    The first cells hold some k points at the average point, whatever `edge` says, so regions of any density are resolved among few
     pairs; the queries that are left are repeated with doubled cells (four times as wide where a round resolves few).  Each round's result is
     written to the shared folder, and its unresolved queries are counted; a cell as wide as both clouds, or as `within`, ends it.
     """
@@ -96,7 +102,7 @@ def _nearest(queries: DataFrame, points: DataFrame, k: int, edge: float, rounds:
     if box is None or box[0] is None:
         return _near(queries, points, edge).withColumn("rank", F.lit(0).cast("bigint"))
     enough = max(box) if within is None else min(max(box), within)
-    edge, parts, left, n_left = _edge_for(points, k, edge), [], queries, queries.count()
+    edge, parts, left, n_left = _edge_for(points, k, edge, enough), [], queries, queries.count()
     nearest, of_query = Window.partitionBy("q").orderBy("d2", "n"), Window.partitionBy("q")
     for _ in range(rounds):
         last = edge > enough or within is not None and edge >= enough
