@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from fieldspark import schemas
 from fieldspark.functions import frames, params, scores, text
-from fieldspark.operators import gates, health, keyframes, mesh, occupancy, orientation, ranking, rates, spatial, sweep, sync
+from fieldspark.operators import attitude, gates, health, hull, keyframes, mesh, occupancy, orientation, ranking, rates, spatial, sweep, sync
 from fieldspark.plans import report
 from fieldspark.session import ready, scratch
 from fieldspark.sources import synthetic, tables
@@ -334,7 +334,7 @@ def _ended(spark, d, end: str, kind: str) -> DataFrame:
     seen.limit(1).withColumn("ts", F.lit(end).cast(seen.schema["ts"].dataType)).withColumn("event_type", F.lit(kind)).write.parquet(at)
     stream = streaming.messages(spark, d, seen.schema, "ts", "events.parquet")
     last = spark.readStream.schema(seen.schema).parquet(at).withColumn("ts", F.col("ts").cast("timestamp"))
-    return stream.unionByName(last).select(F.col("event_id").alias("msg_id"), F.col("event_type").alias("topic"), F.col("ts").alias("stamp"))
+    return stream.unionByName(last).select(F.col("event_id").alias("msg_id"), F.col("event_type").alias("topic"), F.col("ts").alias("stamp"), "user_id", "value")
 
 
 def _ran(spark, stream: DataFrame, name: str) -> DataFrame:
@@ -695,6 +695,63 @@ FRAMES_SQL = """WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h F
  CASE WHEN n > 0 THEN list_sum(list_transform(regexp_extract_all(h, '[0-9A-F]{4}'), lambda x: ('0x' || x)::BIGINT))::BIGINT END AS pixels, n = 0 AS failed FROM p"""
 
 
+# messages as inertial samples, some twentieth of a second to seconds apart; every 23rd lacks its acceleration
+IMU = {"gx": "value / 50 - 1", "gy": "event_id % 21 / 10 - 1", "gz": "event_id % 13 / 13", "ax": "event_id % 17 / 17 - 0.5", "ay": "event_id % 19 / 19 - 0.5", "az": "CASE WHEN event_id % 23 > 0 THEN 1 + value / 100 END"}
+IMU_RESTART = 1_500_000
+
+
+def _inertial(messages: DataFrame) -> DataFrame:
+    return messages.select(F.col("user_id").alias("device"), F.timestamp_micros(F.expr("unix_micros(stamp) div 100000")).alias("stamp"), F.col("msg_id").alias("id"), *[F.expr(x.replace("event_id", "msg_id").replace("0.5", "0.5D")).alias(c) for c, x in IMU.items()])
+
+
+def _quaternions(turns: DataFrame) -> DataFrame:
+    return turns.select("device", F.unix_micros("stamp").alias("stamp_us"), "id", *[r6(F.col(c)).alias(c) for c in attitude.QUATERNION])
+
+
+def imu_orientation(spark, d):
+    """Each device's orientation after each of its samples; a silence of more than 1.5 seconds starts anew."""
+    ready(spark)
+    return _quaternions(attitude.orientation(_inertial(events(spark, d)), 0.1, IMU_RESTART))
+
+
+def stream_imu_orientation(spark, d):
+    """The same by a stream that holds each device's orientation."""
+    from fieldspark.streaming import stateful
+
+    ready(spark)
+    turns = stateful.orientation(_inertial(_ended(spark, d, "2030-01-01 00:00:00", "end")), 0.1, "0 seconds", IMU_RESTART)
+    return _quaternions(_ran(spark, turns, "orientation"))
+
+
+_LEVEL = "CASE WHEN al IS NULL THEN [1, 0, 0, 0]::DOUBLE[] WHEN sqrt(2 * (1 + az / al)) > 0.000001 THEN [sqrt(2 * (1 + az / al)) / 2, ay / al / sqrt(2 * (1 + az / al)), -(ax / al) / sqrt(2 * (1 + az / al)), 0] ELSE [0, 1, 0, 0]::DOUBLE[] END"
+_SCALED = "CASE WHEN vl > 0 THEN [{0}[1] / vl, {0}[2] / vl, {0}[3] / vl, {0}[4] / vl] ELSE {1} END"
+_LENGTH = "sqrt({0}[1] * {0}[1] + {0}[2] * {0}[2] + {0}[3] * {0}[3] + {0}[4] * {0}[4])"
+IMU_SQL = f"""WITH RECURSIVE i AS (SELECT user_id AS device, epoch_us(ts) // 100000 AS t, event_id AS id, {", ".join(f"({x.replace('0.5', '0.5::DOUBLE')})::DOUBLE AS {c}" for c, x in IMU.items())} FROM events),
+ b AS (SELECT *, t - lag(t) OVER (PARTITION BY device ORDER BY t, id) AS gap FROM i),
+ s AS (SELECT *, sum(CASE WHEN gap <= {IMU_RESTART} THEN 0 ELSE 1 END) OVER (PARTITION BY device ORDER BY t, id) AS seg FROM b),
+ p AS (SELECT device, seg, t, id, gap / 1000000.0::DOUBLE AS dt, gx, gy, gz, ax, ay, az, sqrt(ax * ax + ay * ay + az * az) AS al, row_number() OVER (PARTITION BY device, seg ORDER BY t, id) AS k FROM s),
+ r AS (SELECT device, seg, k, t, id, {_LEVEL} AS q FROM p WHERE k = 1 UNION ALL SELECT device, seg, k, t, id, {_SCALED.format("v", "q")} FROM (SELECT *, {_LENGTH.format("v")} AS vl FROM (SELECT *,
+  [q[1] + (0.5 * (-q[2] * gx - q[3] * gy - q[4] * gz) - n[1]) * dt, q[2] + (0.5 * (q[1] * gx + q[3] * gz - q[4] * gy) - n[2]) * dt, q[3] + (0.5 * (q[1] * gy - q[2] * gz + q[4] * gx) - n[3]) * dt, q[4] + (0.5 * (q[1] * gz + q[2] * gy - q[3] * gx) - n[4]) * dt] AS v
+  FROM (SELECT *, CASE WHEN l > 0 THEN [0.1 * (g[1] / l), 0.1 * (g[2] / l), 0.1 * (g[3] / l), 0.1 * (g[4] / l)] ELSE [0, 0, 0, 0]::DOUBLE[] END AS n FROM (SELECT *, {_LENGTH.format("g")} AS l FROM (SELECT *,
+  [2 * q[2] * f - 2 * q[3] * e, 2 * q[4] * e + 2 * q[1] * f - 4 * q[2] * h, 2 * q[4] * f - 2 * q[1] * e - 4 * q[3] * h, 2 * q[2] * e + 2 * q[3] * f] AS g
+  FROM (SELECT p.*, r.q, 2 * (q[2] * q[4] - q[1] * q[3]) - ax / al AS e, 2 * (q[1] * q[2] + q[3] * q[4]) - ay / al AS f, 1 - 2 * (q[2] * q[2] + q[3] * q[3]) - az / al AS h FROM r JOIN p ON p.device = r.device AND p.seg = r.seg AND p.k = r.k + 1)))))))
+ SELECT device, t AS stamp_us, id, {sql6("q[1]")} AS qw, {sql6("q[2]")} AS qx, {sql6("q[3]")} AS qy, {sql6("q[4]")} AS qz FROM r"""
+
+
+def cloud_hull(spark, d):
+    """The edges of the cloud's convex hull."""
+    ready(spark)
+    return hull.edges(hull.convex_hull(points(spark, d), 4096))
+
+
+# two points are joined by an edge if all others, seen along it, lie within half a turn
+HULL_SQL = f"""WITH p AS (SELECT pid, x, y, z FROM {POINTS}), e AS (SELECT a.pid AS u, b.pid AS v, a.x, a.y, a.z, b.x - a.x AS dx, b.y - a.y AS dy, b.z - a.z AS dz, (SELECT min(pid) FROM p WHERE pid NOT IN (a.pid, b.pid)) AS other FROM p a JOIN p b ON a.pid < b.pid),
+ f AS (SELECT u, v, e.x, e.y, e.z, dx / l AS dx, dy / l AS dy, dz / l AS dz, o.x - e.x AS rx, o.y - e.y AS ry, o.z - e.z AS rz FROM (SELECT *, sqrt(dx * dx + dy * dy + dz * dz) AS l FROM e) e JOIN p o ON o.pid = other),
+ w AS (SELECT u, v, atan2(dx * (ry * pz - rz * py) + dy * (rz * px - rx * pz) + dz * (rx * py - ry * px), rx * px + ry * py + rz * pz - (rx * dx + ry * dy + rz * dz) * (px * dx + py * dy + pz * dz)) AS turn
+  FROM (SELECT f.*, p.x - f.x AS px, p.y - f.y AS py, p.z - f.z AS pz FROM f JOIN p ON p.pid <> u AND p.pid <> v))
+ SELECT u, v FROM w GROUP BY u, v HAVING greatest(max(turn), 0) - least(min(turn), 0) < pi()"""
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -703,7 +760,7 @@ QUERIES = {
         approx_sync, asof_sync, throttle_first, tumbling_rate, cloud_bbox, voxel_downsample, knn_mean_distance, outlier_filter, radius_neighbours, quantile_trim, crop_bbox, nn_label_transfer, triangle_cleanup, normals,
         mesh_vertex_normals, json_round_trip, report_rows, stream_topic_rate, frame_decode, gate_sequence, stage_document, slam_report_rows, diagnostic_report_rows, inspector_report_rows, status_line_rows,
         zero_runs, usb_kinds, path_parts, stamps, parameter_flags, run_progress, replay_schedule, first_message_wait, message_gaps, rate_and_cpu, scaled_cloud, occupancy_points, mesh_info, synthetic_loss, recorded_topics,
-        oriented_normals, occupancy_grid, synced_sets, stream_sets, topic_absences, stream_absences, queue_drops, stream_queue_drops,
+        oriented_normals, occupancy_grid, synced_sets, stream_sets, topic_absences, stream_absences, queue_drops, stream_queue_drops, imu_orientation, stream_imu_orientation, cloud_hull,
     )
 } | {"keyframes": keyframe_rows}
 
@@ -782,4 +839,5 @@ ORACLES = {
 }
 ORACLES |= {"frame_decode": FRAMES_SQL, "oriented_normals": ORIENTED_SQL, "occupancy_grid": GRID_SQL}
 ORACLES |= {"synced_sets": SETS_SQL, "stream_sets": SETS_SQL, "topic_absences": ABSENCES_SQL, "stream_absences": ABSENCES_SQL, "queue_drops": QUEUE_SQL, "stream_queue_drops": QUEUE_SQL}
+ORACLES |= {"imu_orientation": IMU_SQL, "stream_imu_orientation": IMU_SQL, "cloud_hull": HULL_SQL}
 ORACLES["inspector_report_rows"] = f"SELECT topic, {_cells('topic', _fixed('fps'), 'status')} AS line FROM ({ORACLES['inspector_status']})"

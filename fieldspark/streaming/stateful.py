@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import StructType
 
+from fieldspark.operators import attitude
 from fieldspark.operators.sync import Chain
 
 
@@ -184,3 +185,38 @@ def in_order(stream: DataFrame, lateness: str, by: list[str], stamp: str = "stam
 
     got = _grouped(held_in, by, step, out, "place bigint, ts array<bigint>, ids array<bigint>, texts array<string>")
     return got.select("place", F.from_json("row", stream.schema, {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}).alias("r")).select("place", "r.*")
+
+
+def orientation(stream: DataFrame, gain: float, lateness: str, restart_us: int | None = None, device: str = "device", stamp: str = "stamp", order: str = "id") -> DataFrame:
+    """attitude.orientation() of a stream: device, stamp, id and the quaternion, each row once the watermark has passed it.
+
+    The state holds a device's last orientation and the samples that wait; samples without a stamp are dropped.
+    """
+    names = [stamp, "t", "id", *attitude.SAMPLE]
+    rows_in = stream.where(F.col(stamp).isNotNull()).withWatermark(stamp, lateness)
+    rows_in = rows_in.select(device, stamp, F.unix_micros(stamp).alias("t"), F.col(order).cast("bigint").alias("id"), *[F.col(c).cast("double").alias(c) for c in attitude.SAMPLE])
+    out = StructType([rows_in.schema[device], *StructType.fromDDL(", ".join(["t bigint", "id bigint", *[f"{c} double" for c in attitude.QUATERNION]])).fields])
+
+    def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        new, now = _arrived(batches, state, names[1:])
+        last, q, held = None, None, []
+        if state.exists:
+            last, q, ts, ids, samples = state.get
+            held = [(t, i, *s) for t, i, s in zip(ts, ids, samples)]
+        unknown = float("nan")  # also for null: either corrects nothing
+        held = sorted(held + [(int(m[0]), int(m[1]), *[unknown if x is None else float(x) for x in m[2:]]) for m in new], key=lambda m: m[:2])
+        rows = []
+        while held and held[0][0] < now:
+            t, i, *sample = held.pop(0)
+            if last is None or (restart_us and t - last > restart_us):
+                last, q = t, None
+            q = attitude.step(q and tuple(q), (t - last) / 1e6, tuple(sample), gain)
+            last = t
+            rows.append((*key, t, i, *q))
+        state.update((last, list(q or ()), [m[0] for m in held], [m[1] for m in held], [list(m[2:]) for m in held]))
+        if held:
+            _wake(state, held[0][0])
+        yield pd.DataFrame(rows, columns=out.names)
+
+    got = _grouped(rows_in, [device], step, out, "last bigint, q array<double>, ts array<bigint>, ids array<bigint>, samples array<array<double>>")
+    return got.select(device, F.timestamp_micros("t").alias(stamp), F.col("id").alias(order), *attitude.QUATERNION)
