@@ -14,7 +14,7 @@ from fieldspark.functions import frames, params, scores, text
 from fieldspark.operators import attitude, gates, health, hull, keyframes, mesh, occupancy, orientation, ranking, rates, spatial, sweep, sync
 from fieldspark.plans import report
 from fieldspark.session import ready, scratch
-from fieldspark.sources import synthetic, tables
+from fieldspark.sources import database, synthetic, tables
 from fieldspark.sources.tables import table
 
 MONTH_S = 30 * 86400.0
@@ -752,6 +752,15 @@ HULL_SQL = f"""WITH p AS (SELECT pid, x, y, z FROM {POINTS}), e AS (SELECT a.pid
  SELECT u, v FROM w GROUP BY u, v HAVING greatest(max(turn), 0) - least(min(turn), 0) < pi()"""
 
 
+def database_rows(spark, d):
+    """The orders written as SQLite databases and read back by ranges of row ids."""
+    ready(spark)
+    spark.dataSource.register(database.SqliteSource)
+    rows = table(spark, d, "orders").select("o_orderkey", "o_orderpriority", "o_totalprice")
+    paths = database.write_sqlite(rows, scratch(spark, "databases"), "orders")
+    return spark.read.format("sqlite").option("table", "orders").load(",".join(paths)).drop("file")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -760,7 +769,7 @@ QUERIES = {
         approx_sync, asof_sync, throttle_first, tumbling_rate, cloud_bbox, voxel_downsample, knn_mean_distance, outlier_filter, radius_neighbours, quantile_trim, crop_bbox, nn_label_transfer, triangle_cleanup, normals,
         mesh_vertex_normals, json_round_trip, report_rows, stream_topic_rate, frame_decode, gate_sequence, stage_document, slam_report_rows, diagnostic_report_rows, inspector_report_rows, status_line_rows,
         zero_runs, usb_kinds, path_parts, stamps, parameter_flags, run_progress, replay_schedule, first_message_wait, message_gaps, rate_and_cpu, scaled_cloud, occupancy_points, mesh_info, synthetic_loss, recorded_topics,
-        oriented_normals, occupancy_grid, synced_sets, stream_sets, topic_absences, stream_absences, queue_drops, stream_queue_drops, imu_orientation, stream_imu_orientation, cloud_hull,
+        oriented_normals, occupancy_grid, synced_sets, stream_sets, topic_absences, stream_absences, queue_drops, stream_queue_drops, imu_orientation, stream_imu_orientation, cloud_hull, database_rows,
     )
 } | {"keyframes": keyframe_rows}
 
@@ -839,5 +848,5 @@ ORACLES = {
 }
 ORACLES |= {"frame_decode": FRAMES_SQL, "oriented_normals": ORIENTED_SQL, "occupancy_grid": GRID_SQL}
 ORACLES |= {"synced_sets": SETS_SQL, "stream_sets": SETS_SQL, "topic_absences": ABSENCES_SQL, "stream_absences": ABSENCES_SQL, "queue_drops": QUEUE_SQL, "stream_queue_drops": QUEUE_SQL}
-ORACLES |= {"imu_orientation": IMU_SQL, "stream_imu_orientation": IMU_SQL, "cloud_hull": HULL_SQL}
+ORACLES |= {"imu_orientation": IMU_SQL, "stream_imu_orientation": IMU_SQL, "cloud_hull": HULL_SQL, "database_rows": "SELECT o_orderkey, o_orderpriority, o_totalprice FROM orders"}
 ORACLES["inspector_report_rows"] = f"SELECT topic, {_cells('topic', _fixed('fps'), 'status')} AS line FROM ({ORACLES['inspector_status']})"

@@ -49,6 +49,13 @@ def scratch(spark: SparkSession, name: str) -> str:
     return path
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its file system, as libraries beside Spark read it."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    full = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(at).toString()
+    return "file://" + full[5:] if full.startswith("file:/") and not full.startswith("file://") else full
+
+
 def kept(df: DataFrame, name: str) -> DataFrame:
     """The table written to the shared folder and read back: its lineage ends there."""
     spark, schema = df.sparkSession, df.schema
