@@ -526,6 +526,12 @@ def slam_report_rows(spark, d):
     return report.lines(s, {"rank": "%s", "label": "%s", "odom_hz": "%.2f", "slam_ok": "%s", "camera_ok": "%s", "score": "%.1f"}, "rank")
 
 
+def sensor_report_rows(spark, d):
+    """The runs as the sensor stage reports them: every other one sent compressed frames."""
+    runs = _stage1(spark, d).withColumns({"shm_status": F.col("shm"), "format": F.when(F.col("seq") % 2 == 0, "compressed").otherwise("raw"), "measured_fps": F.col("color_hz")})
+    return report.lines(ranking.ranked(runs), report.SENSOR, "rank")
+
+
 def diagnostic_report_rows(spark, d):
     return report.lines(_health(spark, d), report.DIAGNOSTIC, "topic")
 
@@ -769,7 +775,7 @@ QUERIES = {
         approx_sync, asof_sync, throttle_first, tumbling_rate, cloud_bbox, voxel_downsample, knn_mean_distance, outlier_filter, radius_neighbours, quantile_trim, crop_bbox, nn_label_transfer, triangle_cleanup, normals,
         mesh_vertex_normals, json_round_trip, report_rows, stream_topic_rate, frame_decode, gate_sequence, stage_document, slam_report_rows, diagnostic_report_rows, inspector_report_rows, status_line_rows,
         zero_runs, usb_kinds, path_parts, stamps, parameter_flags, run_progress, replay_schedule, first_message_wait, message_gaps, rate_and_cpu, scaled_cloud, occupancy_points, mesh_info, synthetic_loss, recorded_topics,
-        oriented_normals, occupancy_grid, synced_sets, stream_sets, topic_absences, stream_absences, queue_drops, stream_queue_drops, imu_orientation, stream_imu_orientation, cloud_hull, database_rows,
+        oriented_normals, occupancy_grid, synced_sets, stream_sets, topic_absences, stream_absences, queue_drops, stream_queue_drops, imu_orientation, stream_imu_orientation, cloud_hull, database_rows, sensor_report_rows,
     )
 } | {"keyframes": keyframe_rows}
 
@@ -848,5 +854,6 @@ ORACLES = {
 }
 ORACLES |= {"frame_decode": FRAMES_SQL, "oriented_normals": ORIENTED_SQL, "occupancy_grid": GRID_SQL}
 ORACLES |= {"synced_sets": SETS_SQL, "stream_sets": SETS_SQL, "topic_absences": ABSENCES_SQL, "stream_absences": ABSENCES_SQL, "queue_drops": QUEUE_SQL, "stream_queue_drops": QUEUE_SQL}
+ORACLES["sensor_report_rows"] = f"SELECT rank, {_cells('rank::VARCHAR', 'rmw', 'shm', 'resolution', 'target_fps::VARCHAR', 'qos', 'format', _fixed('color_hz'), _fixed('drop_pct'), _fixed('cpu_pct'), _fixed('score'))} AS line FROM (SELECT *, CASE WHEN seq % 2 = 0 THEN 'compressed' ELSE 'raw' END AS format, row_number() OVER (ORDER BY score DESC, seq) AS rank FROM ({STAGE1_SQL}))"
 ORACLES |= {"imu_orientation": IMU_SQL, "stream_imu_orientation": IMU_SQL, "cloud_hull": HULL_SQL, "database_rows": "SELECT o_orderkey, o_orderpriority, o_totalprice FROM orders"}
 ORACLES["inspector_report_rows"] = f"SELECT topic, {_cells('topic', _fixed('fps'), 'status')} AS line FROM ({ORACLES['inspector_status']})"

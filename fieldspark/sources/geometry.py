@@ -6,7 +6,7 @@ import struct
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
@@ -137,17 +137,31 @@ def ply_bytes(points: list[tuple], colors: list[tuple] | None = None, ascii_: bo
 
 
 def read_obj(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """Vertices and triangles of an OBJ file; faces of more corners are fanned, and texture and normal indexes are dropped."""
-    lines = spark.read.text(path, wholetext=True).select(F.posexplode(F.split("value", "\n")).alias("no", "line")).withColumn("w", F.split(F.trim("line"), r"\s+"))
-    order = F.row_number
-    from pyspark.sql import Window
-
-    v = lines.where(F.col("w")[0] == "v").select((order().over(Window.orderBy("no")) - 1).cast("bigint").alias("vid"), *[F.col("w")[k + 1].cast("double").alias(a) for k, a in enumerate("xyz")])
-    corner = lambda x: F.split(x, "/")[0].cast("bigint") - 1
-    f = lines.where(F.col("w")[0] == "f").select("no", F.transform(F.slice("w", 2, F.size("w")), corner).alias("c"))
-    fan = f.select("no", "c", F.explode(F.sequence(F.lit(1), F.size("c") - 2)).alias("k"))
-    t = fan.select((order().over(Window.orderBy("no", "k")) - 1).cast("bigint").alias("tid"), F.col("c")[0].alias("v0"), F.get("c", F.col("k")).alias("v1"), F.get("c", F.col("k") + 1).alias("v2"))
-    return v, t
+    """Vertices and triangles of an OBJ file, or of a folder of its parts in order of their names; ids count from 0 in the file's order.
+
+    Faces of more corners are fanned, texture and normal indexes are dropped, negative indexes count back from the vertices so far, and faces of fewer than three corners are none.
+    A large file is read in splits: a split's lines are numbered by a task, and how many vertices and triangles the splits before hold is a row for each split.
+    A coordinate that is no number is null, and so is one that isn't there; other lines, empty ones included, are skipped.
+    """
+    words = F.split(F.trim("value", F.lit(" \t")), r"\s+")
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"), words.alias("w"))
+    is_v, n_t = (F.col("w")[0] == "v").cast("bigint"), F.when(F.col("w")[0] == "f", F.greatest(F.size("w") - 3, F.lit(0))).otherwise(0).cast("bigint")
+    lines = lines.where(F.col("w")[0].isin("v", "f")).withColumns({"v": is_v, "t": n_t})
+    before = Window.orderBy("file", "block").rowsBetween(Window.unboundedPreceding, -1)
+    splits = lines.groupBy("file", "block").agg(F.sum("v").alias("v"), F.sum("t").alias("t"))
+    splits = splits.select("file", "block", F.coalesce(F.sum("v").over(before), F.lit(0)).alias("v0"), F.coalesce(F.sum("t").over(before), F.lit(0)).alias("t0"))
+    here = Window.partitionBy("file", "block").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
+    lines = lines.withColumns({"seen": F.sum("v").over(here), "made": F.sum("t").over(here)}).join(splits, ["file", "block"])
+    lines = lines.withColumns({"seen": F.col("seen") + F.col("v0"), "made": F.col("made") + F.col("t0")})
+    v = lines.where(F.col("v") == 1).select((F.col("seen") - 1).alias("vid"), *[F.get("w", F.lit(k)).try_cast("double").alias(a) for k, a in enumerate("xyz", 1)])
+
+    def corner(word: Column) -> Column:
+        i = F.split(word, "/")[0].try_cast("bigint")
+        return F.when(i < 0, F.col("seen") + i).otherwise(i - 1)
+
+    f = lines.where(F.col("t") > 0).select((F.col("made") - F.col("t")).alias("first"), F.transform(F.slice("w", 2, F.size("w")), corner).alias("c"))
+    fan = f.select("first", "c", F.explode(F.sequence(F.lit(1), F.size("c") - 2)).alias("k"))
+    return v, fan.select((F.col("first") + F.col("k") - 1).alias("tid"), F.col("c")[0].alias("v0"), F.get("c", F.col("k")).alias("v1"), F.get("c", F.col("k") + 1).alias("v2"))
 
 
 def obj_lines(vertices: DataFrame, triangles: DataFrame) -> DataFrame:
