@@ -759,12 +759,12 @@ HULL_SQL = f"""WITH p AS (SELECT pid, x, y, z FROM {POINTS}), e AS (SELECT a.pid
 
 
 def database_rows(spark, d):
-    """The orders written as SQLite databases and read back by ranges of row ids."""
+    """The documents written as SQLite databases and read back by ranges of row ids."""
     ready(spark)
     spark.dataSource.register(database.SqliteSource)
-    rows = table(spark, d, "orders").select("o_orderkey", "o_orderpriority", "o_totalprice")
-    paths = database.write_sqlite(rows, scratch(spark, "databases"), "orders")
-    return spark.read.format("sqlite").option("table", "orders").load(",".join(paths)).drop("file")
+    rows = table(spark, d, "documents").select("doc_id", "source", "text", (F.col("n_chars") / 7).alias("share"))
+    paths = database.write_sqlite(rows, scratch(spark, "databases"), "documents")
+    return spark.read.format("sqlite").option("table", "documents").load(",".join(paths)).drop("file")
 
 
 QUERIES = {
@@ -855,5 +855,5 @@ ORACLES = {
 ORACLES |= {"frame_decode": FRAMES_SQL, "oriented_normals": ORIENTED_SQL, "occupancy_grid": GRID_SQL}
 ORACLES |= {"synced_sets": SETS_SQL, "stream_sets": SETS_SQL, "topic_absences": ABSENCES_SQL, "stream_absences": ABSENCES_SQL, "queue_drops": QUEUE_SQL, "stream_queue_drops": QUEUE_SQL}
 ORACLES["sensor_report_rows"] = f"SELECT rank, {_cells('rank::VARCHAR', 'rmw', 'shm', 'resolution', 'target_fps::VARCHAR', 'qos', 'format', _fixed('color_hz'), _fixed('drop_pct'), _fixed('cpu_pct'), _fixed('score'))} AS line FROM (SELECT *, CASE WHEN seq % 2 = 0 THEN 'compressed' ELSE 'raw' END AS format, row_number() OVER (ORDER BY score DESC, seq) AS rank FROM ({STAGE1_SQL}))"
-ORACLES |= {"imu_orientation": IMU_SQL, "stream_imu_orientation": IMU_SQL, "cloud_hull": HULL_SQL, "database_rows": "SELECT o_orderkey, o_orderpriority, o_totalprice FROM orders"}
+ORACLES |= {"imu_orientation": IMU_SQL, "stream_imu_orientation": IMU_SQL, "cloud_hull": HULL_SQL, "database_rows": "SELECT doc_id, source, text, n_chars / 7 AS share FROM documents"}
 ORACLES["inspector_report_rows"] = f"SELECT topic, {_cells('topic', _fixed('fps'), 'status')} AS line FROM ({ORACLES['inspector_status']})"

@@ -76,6 +76,24 @@ def _fitted(column: tuple, kind: str) -> list:
     return [v if v is None or isinstance(v, str) else v.decode("utf-8", "replace") if isinstance(v, bytes) else str(v) for v in column]
 
 
+def _parts(rows: sqlite3.Cursor, most: int = 4096, size: int = 1 << 22) -> Iterator[list[tuple]]:
+    """Rows together, until they are many or long; what came before an error comes out before it."""
+    part, held = [], 0
+    try:
+        for row in rows:
+            part.append(row)
+            held += sum(len(v) for v in row if isinstance(v, (str, bytes)))
+            if len(part) >= most or held >= size:
+                yield part
+                part, held = [], 0
+    except sqlite3.Error:
+        if part:
+            yield part
+        raise
+    if part:
+        yield part
+
+
 class SqliteSource(DataSource):
     """`spark.read.format("sqlite").option("table", name).load(paths)`: a table of one or more comma-separated SQLite files, with the file's name in front.
 
@@ -144,7 +162,7 @@ class SqliteReader(DataSourceReader):
                 where, given = ("", ()) if lo is None else (" WHERE rowid BETWEEN ? AND ?", (lo, hi))
                 # qualified names: an unknown one in quotes alone would be a text
                 rows = db.execute(f"SELECT {', '.join(f't.{_name(c)}' for c, _ in self.columns)} FROM {_name(self.table)} t{where}", given)
-                while part := rows.fetchmany(4096):
+                for part in _parts(rows):
                     columns = [pa.array(_fitted(c, t), ARROW[t]) for c, (_, t) in zip(zip(*part), self.columns)]
                     more = [pa.nulls(len(part), pa.string())] if self.keep else []
                     yield pa.RecordBatch.from_arrays([pa.array([path] * len(part)), *columns, *more], schema=schema)
@@ -154,8 +172,8 @@ class SqliteReader(DataSourceReader):
             yield pa.RecordBatch.from_arrays([pa.array([path]), *[pa.nulls(1, ARROW[t]) for _, t in self.columns], pa.array([f"{type(e).__name__}: {e}"])], schema=schema)
 
 
-def write_sqlite(df: DataFrame, folder: str, table: str, rows: int = 1_000_000) -> list[str]:
-    """The table as SQLite files of at most `rows` rows below a shared folder, one or more a task; their paths.
+def write_sqlite(df: DataFrame, folder: str, table: str, rows: int = 1_000_000, size: int = 1 << 26) -> list[str]:
+    """The table as SQLite files of at most `rows` rows and about `size` bytes below a shared folder, one or more a task; their paths.
 
     A file is built in memory and written whole under a name of its own for each attempt; only files of attempts that succeeded are returned.  Booleans become 0 and 1, and
     columns that are neither numbers, texts nor bytes become text.  An empty table makes no file.
@@ -171,16 +189,16 @@ def write_sqlite(df: DataFrame, folder: str, table: str, rows: int = 1_000_000)
         context = TaskContext.get()
         files, base = fs.FileSystem.from_uri(root)
         files.create_dir(base, recursive=True)
-        db, held, made = None, 0, 0
+        db, held, filled, made = None, 0, 0, 0
 
         def sent() -> pa.RecordBatch:
-            nonlocal db, held, made
+            nonlocal db, held, filled, made
             db.commit()
             name = f"part-{context.partitionId():05d}-{context.taskAttemptId()}-{made:03d}.db"
             with files.open_output_stream(f"{base}/{name}") as f:
                 f.write(db.serialize())
             db.close()
-            db, held, made = None, 0, made + 1
+            db, held, filled, made = None, 0, 0, made + 1
             return pa.RecordBatch.from_arrays([pa.array([f"{root}/{name}"])], ["path"])
 
         for whole in batches:
@@ -189,10 +207,10 @@ def write_sqlite(df: DataFrame, folder: str, table: str, rows: int = 1_000_000)
                 if db is None:
                     db = sqlite3.connect(":memory:")
                     db.execute(f"CREATE TABLE {_name(table)} ({columns})")
-                part = whole.slice(at, rows - held)
+                part = whole.slice(at, min(256, rows - held))
                 db.executemany(f"INSERT INTO {_name(table)} VALUES ({', '.join('?' * len(kinds))})", zip(*[c.to_pylist() for c in part.columns]))
-                at, held = at + part.num_rows, held + part.num_rows
-                if held >= rows:
+                at, held, filled = at + part.num_rows, held + part.num_rows, filled + part.nbytes
+                if held >= rows or filled >= size:
                     yield sent()
         if db is not None:
             yield sent()

@@ -85,4 +85,7 @@ def test_written_and_read_back(spark, tmp_path):
     got = read(spark, *paths, table="odd name").drop("file").collect()
     key = lambda r: (r[0] is None, r[0] or 0)
     assert sorted((tuple(r) for r in got), key=key) == [(a, b, None if c is None else int(c), d, None if e is None else bytes(e), f) for a, b, c, d, e, f in sorted(rows, key=key)]
+    long = spark.createDataFrame([(i, "x" * 50_000) for i in range(600)], "id int, text string").coalesce(1)
+    paths = database.write_sqlite(long, f"file://{tmp_path}/long", "t", size=1 << 23)  # files fill up by bytes too
+    assert len(paths) == 3 and read(spark, *paths, table="t").where(F.length("text") == 50_000).agg(F.sum("id")).first()[0] == 600 * 599 // 2
     assert database.write_sqlite(df.limit(0), f"file://{tmp_path}/none", "t") == []
