@@ -2,12 +2,15 @@
 
 Each keeps, for a key, the messages that the watermark hasn't passed, and decides only what no later message can change, so the results are those of the batch
 twins whatever the triggers were.  Messages behind the watermark are dropped.  Event-time timers wake keys without new messages.
+
+A trigger may bring a key any number of messages: they are held as NumPy columns, in the state as their bytes, and gone through once.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,10 +18,25 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import StructType
 
 from fieldspark.operators import attitude
-from fieldspark.operators.sync import Chain
+
+BLOCK = 1 << 20  # messages whose possible sets are in memory at once, and the rows of one frame of orientations (a 64th)
+
+
+def _arrived(batches: Iterator[pd.DataFrame], state: GroupState, columns: dict[str, str]) -> tuple[list[np.ndarray], int]:
+    """The new messages that aren't late, an array for each column, and the watermark in microseconds: all messages before it have come.
+
+    A watermark is a whole number of milliseconds, and the messages of that very millisecond may be on either side of it.
+    """
+    now = state.getCurrentWatermarkMs() * 1000
+    parts: list[list[np.ndarray]] = [[np.empty(0, kind)] for kind in columns.values()]
+    for p in batches:
+        fresh = (p["t"] >= now) | (p["seen"] == 0) if "seen" in columns else p["t"] >= now
+        for own, (c, kind) in zip(parts, columns.items()):
+            own.append(p[c][fresh].astype(kind).to_numpy())
+    return [np.concatenate(own) for own in parts], now
 
 
-def _arrived(batches: Iterator[pd.DataFrame], state: GroupState, columns: list[str]) -> tuple[list[tuple], int]:
+def _rows(batches: Iterator[pd.DataFrame], state: GroupState, columns: list[str]) -> tuple[list[tuple], int]:
     """The new messages that aren't late, and the watermark in microseconds: all messages before it have come.
 
     A watermark is a whole number of milliseconds, and the messages of that very millisecond may be on either side of it.
@@ -28,6 +46,12 @@ def _arrived(batches: Iterator[pd.DataFrame], state: GroupState, columns: list[s
     return [r for r in rows if r[0] >= now or columns[-1] == "seen" and not r[-1]], now
 
 
+def _held(state: GroupState, columns: dict[str, str]) -> list[np.ndarray]:
+    """The columns that the end of the state has as bytes."""
+    cells = state.get[-len(columns) :] if state.exists else [b""] * len(columns)
+    return [np.frombuffer(bytes(c), kind) for c, kind in zip(cells, columns.values())]
+
+
 def _wake(state: GroupState, at_us: int) -> None:
     """A timer at the first watermark beyond `at_us`."""
     state.setTimeoutTimestamp(max(at_us // 1000 + 1, state.getCurrentWatermarkMs() + 1))
@@ -37,15 +61,28 @@ def _grouped(stream: DataFrame, by: list[str], step, out: str | StructType, kept
     return stream.groupBy(*by).applyInPandasWithState(step, out, kept, "append", GroupStateTimeout.EventTimeTimeout)
 
 
-def _sets(messages: list[tuple], n: int, tolerance_us: int) -> list[tuple]:
-    """Possible sets of sorted messages (t, k, id), as sync.possible_sets() finds them."""
-    following: list[tuple | None] = [None] * n
-    out = []
-    for m in reversed(messages):
-        following[m[1]] = m
-        if None not in following and max(following)[0] - m[0] <= tolerance_us:
-            out.append((m, max(following), max(following)[0] - m[0], tuple(x[2] for x in following)))
-    return out[::-1]
+def _sets(t: np.ndarray, k: np.ndarray, ids: np.ndarray, n: int, tolerance_us: int, now: int) -> tuple[np.ndarray, int, int, int | None]:
+    """What Chain chooses from sorted messages, as far as none from `now` on can change it: ids and spread of each set, the number of messages that no later set
+    needs, that of the last set's last message (-1: no set) and the time at which the first set that is still open ends (None: there is none).
+
+    The set that begins with a message has the next one of every stream.  So a set that begins later doesn't end sooner, windows don't overlap, and each is looked at once.
+    """
+    size = len(t)
+    at = np.arange(size)
+    following = np.stack([np.minimum.accumulate(np.where(k == j, at, size)[::-1])[::-1] for j in range(n)])
+    end = following.max(axis=0)
+    first = np.flatnonzero(end < size)
+    first = first[(t[end[first]] - t[first] <= tolerance_us) & (t[first] + tolerance_us < now)]
+    end = end[first]
+    spread, beyond = t[end] - t[first], np.searchsorted(first, end, side="right")
+    chosen, i, closed = [], 0, int(np.searchsorted(t[end] + tolerance_us, now))
+    while i < closed:
+        chosen.append(i + int(spread[i : beyond[i]].argmin()))
+        i = int(beyond[chosen[-1]])
+    last = int(end[chosen[-1]]) if chosen else -1
+    open_ = i < len(first)
+    passed = max(last + 1, int(np.searchsorted(t, min(now - tolerance_us, t[first[i]]) if open_ else now - tolerance_us)))
+    return np.column_stack([*ids[following[:, first[chosen]]], spread[chosen]]), passed, last, int(t[end[i]]) if open_ else None
 
 
 def together(streams: dict[str, DataFrame], tolerance_us: int, lateness: str, by: list[str] | None = None, stamp: str = "stamp") -> DataFrame:
@@ -61,28 +98,33 @@ def together(streams: dict[str, DataFrame], tolerance_us: int, lateness: str, by
     all_ = all_.where(F.col("id").isNotNull()).withWatermark("__at", lateness)
     out = StructType([*[all_.schema[c] for c in by], *StructType.fromDDL(", ".join([*[f"`{n}_id` bigint" for n in names], "spread_us bigint"])).fields])
 
+    columns = {"t": "int64", "k": "int32", "id": "int64"}
+
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        new, now = _arrived(batches, state, ["t", "k", "id"])
-        last, held = None, []
-        if state.exists:
-            last, ts, ks, ids = state.get
-            last, held = tuple(last) or None, list(zip(ts, ks, ids))
-        held = sorted(m for m in held + [tuple(map(int, m)) for m in new] if last is None or m > last)
-        chain, rows = Chain(last), []
-        chain.held = [s for s in _sets(held, len(names), tolerance_us) if s[0][0] + tolerance_us < now]
-        while chain.held and chain.held[0][1][0] + tolerance_us < now:
-            best = chain.next()
-            rows.append((*key, *best[3], best[2]))
-        first = min(now - tolerance_us, chain.held[0][0][0]) if chain.held else now - tolerance_us
-        held = [m for m in held if m[0] >= first and (chain.after is None or m > chain.after)]
-        if not held and (chain.after is None or chain.after[0] < now):
+        new, now = _arrived(batches, state, columns)
+        after = tuple(state.get[0]) if state.exists else ()
+        t, k, ids = (np.concatenate(c) for c in zip(_held(state, columns), new))
+        order = np.lexsort((ids, k, t))
+        t, k, ids = t[order], k[order], ids[order]
+        own = np.ones(len(t), bool)
+        own[1:] = (t[1:] != t[:-1]) | (k[1:] != k[:-1]) | (ids[1:] != ids[:-1])
+        if after:
+            own &= (t > after[0]) | (t == after[0]) & ((k > after[1]) | (k == after[1]) & (ids > after[2]))
+        t, k, ids = t[own], k[own], ids[own]
+        low, high, known, open_ = 0, 0, int(np.searchsorted(t, now)), None
+        while high < known:  # a part of the messages is like a watermark that has come to the next one
+            high = min(known, high + max(BLOCK, high - low))
+            rows, passed, last, open_ = _sets(t[low:high], k[low:high], ids[low:high], len(names), tolerance_us, now if high == known else int(t[high]))
+            after = (int(t[low + last]), int(k[low + last]), int(ids[low + last])) if last >= 0 else after
+            low += passed
+            yield pd.DataFrame({**dict(zip(by, key)), **dict(zip(out.names[len(by) :], rows.T))}, index=range(len(rows)))
+        if low == len(t) and (not after or after[0] < now):
             state.remove()
         else:
-            state.update((list(chain.after or ()), *[list(c) for c in (zip(*held) if held else ([], [], []))]))
-            _wake(state, (chain.held[0][1][0] if chain.held else held[0][0] + tolerance_us if held else now) + tolerance_us)
-        yield pd.DataFrame(rows, columns=out.names)
+            state.update((list(after), *[c[low:].tobytes() for c in (t, k, ids)]))
+            _wake(state, (open_ if open_ is not None else int(t[low]) + tolerance_us if low < len(t) else now) + tolerance_us)
 
-    got = _grouped(all_, by, step, out, "last array<bigint>, ts array<bigint>, ks array<int>, ids array<bigint>")
+    got = _grouped(all_, by, step, out, "last array<bigint>, ts binary, ks binary, ids binary")
     return got.drop("__all")
 
 
@@ -100,7 +142,7 @@ def absences(stream: DataFrame, quiet_us: int, lateness: str, expected: DataFram
     out = StructType([both.schema[topic], *StructType.fromDDL("kind string, at_us bigint").fields])
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        new, now = _arrived(batches, state, ["t", "seen"])
+        new, now = _rows(batches, state, ["t", "seen"])
         last, absent, held = None, False, []
         if state.exists:
             last, absent, ts, seen = state.get
@@ -136,7 +178,7 @@ def keep_last(stream: DataFrame, depth: int, period_us: int, lateness: str, topi
     out = StructType([rows_in.schema[topic], *StructType.fromDDL("slot bigint, n bigint, dropped bigint, ids array<bigint>").fields])
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        new, now = _arrived(batches, state, ["t", "id"])
+        new, now = _rows(batches, state, ["t", "id"])
         open_: dict[int, tuple[int, list[tuple]]] = {}
         if state.exists:
             slots, ns, ts, ids = state.get
@@ -169,7 +211,7 @@ def in_order(stream: DataFrame, lateness: str, by: list[str], stamp: str = "stam
     out = StructType([*[held_in.schema[c] for c in by], *StructType.fromDDL("place bigint, row string").fields])
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        new, now = _arrived(batches, state, ["t", "__id", "row"])
+        new, now = _rows(batches, state, ["t", "__id", "row"])
         place, held = 0, []
         if state.exists:
             place, ts, ids, texts = state.get
@@ -198,7 +240,7 @@ def orientation(stream: DataFrame, gain: float, lateness: str, restart_us: int |
     out = StructType([rows_in.schema[device], *StructType.fromDDL(", ".join(["t bigint", "id bigint", *[f"{c} double" for c in attitude.QUATERNION]])).fields])
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        new, now = _arrived(batches, state, names[1:])
+        new, now = _rows(batches, state, names[1:])
         last, q, held = None, None, []
         if state.exists:
             last, q, ts, ids, samples = state.get

@@ -1,6 +1,7 @@
 """Sets, silences, queues and order: batch against plain Python, and streams over several triggers against batch."""
 
 import random
+import time
 
 import numpy as np
 import pytest
@@ -185,3 +186,36 @@ def test_validate_names_its_artifacts(spark, tmp_path, capsys):
         assert triangles.count() == 40 and {"vid", "x", "y", "z"} <= set(vertices.columns) and {"tid", "v0", "v1", "v2"} <= set(triangles.columns)
     (tmp_path / "points.ply").write_bytes(geometry.ply_bytes([tuple(map(float, p)) for p in r]))
     assert cli.main(["validate", "--mesh", str(tmp_path / "points.ply")], spark) == 1
+
+
+def in_one_trigger(spark, tmp_path, rows, live):
+    """The rows, and the seconds that a stream took which reads them all at once."""
+    start = time.monotonic()
+    rows.write.parquet(str(tmp_path / "in"))
+    streaming.run_once(live(spark.readStream.schema(rows.schema).parquet(str(tmp_path / "in"))), str(tmp_path / "out"), str(tmp_path / "ck"))
+    return spark.read.parquet(str(tmp_path / "out")), time.monotonic() - start
+
+
+def test_many_sets_in_one_trigger(spark, tmp_path):
+    rows = spark.range(150_000).select((F.floor(F.col("id") * 7919 % 150_000 / 2) * 1000 + 1_000_000).alias("t"), (F.xxhash64("id") % 3).alias("k"), "id").unionByName(spark.createDataFrame([(10**11, 0, 999_999)], MESSAGE)).withColumn("k", F.abs("k").cast("int"))
+    of = lambda df, k: df.where(F.col("k") == k)
+    got, took = in_one_trigger(spark, tmp_path, rows, lambda s: stateful.together({n: of(s, k).select("id", micros()) for k, n in enumerate("abc")}, 1_000_000, "0 seconds"))
+    want = sync.together({n: of(rows, k) for k, n in enumerate("abc")}, 1_000_000)
+    assert got.count() > 5_000 and got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+    assert took < 60  # minutes, when each set went through all that were held
+
+
+def test_sets_in_parts(spark, tmp_path, monkeypatch):
+    rng = np.random.default_rng(4)
+    t = np.sort(rng.integers(0, 3_000, 500))
+    k, ids = rng.integers(0, 3, 500).astype("int32"), np.arange(500)
+    order = np.lexsort((ids, k, t))
+    rows = list(zip(t[order].tolist(), k[order].tolist(), ids[order].tolist()))
+    whole, *_ = stateful._sets(t[order], k[order], ids[order], 3, 40, 10**6)
+    assert sorted(map(tuple, whole.tolist())) == greedy(rows, 3, 40) != []
+    at, found = 0, []
+    for end in range(7, 500, 7):  # as watermarks come
+        some, passed, _, _ = stateful._sets(t[order][at:end], k[order][at:end], ids[order][at:end], 3, 40, int(t[order][end]))
+        at, found = at + passed, found + some.tolist()
+    rest, *_ = stateful._sets(t[order][at:], k[order][at:], ids[order][at:], 3, 40, 10**6)
+    assert found + rest.tolist() == whole.tolist()
