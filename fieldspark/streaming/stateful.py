@@ -132,7 +132,7 @@ def absences(stream: DataFrame, quiet_us: int, lateness: str, expected: DataFram
     """rates.absences() of a stream: `absent` comes when the watermark has passed the silence, `back` when it has passed the message that ends it.
 
     `expected` is a stream of topics with the stamps from which they are waited for, and starts a topic's timer without a message of its own; it is read at the stream's
-    start, and its stamps don't move the watermark.
+    start, and its stamps don't move the watermark.  Messages of one `quiet_us` have no silence between them: of each the first and last are held.
     """
     both = stream.select(topic, stamp, F.lit(1).alias("seen"))
     if expected is not None:
@@ -142,15 +142,20 @@ def absences(stream: DataFrame, quiet_us: int, lateness: str, expected: DataFram
     out = StructType([both.schema[topic], *StructType.fromDDL("kind string, at_us bigint").fields])
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        new, now = _rows(batches, state, ["t", "seen"])
-        last, absent, held = None, False, []
+        (new, heard), now = _arrived(batches, state, {"t": "int64", "seen": "int32"})
+        last, absent, came, waits = None, False, np.empty(0, "int64"), new[heard == 0].tolist()
         if state.exists:
             last, absent, ts, seen = state.get
-            held = list(zip(ts, seen))
-        held = sorted(held + [tuple(map(int, m)) for m in new])
-        rows = []
-        while held and held[0][0] < now:
-            t, seen = held.pop(0)
+            held = np.array(ts, "int64"), np.array(seen, "int32")
+            came, waits = held[0][held[1] == 1], waits + held[0][held[1] == 0].tolist()
+        came = np.sort(np.concatenate([came, new[heard == 1]]))
+        apart = np.diff(came // max(1, quiet_us)) > 0
+        came = came[np.append(True, apart) | np.append(apart, True)] if len(came) else came
+        held, passed, rows = sorted([(t, 1) for t in came.tolist()] + [(w, 0) for w in sorted(waits)[:1] if last is None]), 0, []
+        for t, seen in held:
+            if t >= now:
+                break
+            passed += 1
             if last is None:
                 last = t
             elif seen:
@@ -160,6 +165,7 @@ def absences(stream: DataFrame, quiet_us: int, lateness: str, expected: DataFram
                 if absent:
                     rows.append((*key, "back", t))
                 last, absent = t, False
+        held = held[passed:]
         if last is not None and not absent and last + quiet_us < now:
             rows.append((*key, "absent", last))
             absent = True

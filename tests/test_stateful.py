@@ -219,3 +219,10 @@ def test_sets_in_parts(spark, tmp_path, monkeypatch):
         at, found = at + passed, found + some.tolist()
     rest, *_ = stateful._sets(t[order][at:], k[order][at:], ids[order][at:], 3, 40, 10**6)
     assert found + rest.tolist() == whole.tolist()
+
+
+def test_many_messages_without_silence(spark, tmp_path):
+    rows = spark.range(800_000).select(F.lit("a").alias("topic"), (F.col("id") * 1000 + F.when(F.col("id") >= 700_000, 50_000_000).otherwise(0)).alias("t")).unionByName(spark.createDataFrame([("end", 10**11)], "topic string, t bigint"))
+    got, took = in_one_trigger(spark, tmp_path, rows, lambda s: stateful.absences(s.select("topic", micros()), 2_000_000, "0 seconds"))
+    assert sorted(map(tuple, got.collect())) == [("a", "absent", 699_999_000), ("a", "absent", 849_999_000), ("a", "back", 750_000_000)]
+    assert took < 60  # each message moved all that came after it
