@@ -20,6 +20,7 @@ from pyspark.sql.types import StructType
 from fieldspark.operators import attitude
 
 BLOCK = 1 << 20  # messages whose possible sets are in memory at once, and the rows of one frame of orientations (a 64th)
+SPAN = 64  # slots of a topic that one key has
 
 
 def _arrived(batches: Iterator[pd.DataFrame], state: GroupState, columns: dict[str, str]) -> tuple[list[np.ndarray], int]:
@@ -179,35 +180,43 @@ def absences(stream: DataFrame, quiet_us: int, lateness: str, expected: DataFram
 
 
 def keep_last(stream: DataFrame, depth: int, period_us: int, lateness: str, topic: str = "topic", stamp: str = "stamp", order: str = "msg_id") -> DataFrame:
-    """rates.keep_last() of a stream: a slot's row comes when the watermark has passed it.  The state holds `depth` messages of each slot that is open."""
+    """rates.keep_last() of a stream: a slot's row comes when the watermark has passed it.  The state holds `depth` messages of each slot that is open.
+
+    A topic's slots are dealt to keys by spans of time, so that many tasks share a topic.
+    """
     rows_in = stream.where(F.col(stamp).isNotNull()).withWatermark(stamp, lateness).select(topic, stamp, F.unix_micros(stamp).alias("t"), F.col(order).cast("bigint").alias("id"))
+    rows_in = rows_in.withColumn("__span", F.floor(F.col("t") / F.lit(period_us * SPAN)))
     out = StructType([rows_in.schema[topic], *StructType.fromDDL("slot bigint, n bigint, dropped bigint, ids array<bigint>").fields])
+    columns = {"t": "int64", "id": "int64"}
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        new, now = _rows(batches, state, ["t", "id"])
-        open_: dict[int, tuple[int, list[tuple]]] = {}
-        if state.exists:
-            slots, ns, ts, ids = state.get
-            open_ = {s: (n, []) for s, n in zip(slots, ns)}
-            for m in zip(ts, ids):
-                open_[m[0] // period_us][1].append(m)
-        for m in new:
-            n, own = open_.get(int(m[0]) // period_us, (0, []))
-            open_[int(m[0]) // period_us] = (n + 1, sorted([*own, tuple(map(int, m))])[-depth:])
-        rows = []
+        open_: dict[int, int] = dict(zip(*state.get[:2])) if state.exists else {}
+        t, ids = _held(state, columns)
+        for p in batches:
+            (more, more_ids), _ = _arrived(iter([p]), state, columns)
+            for s, n in zip(*[c.tolist() for c in np.unique(more // period_us, return_counts=True)]):
+                open_[s] = open_.get(s, 0) + n
+            t, ids = np.append(t, more), np.append(ids, more_ids)
+            order = np.lexsort((ids, t))
+            t, ids = t[order], ids[order]
+            slot = t // period_us
+            own = np.searchsorted(slot, slot, side="right") - np.arange(len(t)) <= depth  # the slot's last ones
+            t, ids = t[own], ids[own]
+        now = state.getCurrentWatermarkMs() * 1000
+        slot, rows = t // period_us, []
         for s in sorted(open_):
             if (s + 1) * period_us <= now:
-                n, own = open_.pop(s)
-                rows.append((*key, s, n, max(0, n - depth), [m[1] for m in own]))
+                n = open_.pop(s)
+                rows.append((key[0], s, n, max(0, n - depth), ids[slot == s].tolist()))
         if open_:
-            held = [m for _, own in open_.values() for m in own]
-            state.update((list(open_), [n for n, _ in open_.values()], [m[0] for m in held], [m[1] for m in held]))
+            own = slot >= min(open_)
+            state.update((list(open_), list(open_.values()), t[own].tobytes(), ids[own].tobytes()))
             _wake(state, (min(open_) + 1) * period_us)
         elif state.exists:
             state.remove()
         yield pd.DataFrame(rows, columns=out.names)
 
-    return _grouped(rows_in, [topic], step, out, "slots array<bigint>, ns array<bigint>, ts array<bigint>, ids array<bigint>")
+    return _grouped(rows_in, [topic, "__span"], step, out, "slots array<bigint>, ns array<bigint>, ts binary, ids binary")
 
 
 def in_order(stream: DataFrame, lateness: str, by: list[str], stamp: str = "stamp", order: str = "msg_id") -> DataFrame:

@@ -226,3 +226,12 @@ def test_many_messages_without_silence(spark, tmp_path):
     got, took = in_one_trigger(spark, tmp_path, rows, lambda s: stateful.absences(s.select("topic", micros()), 2_000_000, "0 seconds"))
     assert sorted(map(tuple, got.collect())) == [("a", "absent", 699_999_000), ("a", "absent", 849_999_000), ("a", "back", 750_000_000)]
     assert took < 60  # each message moved all that came after it
+
+
+def test_queues_of_a_topic_are_many_keys(spark, tmp_path):
+    rows = spark.range(20_000).select(F.lit("a").alias("topic"), (F.col("id") * 50_000).alias("t"), F.col("id").alias("msg_id"))
+    rows.write.parquet(str(tmp_path / "in"))
+    live = stateful.keep_last(spark.readStream.schema(rows.schema).parquet(str(tmp_path / "in")).select("topic", micros(), "msg_id"), 2, 1_000_000, "1 hour")
+    q = live.writeStream.format("noop").option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start()
+    q.awaitTermination()
+    assert max(p["stateOperators"][0]["numRowsTotal"] for p in q.recentProgress) == 16  # of 1000 slots that are open
