@@ -37,16 +37,6 @@ def _arrived(batches: Iterator[pd.DataFrame], state: GroupState, columns: dict[s
     return [np.concatenate(own) for own in parts], now
 
 
-def _rows(batches: Iterator[pd.DataFrame], state: GroupState, columns: list[str]) -> tuple[list[tuple], int]:
-    """The new messages that aren't late, and the watermark in microseconds: all messages before it have come.
-
-    A watermark is a whole number of milliseconds, and the messages of that very millisecond may be on either side of it.
-    """
-    now = state.getCurrentWatermarkMs() * 1000
-    rows = [r for p in batches for r in p[columns].itertuples(index=False, name=None)]
-    return [r for r in rows if r[0] >= now or columns[-1] == "seen" and not r[-1]], now
-
-
 def _held(state: GroupState, columns: dict[str, str]) -> list[np.ndarray]:
     """The columns that the end of the state has as bytes."""
     cells = state.get[-len(columns) :] if state.exists else [b""] * len(columns)
@@ -226,12 +216,12 @@ def in_order(stream: DataFrame, lateness: str, by: list[str], stamp: str = "stam
     out = StructType([*[held_in.schema[c] for c in by], *StructType.fromDDL("place bigint, row string").fields])
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        new, now = _rows(batches, state, ["t", "__id", "row"])
+        new, now = _arrived(batches, state, {"t": "int64", "__id": "int64", "row": "object"})
         place, held = 0, []
         if state.exists:
             place, ts, ids, texts = state.get
             held = list(zip(ts, ids, texts))
-        held = sorted(held + [(int(t), int(i), row) for t, i, row in new])
+        held = sorted(held + list(zip(*[c.tolist() for c in new])))
         ready = [m for m in held if m[0] < now]
         held = held[len(ready) :]
         rows = [(*key, place + i, m[2]) for i, m in enumerate(ready)]
@@ -249,31 +239,31 @@ def orientation(stream: DataFrame, gain: float, lateness: str, restart_us: int |
 
     The state holds a device's last orientation and the samples that wait; samples without a stamp are dropped.
     """
-    names = [stamp, "t", "id", *attitude.SAMPLE]
+    columns = {"t": "int64", "id": "int64", **dict.fromkeys(attitude.SAMPLE, "float64")}  # NaN also for null: either corrects nothing
     rows_in = stream.where(F.col(stamp).isNotNull()).withWatermark(stamp, lateness)
     rows_in = rows_in.select(device, stamp, F.unix_micros(stamp).alias("t"), F.col(order).cast("bigint").alias("id"), *[F.col(c).cast("double").alias(c) for c in attitude.SAMPLE])
     out = StructType([rows_in.schema[device], *StructType.fromDDL(", ".join(["t bigint", "id bigint", *[f"{c} double" for c in attitude.QUATERNION]])).fields])
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        new, now = _rows(batches, state, names[1:])
-        last, q, held = None, None, []
-        if state.exists:
-            last, q, ts, ids, samples = state.get
-            held = [(t, i, *s) for t, i, s in zip(ts, ids, samples)]
-        unknown = float("nan")  # also for null: either corrects nothing
-        held = sorted(held + [(int(m[0]), int(m[1]), *[unknown if x is None else float(x) for x in m[2:]]) for m in new], key=lambda m: m[:2])
-        rows = []
-        while held and held[0][0] < now:
-            t, i, *sample = held.pop(0)
-            if last is None or (restart_us and t - last > restart_us):
-                last, q = t, None
-            q = attitude.step(q and tuple(q), (t - last) / 1e6, tuple(sample), gain)
-            last = t
-            rows.append((*key, t, i, *q))
-        state.update((last, list(q or ()), [m[0] for m in held], [m[1] for m in held], [list(m[2:]) for m in held]))
-        if held:
-            _wake(state, held[0][0])
-        yield pd.DataFrame(rows, columns=out.names)
+        new, now = _arrived(batches, state, columns)
+        last, q = state.get[:2] if state.exists else (None, [])
+        q = tuple(q) or None
+        held = [np.concatenate(c) for c in zip(_held(state, columns), new)]
+        order = np.lexsort((held[1], held[0]))
+        held = [c[order] for c in held]
+        ready = int(np.searchsorted(held[0], now))
+        for at in range(0, ready, BLOCK >> 6):
+            rows = []
+            for t, i, *sample in zip(*[c[at : min(ready, at + (BLOCK >> 6))].tolist() for c in held]):
+                if last is None or (restart_us and t - last > restart_us):
+                    last, q = t, None
+                q = attitude.step(q, (t - last) / 1e6, tuple(sample), gain)
+                last = t
+                rows.append((*key, t, i, *q))
+            yield pd.DataFrame(rows, columns=out.names)
+        state.update((last, list(q or ()), *[c[ready:].tobytes() for c in held]))
+        if ready < len(order):
+            _wake(state, int(held[0][ready]))
 
-    got = _grouped(rows_in, [device], step, out, "last bigint, q array<double>, ts array<bigint>, ids array<bigint>, samples array<array<double>>")
+    got = _grouped(rows_in, [device], step, out, "last bigint, q array<double>, " + ", ".join(f"`{c}` binary" for c in columns))
     return got.select(device, F.timestamp_micros("t").alias(stamp), F.col("id").alias(order), *attitude.QUATERNION)

@@ -2,6 +2,7 @@
 
 import math
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -95,3 +96,15 @@ def test_stream_equals_batch(spark, tmp_path, restart):
     out = stateful.orientation(stream, 0.2, "5 seconds", restart)
     out.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "ck")).option("path", str(tmp_path / "out")).trigger(availableNow=True).start().awaitTermination()
     assert turns(spark.read.schema(out.schema).parquet(str(tmp_path / "out"))) == want
+
+
+def test_many_samples_of_a_device(spark, tmp_path):
+    shape = spark.range(400_000).select(F.when(F.col("id") < 399_999, "a").otherwise("end").alias("device"), (F.col("id") * 10_000 + 1_000_000 + F.when(F.col("id") < 399_999, 0).otherwise(10**11)).alias("t"), "id", *[(F.col("id") % (7 + n) / 10).alias(c) for n, c in enumerate(attitude.SAMPLE)])
+    shape.write.parquet(str(tmp_path / "in"))
+    start = time.monotonic()
+    stream = stamped(spark.readStream.schema(shape.schema).parquet(str(tmp_path / "in")))
+    out = stateful.orientation(stream, 0.1, "0 seconds")
+    out.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "ck")).option("path", str(tmp_path / "out")).trigger(availableNow=True).start().awaitTermination()
+    assert time.monotonic() - start < 40  # each sample moved all that came after it
+    got, want = (x.where("device = 'a'").select("id", *attitude.QUATERNION) for x in (spark.read.schema(out.schema).parquet(str(tmp_path / "out")), attitude.orientation(stamped(shape), 0.1)))
+    assert got.count() == 399_999 and got.exceptAll(want).isEmpty()
