@@ -8,13 +8,17 @@ with doubled cells.  Ties are broken by the smaller pid.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructField, StructType
 
-from fieldspark.session import kept
+from fieldspark.session import kept, ready
 
 AXES = ("x", "y", "z")
 
@@ -43,15 +47,83 @@ def _d2() -> Column:
     return d[0] * d[0] + d[1] * d[1] + d[2] * d[2]
 
 
+def _around(x: str, y: str, z: str) -> Column:
+    """A row for each of a cell's 27 cells, itself included: x, y, z."""
+    steps = F.sequence(F.lit(-1), F.lit(1))
+    return F.explode(F.flatten(F.flatten(F.transform(steps, lambda i: F.transform(steps, lambda j: F.transform(steps, lambda k: F.struct((F.col(x) + i).alias("x"), (F.col(y) + j).alias("y"), (F.col(z) + k).alias("z"))))))))
+
+
 def _near(queries: DataFrame, points: DataFrame, edge: float) -> DataFrame:
     """Pairs q, n with d2 of points in a query's 27 cells."""
-    around = F.explode(F.flatten(F.flatten(F.transform(F.sequence(F.lit(-1), F.lit(1)), lambda i: F.transform(F.sequence(F.lit(-1), F.lit(1)), lambda j: F.transform(F.sequence(F.lit(-1), F.lit(1)), lambda k: F.struct((F.col("cx") + i).alias("x"), (F.col("cy") + j).alias("y"), (F.col("cz") + k).alias("z"))))))))
     q = queries.select(F.col("pid").alias("q"), *[F.col(a).alias(f"q{a}") for a in AXES], *[cell(F.col(a), edge).alias(f"c{a}") for a in AXES])
-    q = q.withColumn("c", around).select("q", *[f"q{a}" for a in AXES], *[F.col(f"c.{a}").alias(f"c{a}") for a in AXES])
+    q = q.withColumn("c", _around("cx", "cy", "cz")).select("q", *[f"q{a}" for a in AXES], *[F.col(f"c.{a}").alias(f"c{a}") for a in AXES])
     p = points.select(F.col("pid").alias("n"), *[F.col(a).alias(f"n{a}") for a in AXES], *[cell(F.col(a), edge).alias(f"c{a}") for a in AXES])
     return q.join(p, ["cx", "cy", "cz"]).withColumn("d2", _d2()).select("q", "n", "d2")
 
 
+def _closer(d2: np.ndarray, n: np.ndarray, q: np.ndarray, ids: np.ndarray, xyz: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The k nearest of each query with more points, whose ids are greater than those before: distances and ids, a row for each query."""
+    wide = min(k, d2.shape[1] + len(ids))
+    more_d2, more_n = np.empty((len(q), wide)), np.empty((len(q), wide), ids.dtype)
+    few = max(1, (1 << 20) // (len(ids) + k))
+    for at in range(0, len(q), few):
+        part = slice(at, at + few)
+        x, y, z = (q[part, i, None] - xyz[None, :, i] for i in range(3))
+        all_d2 = np.concatenate([d2[part], x * x + y * y + z * z], 1)
+        order = np.argsort(all_d2, axis=1, kind="stable")[:, :wide]
+        more_d2[part] = np.take_along_axis(all_d2, order, 1)
+        more_n[part] = np.take_along_axis(np.concatenate([n[part], np.broadcast_to(ids, (len(order), len(ids)))], 1), order, 1)
+    return more_d2, more_n
+
+
+def _near_k(queries: DataFrame, points: DataFrame, k: int, edge: float, within: float | None) -> DataFrame:
+    """q, n, d2, rank of the k nearest among the points in a query's 27 cells, and whether they are `sure` to be the k nearest of all.
+
+    Points are sent to the cells of queries around them, and a cell's queries meet its points there: only the k nearest of each query leave the task, pairs are never
+    shuffled, and a task holds one cell's queries and a batch of points.
+    """
+    home, at = [f"h{a}" for a in AXES], [f"c{a}" for a in AXES]
+    xyz = [F.col(a).cast("double").alias(a) for a in AXES]
+    q = queries.select(*[cell(F.col(a), edge).alias(h) for a, h in zip(AXES, home)], F.lit(True).alias("__query"), "pid", *xyz).na.drop(subset=home)
+    targets = q.select(*home).distinct().withColumn("c", _around(*home)).select(*home, *[F.col(f"c.{a}").alias(c) for a, c in zip(AXES, at)])
+    p = points.select(*[cell(F.col(a), edge).alias(c) for a, c in zip(AXES, at)], F.lit(False).alias("__query"), "pid", *xyz)
+    both = q.unionByName(p.join(targets, at).select(q.columns))
+    pid = both.schema["pid"].dataType
+    out = StructType([StructField("q", pid), StructField("n", pid), *StructType.fromDDL("d2 double, rank bigint, sure boolean").fields])
+    arrow = to_arrow_schema(out, prefers_large_types=False)
+
+    def done(ids: np.ndarray, d2: np.ndarray, n: np.ndarray) -> list[np.ndarray]:
+        own = np.ones(d2.shape, bool) if within is None else d2 <= within * within
+        sure = own[:, k - 1] & (d2[:, k - 1] <= edge * edge) if d2.shape[1] == k else np.zeros(len(ids), bool)
+        row, rank = np.nonzero(own)
+        return [ids[row], n[own], d2[own], rank + 1, sure[row]]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, ids, of, best, ready_ = None, None, None, None, []
+        for b in batches:
+            h = np.column_stack([b.column(i).to_numpy(zero_copy_only=False) for i in range(3)])
+            is_query, pids = (b.column(i).to_numpy(zero_copy_only=False) for i in (3, 4))
+            place = np.column_stack([b.column(i).to_numpy(zero_copy_only=False) for i in (5, 6, 7)])
+            cuts = [*np.flatnonzero(np.append(True, (h[1:] != h[:-1]).any(axis=1))[: len(h)]).tolist(), len(h)]
+            for low, high in zip(cuts, cuts[1:]):
+                if now != tuple(h[low]):
+                    ready_ += [done(ids, *best)] if best else []
+                    now, ids, of, best = tuple(h[low]), pids[:0], place[:0], None
+                mid = low + int(is_query[low:high].sum())  # a cell's queries come first
+                if mid > low:
+                    ids, of = np.append(ids, pids[low:mid]), np.concatenate([of, place[low:mid]])
+                if high > mid:
+                    best = _closer(*(best or (np.empty((len(ids), 0)), np.empty((len(ids), 0), pids.dtype))), of, pids[mid:high], place[mid:high], k)
+            if ready_:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), f.type) for c, f in zip(zip(*ready_), arrow)], schema=arrow)
+                ready_ = []
+        if best:
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(done(ids, *best), arrow)], schema=arrow)
+
+    ready(queries.sparkSession)
+    return both.repartition(*home).sortWithinPartitions(*home, F.desc("__query"), "pid").mapInArrow(run, out)
+
+
 def radius_neighbours(queries: DataFrame, points: DataFrame, radius: float, most: int | None = None) -> DataFrame:
     """q, n, d2, rank of points within the radius (a point is its own neighbour), the `most` nearest.
 
@@ -103,19 +175,15 @@ def _nearest(queries: DataFrame, points: DataFrame, k: int, edge: float, rounds:
         return _near(queries, points, edge).withColumn("rank", F.lit(0).cast("bigint"))
     enough = max(box) if within is None else min(max(box), within)
     edge, parts, left, n_left = _edge_for(points, k, edge, enough), [], queries, queries.count()
-    nearest, of_query = Window.partitionBy("q").orderBy("d2", "n"), Window.partitionBy("q")
     for _ in range(rounds):
         last = edge > enough or within is not None and edge >= enough
         if last and within is not None:
             edge = max(edge, within)
-        pairs = _near(left, points, edge)
-        if within is not None:
-            pairs = pairs.where(F.col("d2") <= within * within)
-        pairs = pairs.withColumn("rank", F.row_number().over(nearest).cast("bigint")).where(F.col("rank") <= k)
+        pairs = _near_k(left, points, k, edge, within)
         if last:
-            parts.append(pairs)
+            parts.append(pairs.drop("sure"))
             break
-        sure = pairs.withColumns({"__m": F.count("*").over(of_query), "__far": F.max("d2").over(of_query)}).where((F.col("__m") == k) & (F.col("__far") <= edge * edge)).drop("__m", "__far")
+        sure = pairs.where("sure").drop("sure")
         # neither the pairs nor the queries that are left are made again by later rounds
         parts.append(kept(sure, "near"))
         left, before = kept(left.join(parts[-1].where(F.col("rank") == 1).select(F.col("q").alias("pid")), "pid", "left_anti"), "left"), n_left

@@ -161,3 +161,23 @@ def test_points_in_one_place(spark):
     assert places.count() < 20
     assert sorted(r["pid"] for r in spatial.radius_outliers(points, 0.5, 599).collect()) == list(range(600))
     assert spatial.radius_outliers(points, 0.5, 600).count() == 0
+
+
+@pytest.mark.parametrize("within", [None, 0.4])
+def test_neighbours_leave_a_task_as_the_nearest_few(spark, within):
+    rng = np.random.default_rng(8)
+    places = np.concatenate([rng.integers(0, 9, (300, 3)) / 8, rng.random((40, 3)) * 20])  # many ties, places twice, and a thin part
+    rows = [(int(i), *map(float, p)) for i, p in zip(rng.permutation(1000)[: len(places)], places)]
+    cloud = spark.createDataFrame(rows, "pid bigint, x double, y double, z double")
+    want = []
+    for i, *p in rows:
+        d = sorted(((p[0] - x) * (p[0] - x) + (p[1] - y) * (p[1] - y) + (p[2] - z) * (p[2] - z), n) for n, x, y, z in rows)
+        want += [(i, n, d2, r + 1) for r, (d2, n) in enumerate(d[:6]) if within is None or d2 <= within * within]
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)  # cells go over batches
+    try:
+        assert sorted(map(tuple, spatial.knn(cloud, cloud, 6, 0.1, within=within).collect())) == sorted(want)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    plan = spatial._near_k(cloud, cloud, 6, 0.2, within)._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and plan.index("MapInArrow") < plan.index("Exchange")  # pairs aren't shuffled or sorted
