@@ -1,12 +1,13 @@
 import math
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 from types import SimpleNamespace
 
 import cases
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
+import pyarrow.dataset as ds
 import pyarrow.parquet as pq
 import pytest
 
@@ -169,3 +170,70 @@ def test_windows_hold_one_topic_however_the_index_is_cut(spark):
 
 def test_pack_of_nothing(spark):
     assert packing.pack(cases.frame(spark, []), tokenizer_path(), end_id=2).collect() == []
+
+
+def test_later_rounds_read_what_is_left(spark, monkeypatch):
+    """When half of an index is packed, the rest is an index of its own: before, each round read all documents' postings."""
+    r = np.random.default_rng(6)
+    words = ["".join(r.choice(list("abdegiklmnoprstu"), 6)) for _ in range(960)]
+    rows = [(i, " ".join(r.choice(words[60 * (i % 16) : 60 * (i % 16) + 60], 60))) for i in range(400)]
+    rounds, search, seeds = [], packing._search, packing.Packer.seeds
+
+    def watched_seeds(self, most):
+        rounds.append([set(np.flatnonzero(self.left).tolist()), set()])
+        return seeds(self, most)
+
+    def watched_search(root, *rest):
+        read = ds.dataset(root.removeprefix("file://"), format="parquet").to_table(columns=["k"]).column("k").to_pylist()
+        rounds[-1][1].update(k for part in read for k in np.frombuffer(part, "<i8").tolist())
+        return search(root, *rest)
+
+    monkeypatch.setattr(packing.Packer, "seeds", watched_seeds)
+    monkeypatch.setattr(packing, "_search", watched_search)
+    got = packing.pack(spark.createDataFrame(rows, "doc_id bigint, text string"), tokenizer_path(), end_id=2, window=512, index_tokens=3000).collect()
+    assert len(rounds) > 1 and len(rounds[-1][1]) < 200
+    for left, read in rounds:
+        assert left <= read and len(read) < 2 * len(left) + 1
+    whole = Counter()
+    for g in got:
+        whole[g["doc_id"]] += g["length"] - g["doc_tokens"] * (g["start"] == 0)
+    assert set(whole) == set(range(400)) and not any(whole.values())
+
+
+def test_an_index_of_what_is_left_finds_the_same(tmp_path):
+    r = np.random.default_rng(7)
+    docs = [np.append(r.zipf(1.3, r.integers(1, 90)) % 500, 2).astype(np.uint32) for _ in range(200)]
+    words = packing.Words()
+    corpus = SimpleNamespace(value=packing.Corpus.of(docs, words, common=1.0))
+    coded = pa.RecordBatch.from_pydict({"k": pa.array(range(200), pa.int64()), "coded": [d.astype("<u2").tobytes() for d in docs], "n": pa.array([len(d) for d in docs], pa.int64())})
+    shards = list(packing._index(corpus, words, 700, 8)(iter([coded])))
+    live = r.random(200) < 0.4
+    paths = [str(tmp_path / f"{name}.parquet") for name in ("whole", "left")]
+    pq.write_table(pa.Table.from_batches(shards), paths[0])
+    given = lambda path: iter([pa.record_batch({"path": [path]})])
+    left = list(packing._remaining("file:///", SimpleNamespace(value=np.packbits(live, bitorder="little")), 700)(given(paths[0])))
+    assert len(left) < len(shards) and sorted(k for b in left for k in np.frombuffer(b.column("k")[0].as_py(), "<i8").tolist()) == np.flatnonzero(live).tolist()
+    pq.write_table(pa.Table.from_batches(left), paths[1])
+    terms = np.unique(words.pairs(docs)[0]).astype("<u4")
+    queries = [r.choice(terms, 8, replace=False) for _ in range(50)]
+    found = []
+    for path in paths:
+        best = {}
+        sent = SimpleNamespace(value=(np.packbits(live, bitorder="little"), np.full(50, 8), np.concatenate(queries)))
+        for b in packing._search("file:///", corpus, sent, 200, 1)(given(path)):
+            seed, score, doc = (np.frombuffer(b.column(c)[0].as_py(), t) for c, t in (("seeds", "<i8"), ("scores", "<f4"), ("docs", "<i8")))
+            best |= {(s, d): x for s, d, x in zip(seed.tolist(), doc.tolist(), score.tolist())}
+        found.append(best)
+    assert len(found[0]) > 500 and found[0].keys() == found[1].keys()
+    assert all(math.isclose(x, found[1][key], rel_tol=1e-5) for key, x in found[0].items())
+
+
+def test_equal_scores_are_in_the_order_of_documents():
+    r = np.random.default_rng(8)
+    best = packing.Best(5, 40)
+    seed, doc = np.repeat(np.arange(5), 200), np.concatenate([r.permutation(1000)[:200] for _ in range(5)])
+    score = r.integers(1, 9, 1000).astype(np.float32)
+    best.add(seed, score, doc)
+    got = list(zip(*(x.tolist() for x in best.rows())))
+    want = sorted(zip(seed.tolist(), (-score).tolist(), doc.tolist()))
+    assert got == [(s, -x, d) for k in range(5) for s, x, d in [w for w in want if w[0] == k][:40]]
